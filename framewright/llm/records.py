@@ -54,6 +54,15 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
+def payload_of(doc_id: int | None, ids: bytes) -> bytes:
+    return KEY.pack(doc_id is None, doc_id or 0) + ids
+
+
+def split_payload(payload: bytes) -> tuple[int | None, bytes]:
+    null, doc_id = KEY.unpack_from(payload)
+    return (None if null else doc_id), payload[KEY.size:]
+
+
 def _writer(folder: str, vocabulary: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -67,10 +76,10 @@ def _writer(folder: str, vocabulary: str, end_id: int):
             for batch in batches:
                 rows = []
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    record = frame(KEY.pack(key is None, key or 0) + encode(text.as_py()) + end)
+                    record = frame(payload_of(key, encode(text.as_py()) + end))
                     if out is None:
                         fs.create_dir(path, recursive=True)
-                        out = fs.open_output_stream(f"{path}/{name}")
+                        out = fs.open_output_stream(f"{path}/{name}", compression=None)
                     out.write(record)
                     rows.append((ordinal, offset, len(record)))
                     ordinal, offset = ordinal + 1, offset + len(record)
@@ -115,10 +124,8 @@ def _reader(folder: str, run_bytes: int):
                     at, begin = row["offset"], 0
                     source.seek(at)
                     held = source.read(max(run_bytes, row["length"]))
-                payload = unframe(held[begin:begin + row["length"]])
-                null, key = KEY.unpack_from(payload)
-                ids = payload[KEY.size:]
-                out.append((row["file"], row["ordinal"], None if null else key, len(ids) // 4, zlib.crc32(ids)))
+                key, ids = split_payload(unframe(held[begin:begin + row["length"]]))
+                out.append((row["file"], row["ordinal"], key, len(ids) // 4, zlib.crc32(ids)))
             if out:
                 columns = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], ["file", "ordinal", "doc_id", "n_tokens", "ids_crc32"])

@@ -62,7 +62,7 @@ def build_level(keys: DataFrame, n: int, rate: float, seed: int) -> BloomLevel:
     words = (
         keys.select(position.alias("bit"))
         .groupBy(F.floor(F.col("bit") / WORD).alias("word"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("bit") % WORD).cast("int"))).alias("value"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % WORD).cast("int"))).alias("value"))
     )
     return BloomLevel(bits, hashes, seed, {r["word"]: r["value"] for r in words.collect()})
 

@@ -78,7 +78,7 @@ def _writer(folder: str, level: int):
                 for key, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                     if out is None:
                         fs.create_dir(path, recursive=True)
-                        out = fs.open_output_stream(f"{path}/{name}")
+                        out = fs.open_output_stream(f"{path}/{name}", compression=None)
                     member = gzip_member(record(key, payload, digest, refers_to), level)
                     out.write(member)
                     size += len(member)
