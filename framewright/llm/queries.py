@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, common, packing, pii, quality, records, urlfilter, warc
+from framewright.llm import bpe, common, minhash, packing, pii, quality, records, urlfilter, warc
 
 #: Rules of host/path and their verdicts.
 URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
@@ -35,6 +35,10 @@ def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.with_starts(records.read_records(spark, folder))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.shared_dir(spark)
     warc.write_archives(warc.mark_revisits(common.table(spark, sf_dir, "pages")), folder)
@@ -54,13 +58,28 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op5_warc, op6_url_filter, op8_pii, op10_bpe)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op8_pii, op10_bpe)
 }
 
 _HOSTS = ", ".join(f"'{h}'" for h in BLOCKED_HOSTS)
 _RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES.items())
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+        f AS (SELECT doc_id, unnest(sh) AS g FROM s),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM f a JOIN f b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM common JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 85 * (len(x.sh) + len(y.sh) - n)),
+        arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, e.b FROM reach r JOIN arcs e ON r.other = e.a)
+        SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+        FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) m ON m.doc_id = s.doc_id""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, h, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
