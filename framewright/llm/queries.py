@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, common, minhash, packing, pii, quality, records, urlfilter, warc
+from framewright.llm import bpe, common, embed, minhash, packing, pii, quality, records, urlfilter, warc
 
 #: Rules of host/path and their verdicts.
 URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
@@ -49,6 +49,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(common.table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -58,13 +62,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op8_pii, op10_bpe)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op7_embeddings, op8_pii, op10_bpe)
 }
 
 _HOSTS = ", ".join(f"'{h}'" for h in BLOCKED_HOSTS)
 _RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES.items())
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_embeddings": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+        arcs AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, arcs.b FROM reach r JOIN arcs ON r.other = arcs.a),
+        n AS (SELECT a AS vec_id, count(*) AS n_links FROM arcs GROUP BY 1),
+        m AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1)
+        SELECT m.vec_id, coalesce(n_links, 0) AS n_links, component_id, m.vec_id = component_id AS kept
+        FROM m LEFT JOIN n ON n.vec_id = m.vec_id""",
     "op4_minhash": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),

@@ -24,7 +24,7 @@ from framewright.llm import common
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
-READ_BYTES = 1 << 20
+READ_BYTES = 1 << 17
 WRITTEN = "file string, bytes long"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
