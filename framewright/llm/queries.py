@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, common, embed, minhash, packing, pii, quality, records, urlfilter, warc
+from framewright.llm import bpe, common, embed, minhash, packing, pii, quality, records, suffix, urlfilter, warc
 
 #: Rules of host/path and their verdicts.
 URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
@@ -57,12 +57,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(common.table(spark, sf_dir, "documents"), vocabulary())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op7_embeddings, op8_pii, op10_bpe)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op7_embeddings, op8_pii, op9_suffix, op10_bpe)
 }
 
 _HOSTS = ", ".join(f"'{h}'" for h in BLOCKED_HOSTS)
