@@ -1,8 +1,9 @@
 """Token sequences as length-delimited binary records with a separate offset index.
 
 Record: length (uint64), masked checksum of those 8 bytes (uint32), payload,
-masked checksum of the payload (uint32), all little-endian. Payload: one byte
-that is 1 if the id is null, the document's id (int64), its token ids (uint32).
+masked checksum of the payload (uint32), all little-endian. Payload: a byte of flags
+(1: the id is null, 2: wide ids), the document's id (int64), its token ids (uint16,
+or uint32 where an id needs it).
 The mask rotates a CRC-32 right by 15 bits and adds a constant, so that a
 checksum of data that itself holds checksums stays useful.
 The index is a Parquet table (file, ordinal, offset, length), so that records
@@ -19,6 +20,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from framewright.llm import common
 from framewright.llm.tokens import token_ids
 
 MASK_DELTA = 0xA282EAD8
-HEAD, TAIL, KEY = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?q")
+HEAD, TAIL, KEY = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
 INDEX = "file string, ordinal long, offset long, length long"
 
 
@@ -55,12 +57,16 @@ def unframe(record: bytes) -> bytes:
 
 
 def payload_of(doc_id: int | None, ids: bytes) -> bytes:
-    return KEY.pack(doc_id is None, doc_id or 0) + ids
+    """ids: uint32 bytes."""
+    numbers = np.frombuffer(ids, "<u4")
+    wide = bool(len(numbers)) and int(numbers.max()) > 0xFFFF
+    return KEY.pack((doc_id is None) + 2 * wide, doc_id or 0) + (ids if wide else numbers.astype("<u2").tobytes())
 
 
 def split_payload(payload: bytes) -> tuple[int | None, bytes]:
-    null, doc_id = KEY.unpack_from(payload)
-    return (None if null else doc_id), payload[KEY.size:]
+    flags, doc_id = KEY.unpack_from(payload)
+    ids = payload[KEY.size:]
+    return (None if flags & 1 else doc_id), ids if flags & 2 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
 
 def _writer(folder: str, vocabulary: str, end_id: int):
