@@ -1,4 +1,487 @@
 """The operators bound to the given tables, and their SQL twins."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framewright.functions import exprs
+from framewright.operators import ledger, publish, selectors, sequences, stats, tasks, trim
+from framewright.plans.oracle import sql
+from framewright.sources import bindings as b
+from framewright.sources import files
+from framewright.sources.scratch import new_folder
+from framewright.streaming import jobs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+SHARDS, BATCH, MOST, TTL = 4, 25, 3, 900
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE_SQL[f.__name__] = sql(oracle)
+        return f
+
+    return add
+
+
+def _specs(s, d):
+    return trim.trim_specs(b.padding(s, d))
+
+
+def _status(s, d):
+    return tasks.completion_status(b.tasks(s, d), b.sidecars(s, d))
+
+
+def _paths(s, d):
+    t = b.tasks(s, d)
+    path = exprs.media_path(F.col("subset"), "videos", F.col("chunk"), F.col("input_camera"), F.col("episode"), ".mp4")
+    return t.select("subset", "chunk", path.alias("path"), F.col("input_size_bytes").alias("bytes"))
+
+
+def _layout(s, d):
+    return selectors.subset_layout(_paths(s, d))
+
+
+# sources
+
+
+@query("SELECT printf('%03d', episode_index // 1000) AS chunk, count(*) AS frames, count(DISTINCT episode_index) AS episodes, sum(length(text)) AS chars FROM frames GROUP BY 1")
+def scan_frames(s, d):
+    root = new_folder(s)
+    chunk = F.format_string("%03d", F.expr("episode_index DIV 1000"))
+    files.write_frames(b.frames(s, d).withColumn("chunk", chunk), root)
+    return files.scan_frames(s, root).groupBy("chunk").agg(F.count("*").alias("frames"), F.countDistinct("episode_index").alias("episodes"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("SELECT episode_index, length FROM episodes")
+def scan_episode_jsonl(s, d):
+    path = new_folder(s)
+    files.write_jsonl(b.episodes(s, d), path)
+    return files.scan_jsonl(s, path, files.EPISODE)
+
+
+@query("SELECT episode_index, camera, frame_count, tail_missing_count, len(missing_frame_indices) AS n_missing FROM padding")
+def scan_padding_sidecars(s, d):
+    root = new_folder(s)
+    source = F.struct("episode_index", "frame_count", "tail_missing_count", "missing_frame_indices").alias("source")
+    b.padding(s, d).select("camera", source).write.partitionBy("camera").json(root)
+    return files.scan_padding_sidecars(s, [root]).select("episode_index", "camera", "frame_count", "tail_missing_count", F.size("missing_frame_indices").cast("long").alias("n_missing"))
+
+
+@query("SELECT path, subset, chunk, split_part(path, '/', 4) AS input_camera, regexp_extract(path, '(episode_[0-9]+)\\.mp4$', 1) AS episode, bytes FROM paths")
+def media_catalog(s, d):
+    return files.media_catalog(_paths(s, d).select("path", "bytes"))
+
+
+@query("SELECT doc_id, substr(encode(text), 5, 4) = encode('ftyp') AND octet_length(encode(text)) >= 12 AS is_mp4 FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '0000ftyp' || text ELSE text END AS text FROM documents)".replace("substr(encode(text), 5, 4) = encode('ftyp')", "starts_with(hex(encode(text))[9:], '66747970')"))
+def media_signature(s, d):
+    docs = s.read.parquet(f"{d}/documents.parquet")
+    content = F.encode(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("0000ftyp"), F.col("text"))).otherwise(F.col("text")), "UTF-8")
+    return docs.select("doc_id", files.has_mp4_signature(content).alias("is_mp4"))
+
+
+@query("SELECT DISTINCT subset FROM paths")
+def subset_discovery(s, d):
+    return selectors.subset_discovery(_paths(s, d))
+
+
+@query("SELECT subset, root, chunks FROM layout")
+def subset_layout(s, d):
+    return _layout(s, d)
+
+
+# sinks
+
+
+@query("SELECT episode_index, frame_index, role, printf('%03d', episode_index // 1000) AS chunk FROM trimmed")
+def write_frames(s, d):
+    root = new_folder(s)
+    kept = trim.tail_trim(b.frames(s, d), _specs(s, d))
+    files.write_frames(kept.withColumn("chunk", F.format_string("%03d", F.expr("episode_index DIV 1000"))), root)
+    return files.scan_frames(s, root).select("episode_index", "frame_index", "role", "chunk")
+
+
+@query("SELECT episode_index, length, CASE WHEN episode_index % 2 = 0 THEN 'even' END AS note FROM episodes")
+def write_jsonl(s, d):
+    path = new_folder(s)
+    files.write_jsonl(b.episodes(s, d).withColumn("note", F.when(F.col("episode_index") % 2 == 0, "even")), path)
+    return files.scan_jsonl(s, path, files.EPISODE + ", note string")
+
+
+@query("SELECT task, event_id, event FROM ledger")
+def append_events(s, d):
+    path, rows = new_folder(s), b.ledger(s, d).select("task", "event_id", "event")
+    files.append_events(rows.filter("event <> 'resolved'"), path)
+    files.append_events(rows.filter("event = 'resolved'"), path)
+    return files.scan_jsonl(s, path, "task long, event_id long, event string")
+
+
+@query("SELECT subset, chunk, input_camera, batch, 'created' AS status, count(*) AS members, CAST(sum(strlen(text)) AS BIGINT) AS payload_bytes FROM batched JOIN documents USING (doc_id) GROUP BY ALL")
+def pack_export(s, d):
+    texts = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.encode("text", "UTF-8").alias("payload"))
+    members = tasks.pack_batches(b.tasks(s, d), BATCH).join(texts, "doc_id").withColumn("member", F.concat("episode", F.lit(".txt")))
+    return files.pack_export(members, ["subset", "chunk", "input_camera", "batch"], new_folder(s))
+
+
+@query("SELECT doc_id, (SELECT count(*) FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels)) AS conflicts FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20")
+def publish_staged(s, d):
+    return publish.publish_staged(b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet"), ["doc_id"], new_folder(s))
+
+
+# projections
+
+
+@query("""SELECT subset, chunk, input_camera, episode, replace(input_camera, 'rgb_', 'normal_') AS output_camera, CAST(substr(episode, 9) AS BIGINT) AS episode_index,
+    subset || '/videos/' || chunk || '/' || input_camera || '/' || episode || '.mp4' AS input_path,
+    subset || '/videos/' || chunk || '/' || replace(input_camera, 'rgb_', 'normal_') || '/' || episode || '.mp4' AS output_path,
+    subset || '/meta/normals/' || chunk || '/' || replace(input_camera, 'rgb_', 'normal_') || '/' || episode || '.json' AS metadata_path,
+    sha256('{"chunk":"' || chunk || '","episode":"' || episode || '","input_camera":"' || input_camera || '","subset":"' || subset || '"}') AS task_key FROM tasks""")
+def task_table(s, d):
+    return tasks.task_table(b.tasks(s, d))
+
+
+@query("""SELECT media_id, out_width, out_height, pad_x, pad_y, stride, kept_frames, CAST(ceil(kept_frames / 16.0) AS BIGINT) AS batches,
+    CASE WHEN kept_frames <= 14 THEN 1 ELSE CAST(ceil((kept_frames - 14) / 10.0) AS BIGINT) + 1 END AS windows FROM (
+    SELECT *, CAST((ceil(out_width / 64.0) * 64 - out_width) // 2 AS BIGINT) AS pad_x, CAST((ceil(out_height / 64.0) * 64 - out_height) // 2 AS BIGINT) AS pad_y, CAST(ceil(rate * 20 / stride) AS BIGINT) AS kept_frames FROM (
+    SELECT media_id, CAST(round_even(width * sc, 0) AS BIGINT) AS out_width, CAST(round_even(height * sc, 0) AS BIGINT) AS out_height, rate, CAST(greatest(round_even(rate / 12, 0), 1) AS BIGINT) AS stride FROM (
+    SELECT *, CASE WHEN greatest(width, height) > 1024 THEN 1024.0::DOUBLE / greatest(width, height) ELSE 1.0::DOUBLE END AS sc, CAST(split_part(avg_frame_rate, '/', 1) AS DOUBLE) / CAST(split_part(avg_frame_rate, '/', 2) AS DOUBLE) AS rate FROM media)))""")
+def media_plan(s, d):
+    return sequences.media_plan(b.media(s, d), 1024, 12)
+
+
+@query("""SELECT episode_index, frame_index, array_to_string(list_transform(e, lambda x: CAST(trunc(least(greatest((x / greatest(n, 1e-6) * 0.5 + 0.5) * 255, 0), 255)) AS INT)), ',') AS codes FROM (
+    SELECT episode_index, frame_index, CAST(observation_state AS DOUBLE[]) AS e, sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(CAST(observation_state AS DOUBLE[]), lambda x: x * x)), lambda a, c: a + c)) AS n FROM vecframes)""")
+def normalize_quantize_vectors(s, d):
+    v = b.vecframes(s, d)
+    return v.select("episode_index", "frame_index", F.array_join(stats.quantized_normals(v, "observation_state").cast("array<string>"), ",").alias("codes"))
+
+
+# filters
+
+
+@query("SELECT subset, chunk, input_camera, episode FROM tasks WHERE subset IN ('src0', 'src1', 'src2') AND chunk IN ('chunk-000', 'chunk-001', 'chunk-003') AND input_camera LIKE '%rgb_01' AND CAST(substr(episode, 9) AS BIGINT) BETWEEN 10 AND 350")
+def select_tasks(s, d):
+    return tasks.select_tasks(b.tasks(s, d), ("src0", "src1", "src2"), (0, 1, 3), ("01",), 10, 350).select(*tasks.ORDER)
+
+
+@query("SELECT request_id, w.subset, w.chunk, input_camera, episode FROM wanted w JOIN tasks t ON w.subset = t.subset AND w.chunk = t.chunk AND (w.camera = input_camera OR w.camera = split_part(input_camera, '.', 3) OR w.camera = right(input_camera, 2))")
+def resolve_requests(s, d):
+    return tasks.resolve_requests(b.requests(s, d), b.tasks(s, d))
+
+
+_PLAN = """SELECT DISTINCT w.subset,
+    CASE WHEN w.root = 'meta' THEN w.subset || '/meta/**' WHEN l.chunk IS NOT NULL THEN w.subset || '/' || w.root || printf('/chunk-%03d', w.chunk) || coalesce('/' || w.nested, '') || '/**' END AS pattern,
+    CASE WHEN w.root <> 'meta' AND l.chunk IS NULL THEN 'missing chunk ' || w.chunk || ' in ' || w.root END AS issue
+    FROM (SELECT subset, root, nested, chunk FROM (SELECT DISTINCT subset FROM layout), (VALUES ('meta', NULL), ('data', NULL), ('videos', 'observation.images.rgb_01')) AS m(root, nested), (SELECT DISTINCT CAST(substr(chunk, 7) AS INT) AS chunk FROM wanted)) w
+    LEFT JOIN (SELECT subset, root, CAST(unnest(string_split(chunks, ',')) AS INT) AS chunk FROM layout) l ON w.subset = l.subset AND w.root = l.root AND w.chunk = l.chunk"""
+
+
+def _patterns(s, d):
+    chunks = b.requests(s, d).select(F.explode(exprs.chunk_numbers(F.col("chunks"))).alias("chunk")).distinct()
+    modalities = s.createDataFrame([("metadata",), ("parquet",), ("rgb_01",)], "modality string")
+    return selectors.pattern_plan(_layout(s, d), modalities, chunks)
+
+
+@query(_PLAN)
+def pattern_plan(s, d):
+    return _patterns(s, d)
+
+
+@query("SELECT DISTINCT path FROM paths p JOIN wanted w ON p.chunk = w.chunk WHERE split_part(path, '/', 4) = 'observation.images.rgb_01'")
+def pattern_filter(s, d):
+    return selectors.pattern_filter(_paths(s, d), _patterns(s, d).filter("pattern is not null").select("subset", "pattern"))
+
+
+@query("SELECT episode_index, frame_index, role FROM trimmed")
+def tail_trim(s, d):
+    return trim.tail_trim(b.frames(s, d), _specs(s, d)).select("episode_index", "frame_index", "role")
+
+
+# joins
+
+
+@query("SELECT episode_index, trim_count, original_length FROM specs WHERE episode_index % 13 = 0")
+def missing_episodes(s, d):
+    return trim.missing_episodes(_specs(s, d), b.episodes(s, d).filter("episode_index % 13 <> 0"))
+
+
+@query("""SELECT s.episode_index, what, found, original_length, original_length - trim_count AS final_length,
+    CASE WHEN found = original_length THEN 'to_trim' WHEN found = original_length - trim_count THEN 'trimmed' ELSE 'error' END AS state
+    FROM specs s JOIN (SELECT episode_index, 'metadata' AS what, length AS found FROM episodes UNION ALL SELECT episode_index, 'table', length FROM episodes
+    UNION ALL SELECT episode_index, media_key, frames FROM media_counts) m ON s.episode_index = m.episode_index""")
+def length_audit(s, d):
+    return trim.length_audit(_specs(s, d), b.episodes(s, d), b.frames(s, d), b.media_counts(s, d))
+
+
+@query("SELECT episode_index, camera FROM padding p WHERE tail_missing_count > 0 AND NOT EXISTS (SELECT 1 FROM media_counts m WHERE m.episode_index = p.episode_index AND m.media_key = p.camera)")
+def padded_camera_coverage(s, d):
+    return trim.padded_camera_coverage(b.padding(s, d), b.media_counts(s, d))
+
+
+@query("SELECT DISTINCT subset FROM requests WHERE subset NOT IN (SELECT subset FROM tasks)")
+def unknown_selectors(s, d):
+    return selectors.unknown_selectors(b.requests(s, d), b.tasks(s, d))
+
+
+@query("""SELECT request_id, subset, camera, chunk FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM tasks t WHERE t.subset = w.subset AND t.chunk = w.chunk
+    AND (w.camera = input_camera OR w.camera = split_part(input_camera, '.', 3) OR w.camera = right(input_camera, 2)))""")
+def nested_modality_check(s, d):
+    return selectors.nested_modality_check(b.requests(s, d), b.tasks(s, d)).distinct()
+
+
+@query(f"SELECT pattern FROM (SELECT DISTINCT subset, pattern FROM ({_PLAN}) WHERE pattern IS NOT NULL) q WHERE NOT EXISTS (SELECT 1 FROM paths p WHERE p.subset = q.subset AND starts_with(p.path, replace(q.pattern, '**', '')))")
+def pattern_coverage(s, d):
+    return selectors.pattern_coverage(_paths(s, d), _patterns(s, d).filter("pattern is not null").select("subset", "pattern"))
+
+
+@query("SELECT doc_id, subset, chunk, input_camera, episode, complete, quarantined FROM status")
+def completion_status(s, d):
+    return _status(s, d).drop("input_size_bytes")
+
+
+@query("SELECT doc_id, subset, chunk, input_camera, episode FROM status WHERE NOT complete AND NOT quarantined")
+def pending_tasks(s, d):
+    return tasks.pending_tasks(_status(s, d)).select("doc_id", *tasks.ORDER)
+
+
+@query("SELECT doc_id, 'resolved' AS event FROM status WHERE complete AND quarantined")
+def auto_resolve(s, d):
+    return tasks.auto_resolve(_status(s, d))
+
+
+@query("SELECT doc_id, episode FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels)")
+def publish_conflicts(s, d):
+    return publish.publish_conflicts(b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet"), ["doc_id"]).select("doc_id", "episode")
+
+
+# aggregations
+
+
+@query("SELECT * FROM specs")
+def trim_specs(s, d):
+    return _specs(s, d)
+
+
+_TALL = "SELECT episode_index, unnest(CAST(observation_state AS DOUBLE[])) AS v, unnest(range(len(observation_state))) AS dim FROM vecframes"
+
+
+@query(f"SELECT episode_index, 'observation_state' AS feature, CAST(dim AS INT) AS dim, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, count(*) AS count FROM ({_TALL}) GROUP BY ALL")
+def episode_stats(s, d):
+    return stats.episode_stats(b.vecframes(s, d), "observation_state").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query(f"SELECT CAST(dim AS INT) AS dim, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, count(*) AS count FROM ({_TALL}) GROUP BY ALL")
+def global_stats(s, d):
+    return stats.global_stats(stats.accumulators(b.vecframes(s, d), "observation_state")).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query("SELECT episode_index, role, count(*) AS frames, min(frame_index) AS first_frame, max(frame_index) AS last_frame, min(frame_index) = 0 AND max(frame_index) = count(*) - 1 AND count(DISTINCT frame_index) = count(*) AS contiguous FROM frames GROUP BY ALL")
+def media_frame_counts(s, d):
+    return trim.media_frame_counts(b.frames(s, d), ["episode_index", "role"])
+
+
+@query("SELECT count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, CAST(sum(length) * 2 AS BIGINT) AS total_images FROM episodes")
+def dataset_totals(s, d):
+    return trim.dataset_totals(b.episodes(s, d), 2)
+
+
+@query("""SELECT (SELECT count(*) FROM specs) AS affected_episodes, (SELECT count(*) FROM specs WHERE trim_count = 0) AS already_trimmed,
+    (SELECT CAST(sum(trim_count) AS BIGINT) FROM specs) AS frames_to_delete, (SELECT count(*) FROM specs WHERE trim_count > 0) AS rewritten_files,
+    (SELECT count(*) FROM specs s JOIN media_counts m USING (episode_index) WHERE m.frames = s.original_length) AS media_to_trim""")
+def trim_report(s, d):
+    return trim.trim_report(b.frames(s, d), _specs(s, d), b.media_counts(s, d))
+
+
+@query("""SELECT subset, chunk, input_camera, batch, count(*) AS episodes, min(episode) AS first_episode, max(episode) AS last_episode, CAST(sum(input_size_bytes) AS BIGINT) AS size_bytes,
+    'episodes-' || substr(min(episode), 9) || '-' || substr(max(episode), 9) || '.tar' AS file FROM batched GROUP BY ALL""")
+def shard_summary(s, d):
+    return tasks.shard_summary(tasks.pack_batches(b.tasks(s, d), BATCH))
+
+
+@query("SELECT shard, count(*) AS discovered, count(*) FILTER (NOT complete) AS pending, count(*) FILTER (quarantined AND NOT complete) AS quarantined FROM sharded GROUP BY ROLLUP (shard)")
+def plan_counts(s, d):
+    return tasks.plan_counts(_status(s, d), SHARDS)
+
+
+@query("SELECT task % 4 AS shard, count(*) FILTER (event = 'process_crash') AS process_crash, count(*) FILTER (event = 'python_failure') AS python_failure, count(*) FILTER (event = 'resolved') AS resolved FROM ledger GROUP BY 1")
+def run_summary(s, d):
+    return ledger.run_summary(b.ledger(s, d), SHARDS)
+
+
+@query("SELECT doc_id, 1 + CAST(doc_id % 2 AS BIGINT) AS parts, input_size_bytes // 2 * (1 + doc_id % 2) AS part_bytes FROM tasks WHERE doc_id % 3 = 0")
+def orphan_parts(s, d):
+    t = b.tasks(s, d).filter("doc_id % 3 = 0").withColumn("k", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 2).cast("int"))))
+    path = F.concat_ws("/", "subset", F.lit("videos"), "chunk", exprs.output_camera(F.col("input_camera")), F.concat(F.lit("."), F.col("episode"), F.lit("."), F.col("k").cast("string"), F.lit(".part.mp4")))
+    manifest = t.select("subset", "chunk", path.alias("path"), F.expr("input_size_bytes DIV 2").alias("bytes"))
+    return tasks.orphan_parts(manifest, b.tasks(s, d))
+
+
+@query("SELECT event AS failure_kind, count(*) AS tasks FROM (SELECT task, max_by(event, (ts, event_id)) AS event, max_by(status, (ts, event_id)) AS status FROM states GROUP BY 1) WHERE status = 'quarantined' GROUP BY 1")
+def quarantine_summary(s, d):
+    events = b.ledger(s, d)
+    return ledger.quarantine_summary(ledger.crash_quarantine(events, MOST), events)
+
+
+# windows
+
+
+@query("SELECT episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index FROM trimmed")
+def global_reindex(s, d):
+    return trim.global_reindex(trim.tail_trim(b.frames(s, d), _specs(s, d)))
+
+
+@query("SELECT episode_index, count(*) AS frames, count(*) FILTER (frame_index <> place) AS misplaced FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1 AS place FROM frames) GROUP BY 1")
+def frame_index_audit(s, d):
+    return trim.frame_index_audit(b.frames(s, d))
+
+
+@query("SELECT episode_index, camera, missing_frame_indices = range(frame_count - tail_missing_count, frame_count) AS pure_tail FROM padding")
+def pure_tail_audit(s, d):
+    return trim.pure_tail_audit(b.padding(s, d))
+
+
+@query("SELECT subset, chunk, input_camera, episode, CAST(batch AS BIGINT) AS batch FROM batched")
+def pack_batches(s, d):
+    return tasks.pack_batches(b.tasks(s, d), BATCH).select(*tasks.ORDER, "batch")
+
+
+@query("SELECT doc_id, position, shard FROM sharded")
+def stable_shards(s, d):
+    return tasks.stable_shards(b.tasks(s, d), SHARDS).select("doc_id", "position", "shard")
+
+
+@query("""SELECT episode_index, frame_index, stride, frame_index // stride AS sample FROM (SELECT *, CAST(CASE episode_index % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 5 END AS BIGINT) AS stride FROM frames)
+    WHERE frame_index % stride = 0 AND frame_index // stride < 4""")
+def frame_stride_sample(s, d):
+    return sequences.frame_stride_sample(b.frames(s, d), exprs.rate(b.frame_rate(F.col("episode_index"))), 12, 4)
+
+
+@query("SELECT episode_index, frame_index // 2 AS batch, count(*) AS frames, min(frame_index) AS first_frame, max(frame_index) AS last_frame FROM frames GROUP BY ALL")
+def bounded_batches(s, d):
+    return sequences.bounded_batches(b.frames(s, d), 2)
+
+
+def _windows(view: str, size: int, step: int) -> str:
+    return f"""SELECT f.*, w.win FROM {view} f JOIN (SELECT episode_index, count(*) AS n FROM {view} GROUP BY 1) USING (episode_index),
+        LATERAL (SELECT unnest(range(0, CASE WHEN n <= {size} THEN 1 ELSE CAST(ceil((n - {size}) / {step}.0) AS BIGINT) + 1 END)) AS win) w WHERE frame_index >= win * {step} AND frame_index < win * {step} + {size}"""
+
+
+@query(f"SELECT episode_index, frame_index, win AS \"window\" FROM ({_windows('frames', 3, 2)})")
+def sliding_windows(s, d):
+    return sequences.sliding_windows(b.frames(s, d), 3, 2)
+
+
+@query(f"""SELECT episode_index, frame_index, round(list_reduce(list(v ORDER BY win), lambda a, c: a + c) * 0 + coalesce(v1 * wt + v2 * (1 - wt), v1), 6) AS blended FROM (
+    SELECT episode_index, frame_index, win, v, min_by(v, win) OVER p AS v1, CASE WHEN count(*) OVER p > 1 THEN max_by(v, win) OVER p END AS v2, max_by(wt0, win) OVER p AS wt FROM (
+    SELECT episode_index, frame_index, win, observation_state[1]::DOUBLE + win AS v, CASE WHEN frame_index - win * 10 < 4 THEN 1 - (frame_index - win * 10 + 1) / 5.0::DOUBLE ELSE 0 END AS wt0 FROM ({_windows('vecframes', 14, 10)}))
+    WINDOW p AS (PARTITION BY episode_index, frame_index)) GROUP BY episode_index, frame_index, v1, v2, wt""")
+def overlap_blend(s, d):
+    return sequences.overlap_blend(b.vecframes(s, d), "observation_state", 14, 10).withColumn("blended", F.round("blended", 6))
+
+
+@query("SELECT task, max_by(event, (ts, event_id)) AS event, max_by(event_id, (ts, event_id)) AS event_id, count(*) AS events FROM ledger GROUP BY 1")
+def latest_task_state(s, d):
+    return ledger.latest_task_state(b.ledger(s, d))
+
+
+@query("SELECT task, event_id, CAST(attempt AS INT) AS attempt, CAST(CASE WHEN attempt < 3 THEN 5 * attempt END AS INT) AS wait_seconds, attempt = 3 AS exhausted FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY ts, event_id) AS attempt FROM ledger WHERE event = 'process_crash') WHERE attempt <= 3")
+def retry_schedule(s, d):
+    return ledger.retry_schedule(b.ledger(s, d), MOST, 5)
+
+
+@query("SELECT task, event_id, event, attempts, status FROM states")
+def crash_quarantine(s, d):
+    return ledger.crash_quarantine(b.ledger(s, d), MOST)
+
+
+# order and limits
+
+
+@query("SELECT subset, chunk, input_camera, episode FROM tasks ORDER BY ALL")
+def ordered_plan(s, d):
+    return b.tasks(s, d).select(*tasks.ORDER).orderBy(*tasks.ORDER)
+
+
+@query("""SELECT shard, CAST(place AS INT) AS place, subset, chunk, input_camera, episode FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY position) AS place FROM sharded WHERE NOT complete AND NOT quarantined) WHERE place <= 50""")
+def per_shard_limit(s, d):
+    return tasks.per_shard_limit(_status(s, d), SHARDS, 50)
+
+
+@query("SELECT subset, chunk, input_camera, episode, (SELECT greatest(count(*) - 20, 0) FROM tasks) AS more FROM tasks ORDER BY ALL LIMIT 20")
+def preview_topk(s, d):
+    return tasks.preview(b.tasks(s, d).select(*tasks.ORDER), tasks.ORDER, 20)
+
+
+# set operations
+
+
+@query("SELECT episode_index, camera, frame_count, tail_missing_count FROM padding")
+def union_metadata_roots(s, d):
+    p = b.padding(s, d).select("episode_index", "camera", "frame_count", "tail_missing_count")
+    return p.filter("episode_index % 2 = 0").unionByName(p.filter("episode_index % 2 = 1"))
+
+
+@query("SELECT subset, chunk FROM wanted EXCEPT SELECT subset, chunk FROM tasks")
+def chunk_except(s, d):
+    return selectors.chunk_except(b.requests(s, d), b.tasks(s, d))
+
+
+# streams
+
+
+def _stream(s, rows: DataFrame) -> DataFrame:
+    path = new_folder(s)
+    rows.write.parquet(path)
+    return s.readStream.schema(rows.schema).parquet(path)
+
+
+@query("SELECT task, event_id, event, attempts, status FROM states")
+def stream_quarantine(s, d):
+    return jobs.drained(jobs.quarantine_stream(_stream(s, b.ledger(s, d)), MOST), new_folder(s), new_folder(s))
+
+
+@query("""SELECT task, count(*) AS beats, max(ts) AS last_beat FROM sessions GROUP BY task, session
+    HAVING max(ts) + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM heartbeats)""")
+def stream_lease_expiry(s, d):
+    out = jobs.drained(jobs.lease_stream(_stream(s, b.heartbeats(s, d)), TTL), new_folder(s), new_folder(s))
+    return out.withColumn("last_beat", F.col("last_beat").cast("timestamp_ntz"))
+
+
+@query("SELECT task, count(DISTINCT beat_id) AS outputs FROM heartbeats GROUP BY 1")
+def stream_new_outputs(s, d):
+    beats = b.heartbeats(s, d)
+    arrivals = beats.unionByName(beats.filter("beat_id % 5 = 0"))
+    return jobs.drained(jobs.new_outputs_stream(_stream(s, arrivals)), new_folder(s), new_folder(s)).groupBy("task").agg(F.count("*").alias("outputs"))
+
+
+# user functions
+
+
+@query("""SELECT episode_index, CASE WHEN episode_index % 7 = 3 THEN 'failed' ELSE 'complete' END AS status, CASE WHEN episode_index % 7 = 3 THEN 3 ELSE 1 END AS attempt,
+    CASE WHEN episode_index % 7 <> 3 THEN count(*) END AS count, CASE WHEN episode_index % 7 <> 3 THEN avg(length(text)) END AS value, CASE WHEN episode_index % 7 = 3 THEN 'ValueError: bad episode' END AS error FROM frames GROUP BY 1""")
+def map_episodes_resilient(s, d):
+    def measure(pdf):
+        if pdf["episode_index"].iloc[0] % 7 == 3:
+            raise ValueError("bad episode")
+        return len(pdf), pdf["text"].str.len().mean()
+
+    return publish.map_episodes_resilient(b.frames(s, d), "episode_index", measure, MOST)
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 6) AS norm FROM embeddings")
+def map_batches_with_setup(s, d):
+    def setup():
+        import numpy
+
+        return numpy
+
+    def norms(np, pdf):
+        return pdf[["vec_id"]].assign(norm=[round(float(np.sqrt((np.asarray(v, dtype=float) ** 2).sum())), 6) for v in pdf["embedding"]])
+
+    return publish.map_batches_with_setup(s.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding"), setup, norms, "vec_id long, norm double")
