@@ -2,7 +2,8 @@
 
 Every record is a gzip member of its own. The reader deals byte ranges, not
 files, to tasks: a task looks for gzip magic in its range, takes the first
-candidate whose header decodes to a WARC version line, and owns the records
+candidate whose header decodes to a WARC version line and which the next record or
+the end of the file follows, and owns the records
 that start inside the range, the last of which it reads beyond the end. From a
 valid record on it goes from member to member.
 
@@ -127,13 +128,22 @@ class MemberStream:
             if not self.more():
                 return False
 
+    def is_followed(self) -> bool:
+        """Whether the member decodes and a record or the end of the file comes next: a member inside another's stored bytes isn't one."""
+        probe = MemberStream(self.source, self.at, self.size)
+        try:
+            probe.member()
+        except (zlib.error, ValueError):
+            return False
+        return probe.at >= self.size or probe.is_record()
+
     def seek_record(self, end: int) -> bool:
         """Goes to the next record that starts before `end`."""
         while self.at < end:
             found = self.held.find(MAGIC)
             if found >= 0:
                 self.skip(found)
-                if self.at < end and self.is_record():
+                if self.at < end and self.is_record() and self.is_followed():
                     return True
                 self.skip(1)
             else:

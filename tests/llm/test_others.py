@@ -1,0 +1,150 @@
+"""Quality rules, WARC archives, URL filter, personal data, pipeline."""
+
+import hashlib
+import io
+import os
+import re
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from framewright.llm import common, pii, quality, queries, urlfilter, warc
+
+DIR = "/root/testdata/sf0.001"
+
+
+def base(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines, seen, dup = text.split("\n"), set(), 0
+    for line in lines:
+        if re.search("[^\x20\x09-\x0d]", line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    places = {}
+    for i, w in enumerate(windows):
+        places.setdefault(w, []).append(i)
+    covered = {k for at in places.values() if len(at) > 1 for i in at for k in range(i, i + 8)}
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed
+
+
+def test_base_rules_as_brute_force(docs, sample, edges):
+    rows = sample + edges + [(900100, "a b c d e f g h i\na b c d e f g h i\n\n \n" * 3)]
+    got = quality.judge_documents(docs(rows), None).drop("probability").collect()
+    want = [(i, *base(t), not base(t)[-1]) for i, t in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert quality.judge_documents(docs([]), None).count() == 0
+
+
+def test_classifier_on_held_out_rows():
+    con = duckdb.connect()
+    rows = con.execute("SELECT text, quality FROM '/root/testdata/sf0.1/documents.parquet' JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY hash(doc_id) LIMIT 2400").fetchall()
+    train, test = rows[:1500], rows[1500:]
+    model = quality.fit([(q, *quality.shares(t)) for t, q in train], {0: sum(q == 0 for _, q in train), 1: sum(q == 1 for _, q in train)})
+    p = model.probabilities(quality.TextBatch.of([t for t, _ in test]))
+    good = [x >= 0.5 for x, (_, q) in zip(p, test) if q == 1]
+    bad = [x < 0.5 or base(t)[-1] for x, (t, q) in zip(p, test) if q == 0]
+    assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) > 0.9
+
+
+def test_no_model_without_both_classes(spark, docs):
+    labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
+    assert quality.train(docs([(1, "a"), (2, "b")]), labels) is None
+
+
+def test_records_start_in_their_range():
+    members = [warc.gzip_member(warc.record(i, p := os.urandom((0, 10, 3000)[i % 3]), hashlib.sha1(p).hexdigest(), None), 3) for i in range(200)]
+    tricky = warc.gzip_member(warc.record(200, p := warc.MAGIC * 50 + members[0], hashlib.sha1(p).hexdigest(), None), 0)
+    data = b"".join(members) + tricky
+    for step in (700, 5000, 1 << 30):
+        got = [r[0] for a in range(0, len(data), step) for r in warc.records_in(io.BytesIO(data), a, min(a + step, len(data)), len(data))]
+        assert got == list(range(201))
+
+
+def test_archives(spark):
+    big = "é" * 600
+    rows = [(1, big, 1), (2, big, 1), (3, "x", 1), (4, "x", 1), (5, None, 1), (6, "", 1), (7, big, 1), (7, big, 1), (None, "y" * 2000, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, digest int")
+    folder = common.shared_dir(spark)
+    warc.write_archives(warc.mark_revisits(pages), folder)
+    got = sorted(map(tuple, warc.read_archives(spark, folder, split_bytes=100).collect()), key=str)
+    want = []
+    for i, t, _ in rows:
+        raw = (t or "").encode()
+        revisit = t == big and i != 7
+        want.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", 7 if revisit else None))
+    assert got == sorted(want, key=str)
+
+
+def test_url_parts_and_rules(spark):
+    urls = ["http://A.Example.COM/en/71?q", "x://example.net/de/8", "https://other.org/es/", "nothing", None, "http://spam-farm.example.com", "http://w.spam-farm.example.com#x", "http://notspam-farm.example.com/a", "://h/p://q", "http://example.com/en/8\n"]
+    got = [tuple(r) for r in urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), queries.URL_RULES, queries.BLOCKED_HOSTS).orderBy("page_id").collect()]
+    assert [(r[1], r[3], r[4]) for r in got] == [
+        ("a.example.com", "example.com/en/7", "allow"), ("example.net", "example.net/de/8", "block"), ("other.org", "org/es/", "block"), ("", None, "allow"), ("", None, "allow"),
+        ("spam-farm.example.com", None, "block"), ("w.spam-farm.example.com", None, "block"), ("notspam-farm.example.com", None, "allow"), ("h", None, "allow"), ("example.com", "com/en/", "block")]
+    assert urlfilter.judge_urls(spark.createDataFrame([], "page_id long, url string"), queries.URL_RULES, queries.BLOCKED_HOSTS).count() == 0
+
+
+def test_cascade_is_exact_on_its_universe(spark):
+    universe = spark.range(3000).selectExpr("concat('host', id, '.example') as key")
+    listed = tuple(f"host{i}.example" for i in range(0, 3000, 13))
+    levels = urlfilter.build_cascade(universe, listed)
+    held = {r["key"] for r in universe.filter(urlfilter.in_cascade(universe["key"], levels)).collect()}
+    assert held == set(listed) and len(levels) > 1
+
+
+def test_surrogates(spark):
+    text = 'a token = "1eb9c654e721b4f812088970e66a6345cee33dd6"### that.92@mail2.example.com### +1 (499) 555-6503%%% 152.143.123.131### 4785380592391139$$$ Mr. Smith, Frau Müller; Госпожа Иванова.'
+    rows = [(1, text, 1), (2, None, 1), (3, "", 1), (4, "clean text, nothing 12 3.5", 1), (5, "152.143.123.131 and that.92@mail2.example.com", 1), (5, "152.143.123.131 and that.92@mail2.example.com", 1), (6, "y " * 50_000 + "8.8.4.4", 1)]
+    got = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string, entity int")).orderBy("doc_id").collect()
+    first = got[0]["text"]
+    assert got[0]["n_entities"] == 8 and (got[1]["text"], got[2]["text"], got[3]["text"]) == (None, "", rows[3][1])
+    for secret in ("1eb9c654", "that.92", "499", "152.143", "47853805", "Smith", "Müller", "Иванова"):
+        assert secret not in first
+    shape = r'^a token = "[0-9a-f]{40}"### ([a-z]{4}\.[0-9]{2}@[a-z]{4}[0-9]\.[a-z]{7}\.com)### \+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}%%% ([0-9]+(?:\.[0-9]+){3})### [0-9]{16}\$\$\$ Mr\. [A-Z][a-z]+, Frau [A-Z][a-z]+; Госпожа [А-Я][а-я]+\.$'
+    email, ip = re.match(shape, first).groups()
+    assert got[4]["text"] == got[5]["text"] == f"{ip} and {email}"
+    assert got[6]["n_entities"] == 1 and got[6]["text"].startswith("y " * 50_000)
+
+
+def test_surrogates_are_redrawn_on_collision(spark, monkeypatch):
+    plain = pii.surrogate
+    from pyspark.sql import functions as F
+
+    def colliding(entity, kind, attempt, key):
+        return F.when((attempt == 0) & entity.isin("1.2.3.4", "1.2.3.5"), F.lit("9.9.9.9")).otherwise(plain(entity, kind, attempt, key))
+
+    monkeypatch.setattr(pii, "surrogate", colliding)
+    rows = [(1, "1.2.3.4"), (2, "1.2.3.5 1.2.3.4"), (None, "1.2.3.5"), (4, "7.7.7.7")]
+    got = {r["doc_id"]: r["text"] for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    a, b = got[1], got[None]
+    assert a != b and got[2] == f"{b} {a}" and len({a, b, got[4]}) == 3
+
+
+def test_pipeline_stages(spark):
+    docs, before = common.table(spark, DIR, "documents"), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.checkpoint(stage(spark, docs, DIR))
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        assert before is None or ids <= before
+        before = ids
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, DIR).collect()
+    assert {r["doc_id"] for r in pieces} == before
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, DIR)
+    columns = sorted(df.columns)
+    cursor = con.execute(queries.ORACLE_SQL[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(names) == columns
+    order = [names.index(c) for c in columns]
+    assert sorted(tuple(map(str, (r[c] for c in columns))) for r in df.collect()) == sorted(tuple(str(r[i]) for i in order) for r in cursor.fetchall())
