@@ -408,7 +408,7 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=pa.schema(_SENT_ROW))
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, text_sha256 string"
 
 
 def _apply(folder: str, with_text: bool):
@@ -429,18 +429,19 @@ def _apply(folder: str, with_text: bool):
                 begin = end = np.zeros(0, np.int64)
             edges = [0, *np.column_stack((begin, end)).ravel().tolist(), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
+            source = hashlib.sha256(raw).hexdigest() if with_text else None
             for key in ids:
                 result = (int((end - begin).sum()), len(begin), kept)
                 if len(raw) >= WIDTH and (LAST if key is None else key) > block.least[t]:
                     result = (len(raw), 1, b"")  # a copy of a smaller id's text in this block
-                out.append({"doc_id": key, "n_bytes": len(raw), "n_removed": result[0], "n_spans": result[1], "kept_sha256": hashlib.sha256(result[2]).hexdigest(), "kept_text": result[2].decode("utf-8", "replace") if with_text else None})
-        return pa.Table.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())]))
+                out.append({"doc_id": key, "n_bytes": len(raw), "n_removed": result[0], "n_spans": result[1], "kept_sha256": hashlib.sha256(result[2]).hexdigest(), "kept_text": result[2].decode("utf-8", "replace") if with_text else None, "text_sha256": source})
+        return pa.Table.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string()), ("text_sha256", pa.string())]))
 
     return run
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """What is left of every row of `docs` (doc_id, text), and how much was removed."""
+    """What is left of every row of `docs` (doc_id, text), and how much was removed; with_text: also the remaining text, and the input's hash."""
     spark = docs.sparkSession
     common.ship(spark)
     docs = docs.select("doc_id", "text")
@@ -454,4 +455,4 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     spans = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sort_bucket, SENT)
     told = blocks.selectExpr("bucket", "block", "cast(null as binary) as payload").unionByName(sent.filter("bucket < 0")).unionByName(spans)
     out = told.groupBy("block").applyInArrow(_apply(folder, with_text), RESULT)
-    return out if with_text else out.drop("kept_text")
+    return out if with_text else out.drop("kept_text", "text_sha256")
