@@ -33,8 +33,8 @@ RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type
 def mark_revisits(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     """(page_id, payload, digest, refers_to): of equal payloads of `least_bytes` or more the largest page_id is kept whole, the others refer to it.
 
-    Digests are counted before they meet, so that a payload held by a third of
-    the pages is one row of the small side; that join's large side may be split.
+    The groups of equal payloads (a row each) are written first, so that Spark knows their size: few are broadcast and no payload is
+    shuffled; many are met by a join whose large side may be split. A payload held by a third of the pages is one row there.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     with_digest = pages.select("page_id", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
@@ -43,7 +43,7 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
         .groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies"))
         .filter("copies > 1").select("digest", "original")
     )
-    return with_digest.join(groups, "digest", "left").select(
+    return with_digest.join(common.checkpoint(groups), "digest", "left").select(
         "page_id", "payload", "digest", F.when(F.col("page_id") != F.col("original"), F.col("original")).alias("refers_to")
     )
 
