@@ -4,12 +4,13 @@ One hash per shingle fills the bins of a signature; an empty bin borrows from th
 bin that a fixed hash of (bin, attempt) names first that isn't empty. Bands of
 bins are buckets. Documents with equal shingle sets are one class from the start.
 
-Within a bucket only stars are compared: some centres with the members that
-aren't known to be connected to them. A centre is then done in that bucket; buckets whose
-remaining members are connected are done; the others get new centres, those
-whose component is smallest there. So no link between two members of a bucket is
-missed, and a group of copies costs edges in proportion to its size. Every
-link is confirmed on the full shingle sets.
+Candidates are stars: first each bucket's members with its smallest member; then, once
+the links found so far have made components, each member outside its bucket's largest
+component with the members it isn't connected to. So no link between components is missed, and a
+group of copies costs edges in proportion to its size. A pair becomes a candidate only if its set sizes and
+parity bitmaps allow the similarity: a bitmap holds the parity of the number of shingles in each of 512
+bins, and two bitmaps differ in no more bits than the sets differ in shingles, so this drops no link.
+Every link is confirmed on the full shingle sets.
 
 With 42 bands of 6 bins a pair at similarity 0.85 shares no bucket with probability 2e-9.
 
@@ -25,18 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import common, graph
 
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
+PARITY_WORDS = 8  # of 64 bins
 BATCH_BYTES = 4_000_000
-CENTRES = 4
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
-SIGNATURE = "doc_id long, n_shingles long, class binary, bands array<long>"
+PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
+SIGNATURE = "doc_id long, n_shingles long, class binary, bands array<long>, " + ", ".join(f"{p} long" for p in PARITY)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -106,6 +108,12 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of the bins, as PARITY_WORDS integers."""
+    bins = np.bincount(((s >> np.uint64(20)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    return np.packbits((bins & 1).astype(np.uint8)).view("<i8")
+
+
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
     keys, texts, size = [], [], 0
     for batch in batches:
@@ -125,9 +133,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(texts)
         some = [i for i, s in enumerate(sets) if len(s)]
         bands = dict(zip(some, band_hashes(signatures([sets[i] for i in some])))) if some else {}
+        parity = np.array([parities(s) for s in sets])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([bands.get(i) for i in range(len(sets))], pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "class", "bands"],
+            [pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array([bands.get(i) for i in range(len(sets))], pa.list_(pa.int64())), *map(pa.array, parity.T)],
+            ["doc_id", "n_shingles", "class", "bands", *PARITY],
         )
 
 
@@ -162,40 +171,40 @@ def confirm_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.checkpoint(both.mapInArrow(_confirm(percent), "a long, b long, linked boolean"))
 
 
-def star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """All links that matter for components, from buckets (bucket, node)."""
-    spark = members.sparkSession
-    comps: DataFrame | None = None
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    while True:
-        known = members.withColumn("comp", F.col("node")) if comps is None else (
-            members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"))
-        known = common.checkpoint(known)
-        if comps is None:  # every bucket has at least two members, none connected yet
-            centres = known.groupBy("bucket").agg(F.array(F.min("node")).alias("centres"))
-        else:
-            inside = known.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-            ways = [F.min_by("node", F.struct("n", F.xxhash64(F.lit(i), F.col("node")))) for i in range(CENTRES)]
-            centres = inside.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.array_distinct(F.array(*ways)).alias("centres"))
-            centres = centres.filter("least <> most").select("bucket", "centres")
-        dealt = common.checkpoint(known.join(centres, "bucket"))
-        if dealt.isEmpty():
-            return links
-        star = dealt.select(F.col("node"), "comp", "bucket", F.explode("centres").alias("centre"))
-        centre = dealt.filter(F.array_contains("centres", F.col("node"))).select("bucket", F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
-        if comps is not None:
-            star = star.join(centre, ["bucket", "centre"]).filter("comp <> centre_comp")
-        pairs = star.filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        result = confirm_links(pairs, sets, percent)
-        pairs_done = result.select("a", "b")
-        tested = pairs_done if tested is None else tested.union(pairs_done)
-        new = result.filter("linked").select("a", "b")
-        links = new if links is None else links.union(new)
-        comps = graph.contract(links) or spark.createDataFrame([], "node long, root long")
-        members = dealt.filter(~F.array_contains("centres", F.col("node"))).select("bucket", "node")
+def may_link(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and parities of the aliased rows allow the similarity: at most (1 - t) / (1 + t) of both sizes may differ."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = F.lit(0)
+    for p in PARITY:
+        differ = differ + F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}")))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
+
+
+def _pairs(x: str, y: str, rows: DataFrame) -> DataFrame:
+    a, b = F.col(f"{x}.node"), F.col(f"{y}.node")
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that make the components, from buckets (bucket, node, n, parities)."""
+    facts = ["node", "n", *PARITY]
+    centre = members.groupBy("bucket").agg(F.min_by(F.struct(*facts), "node").alias("c")).select("bucket", "c.*")
+    x, y = members.alias("x"), centre.alias("y")
+    stars = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") != F.col("y.node")) & may_link("x", "y", percent))
+    first = confirm_links(_pairs("x", "y", stars), sets, percent).filter("linked").select("a", "b")
+    roots = graph.contract(first)
+    if roots is None:
+        known = members.withColumn("comp", F.col("node"))
+    else:
+        known = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    known = common.checkpoint(known)
+    inside = known.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    largest = inside.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"))
+    open_ = common.checkpoint(known.join(largest.filter("comps > 1"), "bucket"))
+    x, y = open_.filter("comp <> largest").alias("x"), open_.alias("y")
+    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent))
+    second = confirm_links(_pairs("x", "y", rest), sets, percent).filter("linked").select("a", "b")
+    return first.union(second)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -204,14 +213,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = common.checkpoint(docs.mapInArrow(_sign, SIGNATURE))
     # equal sets are one class; its node is its smallest id
-    classes = signed.filter("doc_id is not null and n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    bands = common.checkpoint(classes).select("node", F.explode("bands").alias("bucket"))
+    facts = [F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in PARITY]]
+    classes = common.checkpoint(signed.filter("doc_id is not null and n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"), *facts).drop("class"))
+    bands = classes.select("node", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("bucket")
-    members = common.checkpoint(bands.join(shared, "bucket").select("bucket", "node"))
+    members = common.checkpoint(bands.join(shared, "bucket").join(classes.drop("bands"), "node"))
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     sets = common.checkpoint(docs.join(nodes, "doc_id", "left_semi").mapInArrow(_gather, "node long, shingles binary").dropDuplicates(["node"]))
-    links = star_links(members, sets, percent)
-    joined = graph.components(links) if links is not None else None
+    joined = graph.components(star_links(members, sets, percent))
     of_class = signed.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"))
     if joined is None:
         of_class = of_class.withColumn("component", F.col("node"))
