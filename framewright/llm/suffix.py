@@ -39,8 +39,9 @@ from framewright.llm import common
 
 WIDTH, GRAM = 50, 20
 REACH = WIDTH - GRAM + 1  # grams in a window
-BLOCK_BYTES = 3_000_000
-BUCKET_BYTES = 12_000_000  # of text whose anchors one bucket holds
+BLOCK_BYTES = 1_500_000
+BUCKET_BYTES = 4_000_000  # of text whose anchors one bucket holds
+SORTED_TOGETHER = 200_000  # windows that a bucket sorts at a time
 LAST = (1 << 63) - 1
 _B = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
@@ -58,10 +59,13 @@ class PrefixHashes:
 
     def __init__(self, data: np.ndarray):
         self.data = data
-        power = np.cumprod(np.full(len(data), _B, np.uint64))
+        power = np.full(len(data), _B, np.uint64)
+        np.cumprod(power, out=power)
+        power *= data.astype(np.uint64) + np.uint64(1)
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=self.total[1:])
-        self.inverse = np.cumprod(np.full(len(data) + 1, pow(_B, -1, 1 << 64), np.uint64))
+        np.cumsum(power, out=self.total[1:])
+        self.inverse = np.full(len(data) + 1, pow(_B, -1, 1 << 64), np.uint64)
+        np.cumprod(self.inverse, out=self.inverse)
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
         return _mix((self.total[start + length] - self.total[start]) * self.inverse[start])
@@ -120,8 +124,8 @@ def merge_sort(hashes: PrefixHashes, suffixes: np.ndarray, segment: np.ndarray,
 
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
     out = np.ones(len(a), bool)
-    for lo in range(0, len(a), 100_000):
-        s, t, n = a[lo:lo + 100_000], b[lo:lo + 100_000], length[lo:lo + 100_000]
+    for lo in range(0, len(a), 20_000):
+        s, t, n = a[lo:lo + 20_000], b[lo:lo + 20_000], length[lo:lo + 20_000]
         step = np.arange(int(n.max()) if len(n) else 0)
         i = np.minimum(step[None, :], n[:, None] - 1)
         out[lo:lo + 100_000] = (data[s[:, None] + i] == data[t[:, None] + i]).all(1)
@@ -139,7 +143,7 @@ class Runs:
         self.key = none.astype(np.uint64)
         if n < WIDTH:
             return
-        gram = self.hashes.of(np.arange(n - GRAM + 1), GRAM)
+        gram = _mix((self.hashes.total[GRAM:] - self.hashes.total[:-GRAM]) * self.hashes.inverse[:n - GRAM + 1])
         best = (gram & np.uint64(_MASK << 24 & _MASK)) | np.arange(len(gram), dtype=np.uint64)
         reach = 1
         while reach * 2 <= REACH:
@@ -147,10 +151,10 @@ class Runs:
             reach *= 2
         best = np.minimum(best[:n - WIDTH + 1], best[REACH - reach:REACH - reach + n - WIDTH + 1])
         chosen = (best & np.uint64((1 << 24) - 1)).astype(np.int64)
-        at = np.arange(n - WIDTH + 1)
-        text = np.searchsorted(bounds, at, side="right") - 1
-        inside = at + WIDTH < bounds[text + 1]
-        at, chosen, text = at[inside], chosen[inside], text[inside]
+        del best
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n - WIDTH + 1]
+        at = np.flatnonzero(np.arange(WIDTH, n + 1) < bounds[text + 1])
+        chosen, text = chosen[at], text[at]
         if not len(at):
             return
         new = np.flatnonzero((np.diff(chosen, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
@@ -208,16 +212,16 @@ def short(key: np.ndarray) -> np.ndarray:
     return key & np.uint64((1 << 40) - 1)
 
 
-ANCHORS = "bucket long, block string, keys binary"
-SENT = "bucket long, block string, payload binary"
+ANCHORS = "bucket long, block long, keys binary"
+SENT = "bucket long, block long, payload binary"
 
 
 def _batch(rows: list[dict], names: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=pa.schema(names))
 
 
-_ANCHOR_ROW = [("bucket", pa.int64()), ("block", pa.string()), ("keys", pa.binary())]
-_SENT_ROW = [("bucket", pa.int64()), ("block", pa.string()), ("payload", pa.binary())]
+_ANCHOR_ROW = [("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary())]
+_SENT_ROW = [("bucket", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())]
 
 
 def _make_blocks(folder: str, buckets: int):
@@ -234,9 +238,9 @@ def _make_blocks(folder: str, buckets: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal held, size, number
-            name = f"block-{context.partitionId():06d}-{context.taskAttemptId()}-{number}"
+            name = (context.taskAttemptId() << 24) + number  # a retried task's blocks have other names
             block = Block(list(held), list(held.values()))
-            with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
+            with fs.open_output_stream(f"{path}/block-{name}", compression=None) as out:
                 out.write(block.dump())
             held, size, number = {}, 0, number + 1
             rows = [{"bucket": -1, "block": name, "keys": None}]
@@ -299,9 +303,9 @@ def _load(data: bytes) -> dict[str, np.ndarray]:
     return dict(np.load(io.BytesIO(zstandard.decompress(data))))
 
 
-def _read_block(folder: str, name: str) -> Block:
+def _read_block(folder: str, name: int) -> Block:
     fs, path = common.filesystem(folder)
-    with fs.open_input_stream(f"{path}/{name}", compression=None) as source:
+    with fs.open_input_stream(f"{path}/block-{name}", compression=None) as source:
         return Block.load(source.read())
 
 
@@ -381,6 +385,28 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     if not len(use):
         return pa.Table.from_pylist([], schema=pa.schema(_SENT_ROW))
     hashes = PrefixHashes(data)
+    found = []
+    for first, last in _portions(number, count[use], SORTED_TOGETHER):
+        found.append(_lost_windows(hashes, use[first:last], number[first:last], start, count, owner, shift, base))
+    record, begin = (np.concatenate(x) for x in zip(*found))
+    bucket, out = rows.column("bucket")[0].as_py(), []
+    of = source[record]
+    for i in np.unique(of):
+        s, e = merged(begin[of == i], begin[of == i] + WIDTH)
+        out.append({"bucket": bucket, "block": names[i], "payload": _dump(start=s, end=e)})
+    return pa.Table.from_pylist(out, schema=pa.schema(_SENT_ROW))
+
+
+def _portions(number: np.ndarray, windows: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Cuts the runs between anchors, about `most` windows together."""
+    edges = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+    total = np.concatenate(([0], np.cumsum(windows)))[edges]
+    cuts = edges[np.flatnonzero(np.append(True, np.diff(total // most) > 0))]
+    yield from zip(cuts.tolist(), [*cuts[1:].tolist(), len(number)])
+
+
+def _lost_windows(hashes: PrefixHashes, use, number, start, count, owner, shift, base) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the windows of some anchors' runs; (run, start of the window) where a smaller id has the window too."""
     # windows, filed by anchor and offset: only those of one file can be equal
     run = np.repeat(np.arange(len(use)), count[use])
     step = np.arange(len(run)) - np.repeat(np.concatenate(([0], np.cumsum(count[use])))[:-1], count[use])
@@ -395,17 +421,11 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     equal = np.zeros(len(suffix), bool)
     equal[near + 1] = hashes.common_prefix(suffix[near], suffix[near + 1], WIDTH) == WIDTH
     i = np.flatnonzero(equal)
-    equal[i] = same_bytes(data, suffix[i - 1], suffix[i], np.full(len(i), WIDTH))
+    equal[i] = same_bytes(hashes.data, suffix[i - 1], suffix[i], np.full(len(i), WIDTH))
     classes = np.flatnonzero(~equal)
     least = np.repeat(np.minimum.reduceat(owner[record], classes), np.diff(np.append(classes, len(record))))
     lost = owner[record] > least
-    record, begin = record[lost], start[record[lost]] + step[lost]
-    bucket, out = rows.column("bucket")[0].as_py(), []
-    of = source[record]
-    for i in np.unique(of):
-        s, e = merged(begin[of == i], begin[of == i] + WIDTH)
-        out.append({"bucket": bucket, "block": names[i], "payload": _dump(start=s, end=e)})
-    return pa.Table.from_pylist(out, schema=pa.schema(_SENT_ROW))
+    return record[lost], start[record[lost]] + step[lost]
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, text_sha256 string"
