@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     bands = classes.select("node", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("bucket")
     members = common.checkpoint(bands.join(shared, "bucket").join(classes.drop("bands"), "node"))
-    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    nodes = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")  # grows with the documents: never broadcast
     sets = common.checkpoint(docs.join(nodes, "doc_id", "left_semi").mapInArrow(_gather, "node long, shingles binary").dropDuplicates(["node"]))
     joined = graph.components(star_links(members, sets, percent))
     of_class = signed.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"))
