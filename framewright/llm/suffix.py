@@ -123,12 +123,11 @@ def merge_sort(hashes: PrefixHashes, suffixes: np.ndarray, segment: np.ndarray,
 
 
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
-    out = np.ones(len(a), bool)
-    for lo in range(0, len(a), 20_000):
-        s, t, n = a[lo:lo + 20_000], b[lo:lo + 20_000], length[lo:lo + 20_000]
-        step = np.arange(int(n.max()) if len(n) else 0)
-        i = np.minimum(step[None, :], n[:, None] - 1)
-        out[lo:lo + 100_000] = (data[s[:, None] + i] == data[t[:, None] + i]).all(1)
+    out, most = np.ones(len(a), bool), 20_000
+    for lo in range(0, len(a), most):
+        part = slice(lo, lo + most)
+        i = np.minimum(np.arange(int(length[part].max()))[None, :], length[part][:, None] - 1)
+        out[part] = (data[a[part][:, None] + i] == data[b[part][:, None] + i]).all(1)
     return out
 
 

@@ -103,6 +103,13 @@ def test_suffix_merge_sort():
     assert cut == sorted(cut) and sorted(order) == list(range(400))
 
 
+def test_byte_comparison_in_portions():
+    data = np.tile(np.arange(97, 107, dtype=np.uint8), 100)
+    a = np.arange(45_000) % 500
+    equal = suffix.same_bytes(data, a, a + 10 + (np.arange(45_000) % 7 == 0), np.full(45_000, 50))
+    assert (equal == (np.arange(45_000) % 7 != 0)).all()
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
 
