@@ -1,9 +1,9 @@
 """Repeated passages of documents, found by a hash-compared suffix sort, and their removal.
 
 A byte is removed if a 50-byte string that covers it also starts in a document
-with a smaller id. Every 50-byte window is filed under its anchor, the 20-byte gram in it
+with a smaller id. Every 50-byte window is filed under its anchor, the 26-byte gram in it
 with the lowest hash (leftmost of equals), so equal windows have equal anchors at
-equal offsets; windows in a row with one anchor form a run, about one for 16 bytes.
+equal offsets; windows in a row with one anchor form a run, about one for 13 bytes.
 
 1. Tasks cut their rows into blocks of some MB, write each block's distinct texts
    to a file in the shared folder, and send the anchors' hashes, packed, by bucket.
@@ -11,7 +11,7 @@ equal offsets; windows in a row with one anchor form a run, about one for 16 byt
 3. A block sends the runs of repeated anchors with their bytes, equal runs once;
    what repeats inside the block is settled there. So a passage or a copy that a third
    of all documents share reaches a bucket once for each block.
-4. A bucket sorts the windows, suffixes cut at 50 bytes, by merge sort; two suffixes are
+4. A bucket drops windows whose hash no other document's window has, and sorts the others, suffixes cut at 50 bytes, by merge sort; two suffixes are
    compared by their longest common prefix, which binary search finds on prefix
    polynomial hashes, and the byte behind it. Neighbours with a common prefix of 50
    are verified byte by byte. The smallest id of each class keeps the passage.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import common
 
-WIDTH, GRAM = 50, 20
+WIDTH, GRAM = 50, 26
 REACH = WIDTH - GRAM + 1  # grams in a window
 BLOCK_BYTES = 1_500_000
 BUCKET_BYTES = 4_000_000  # of text whose anchors one bucket holds
@@ -72,12 +72,16 @@ class PrefixHashes:
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
         """Longest common prefix of the suffixes at a and b, up to `limit`, by binary search."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), limit, np.int64)
+        found = np.full(len(a), limit, np.int64)
+        open_ = np.flatnonzero(self.of(a, limit) != self.of(b, limit))  # equal ones need no search
+        a, b = a[open_], b[open_]
+        low, high = np.zeros(len(a), np.int64), np.full(len(a), limit - 1, np.int64)
         while (low < high).any():
             middle = (low + high + 1) // 2
             same = self.of(a, middle) == self.of(b, middle)
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-        return low
+        found[open_] = low
+        return found
 
     def less(self, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
         """Whether the suffix at a (cut at `limit`) sorts before that at b."""
@@ -411,6 +415,16 @@ def _lost_windows(hashes: PrefixHashes, use, number, start, count, owner, shift,
     step = np.arange(len(run)) - np.repeat(np.concatenate(([0], np.cumsum(count[use])))[:-1], count[use])
     record = use[run]
     file = number[run] * WIDTH + (shift[record] - step + WIDTH) % WIDTH
+    # equal windows have equal hashes: others, and those of one document only, are out
+    content = hashes.of(base[record] + step, WIDTH)
+    order = np.argsort(content, kind="stable")
+    group = np.flatnonzero(np.append(True, content[order][1:] != content[order][:-1]))
+    own = owner[record][order]
+    several = np.repeat(np.minimum.reduceat(own, group) != np.maximum.reduceat(own, group), np.diff(np.append(group, len(order))))
+    stay = order[several]
+    if not len(stay):
+        return record[:0], start[:0]
+    record, step, file = record[stay], step[stay], file[stay]
     by_file = np.argsort(file, kind="stable")
     record, step, file = record[by_file], step[by_file], file[by_file]
     suffix = base[record] + step
