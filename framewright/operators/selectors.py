@@ -30,7 +30,7 @@ def subset_layout(files: DataFrame) -> DataFrame:
 
 def pattern_plan(layout: DataFrame, modalities: DataFrame, chunks: DataFrame) -> DataFrame:
     """Patterns and issues of every subset: modality x chunk against the layout; a missing chunk of a root is an issue."""
-    wanted = layout.select("subset").distinct().join(F.broadcast(modalities)).join(F.broadcast(chunks))
+    wanted = layout.select("subset").distinct().join(F.broadcast(modalities)).join(chunks)
     wanted = wanted.withColumn("path", exprs.modality(F.col("modality"))).withColumn("root", F.substring_index("path", "/", 1)).withColumn("nested", F.when(F.col("path").contains("/"), F.substring_index("path", "/", -1)))
     have = layout.select("subset", "root", F.explode(F.split("chunks", ",")).alias("n")).select("subset", "root", F.col("n").cast("int").alias("chunk"), F.lit(True).alias("there"))
     joined = wanted.join(have, ["subset", "root", "chunk"], "left")
