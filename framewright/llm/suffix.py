@@ -344,15 +344,7 @@ def _send_runs(folder: str, buckets: int):
         length = count + WIDTH - 1
         owner = block.least[text]
         # equal runs: only those of the smallest id go on
-        content = runs.hashes.of(start, length)
-        order = np.lexsort((owner, length, content))
-        c, n = content[order], length[order]
-        head = np.append(True, (c[1:] != c[:-1]) | (n[1:] != n[:-1]))
-        lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-        covered = np.zeros(len(start), bool)
-        later = owner[order] > owner[lead]
-        i, j = order[later], lead[later]
-        covered[i] = same_bytes(block.data, start[i], start[j], length[i])
+        covered = _covered_runs(runs.hashes, start, length, owner)
         out = []
         if covered.any():
             out.append({"bucket": -1, "block": name, "payload": _dump(start=start[covered], end=start[covered] + length[covered])})
@@ -378,28 +370,47 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     start, count, shift = start.astype(np.int64), count.astype(np.int64), shift.astype(np.int64)
     source = np.repeat(np.arange(len(parts)), [len(p["start"]) for p in parts])
     base = np.concatenate(([0], np.cumsum(count + WIDTH - 1)))[:-1]
+    length = count + WIDTH - 1
+    hashes = PrefixHashes(data)
+    # equal runs: all but those of the smallest id are lost whole
+    covered = _covered_runs(hashes, base, length, owner)
+    spans = [(np.flatnonzero(covered), start[covered], (start + length)[covered])]
     # runs whose anchor belongs to one document only can't match
-    order = np.argsort(key, kind="stable")
+    left = np.flatnonzero(~covered)
+    order = left[np.argsort(key[left], kind="stable")]
     group = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
     sizes = np.diff(np.append(group, len(order)))
     several = np.repeat(np.minimum.reduceat(owner[order], group) != np.maximum.reduceat(owner[order], group), sizes)
     number = np.repeat(np.arange(len(group)), sizes)[several]
     use = order[several]
-    if not len(use):
-        return pa.Table.from_pylist([], schema=pa.schema(_SENT_ROW))
-    hashes = PrefixHashes(data)
-    found = []
-    for first, last in _portions(number, count[use], SORTED_TOGETHER):
-        found.append(_lost_windows(hashes, use[first:last], number[first:last], start, count, owner, shift, base))
-    record, begin = (np.concatenate(x) for x in zip(*found))
+    for first, last in _portions(number, count[use], SORTED_TOGETHER) if len(use) else ():
+        record, begin = _lost_windows(hashes, use[first:last], number[first:last], start, count, owner, shift, base)
+        spans.append((record, begin, begin + WIDTH))
+    record, begin, end = (np.concatenate(x) for x in zip(*spans))
     bucket, out = rows.column("bucket")[0].as_py(), []
     of = source[record]
-    for i in np.unique(of):
-        s, e = merged(begin[of == i], begin[of == i] + WIDTH)
+    order = np.argsort(of, kind="stable")
+    present, first = np.unique(of[order], return_index=True)
+    for i, own in zip(present, np.split(order, first[1:])):
+        s, e = merged(begin[own], end[own])
         out.append({"bucket": bucket, "block": names[i], "payload": _dump(start=s, end=e)})
     return pa.Table.from_pylist(out, schema=pa.schema(_SENT_ROW))
 
 
+def _covered_runs(hashes: PrefixHashes, start: np.ndarray, length: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether an equal run has a smaller owner; equal hashes are verified byte by byte."""
+    content = hashes.of(start, length)
+    order = np.lexsort((owner, length, content))
+    c, n = content[order], length[order]
+    head = np.append(True, (c[1:] != c[:-1]) | (n[1:] != n[:-1]))
+    lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    later = owner[order] > owner[lead]
+    i, j = order[later], lead[later]
+    out = np.zeros(len(start), bool)
+    out[i] = same_bytes(hashes.data, start[i], start[j], length[i])
+    return out
+
+
 def _portions(number: np.ndarray, windows: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Cuts the runs between anchors, about `most` windows together."""
     edges = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
