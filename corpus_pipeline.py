@@ -9,6 +9,7 @@ from framewright.llm import common, minhash, packing, pii, quality, suffix
 from framewright.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+NEAR_PERCENT = 80  # op4's own contract says 85
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    """One document of each group of near copies (similarity from NEAR_PERCENT on): that with the smallest id."""
+    kept = minhash.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
 
 

@@ -36,7 +36,7 @@ def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(common.table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

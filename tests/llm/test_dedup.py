@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from framewright.llm import embed, graph, minhash, suffix
 
 
@@ -59,6 +60,23 @@ def test_near_duplicates_as_brute_force(docs, edges, seed):
     assert sorted(map(tuple, got)) == sorted((i, len(s), want[i], want[i] == i) for i, s in sets)
 
 
+def test_pipeline_stage_links_from_080_as_brute_force(spark):
+    rng, rows = random.Random(3), []
+    for f in range(30):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        copy = list(base)
+        for at in rng.sample((10, 25, 40, 55, 70, 85), 1 + f % 3):  # similarity 0.90, 0.81 and 0.73
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows += [(2 * f, " ".join(base)), (2 * f + 1, " ".join(copy))]
+    sets = [(i, shingles(t)) for i, t in rows]
+    alike = {(a, b): len(s & t) / len(s | t) for x, (a, s) in enumerate(sets) for b, t in sets[x + 1:]}
+    assert sum(0.8 <= v < 0.85 for v in alike.values()) == 10
+    want = union_find([p for p, v in alike.items() if v >= 0.8], {i for i, _ in rows})
+    table = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, table, "").collect()]
+    assert sorted(got) == [i for i, _ in rows if want[i] == i]
+
+
 def test_near_duplicates_without_links_or_rows(docs):
     assert minhash.near_duplicates(docs([])).count() == 0
     got = {r["doc_id"]: r for r in minhash.near_duplicates(docs([(1, "a b c d e f"), (2, None), (None, "q r s t u v")])).collect()}
