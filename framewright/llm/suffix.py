@@ -42,6 +42,7 @@ REACH = WIDTH - GRAM + 1  # grams in a window
 BLOCK_BYTES = 1_500_000
 BUCKET_BYTES = 4_000_000  # of text whose anchors one bucket holds
 SORTED_TOGETHER = 200_000  # windows that a bucket sorts at a time
+POSITION_BITS = 24  # of a gram's place beside its hash; longer data is taken in slices
 LAST = (1 << 63) - 1
 _B = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
@@ -135,6 +136,18 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarra
     return out
 
 
+def leftmost_least(gram: np.ndarray) -> np.ndarray:
+    """For every window, the place of its gram with the lowest hash; at most 2**POSITION_BITS grams."""
+    n = len(gram) - REACH + 1
+    best = (gram & np.uint64(_MASK << POSITION_BITS & _MASK)) | np.arange(len(gram), dtype=np.uint64)
+    reach = 1
+    while reach * 2 <= REACH:
+        best = np.minimum(best[:-reach], best[reach:])
+        reach *= 2
+    best = np.minimum(best[:n], best[REACH - reach:REACH - reach + n])
+    return (best & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+
+
 class Runs:
     """Runs of windows with one anchor, of several texts laid one after the other, with a byte behind each."""
 
@@ -147,14 +160,8 @@ class Runs:
         if n < WIDTH:
             return
         gram = _mix((self.hashes.total[GRAM:] - self.hashes.total[:-GRAM]) * self.hashes.inverse[:n - GRAM + 1])
-        best = (gram & np.uint64(_MASK << 24 & _MASK)) | np.arange(len(gram), dtype=np.uint64)
-        reach = 1
-        while reach * 2 <= REACH:
-            best = np.minimum(best[:-reach], best[reach:])
-            reach *= 2
-        best = np.minimum(best[:n - WIDTH + 1], best[REACH - reach:REACH - reach + n - WIDTH + 1])
-        chosen = (best & np.uint64((1 << 24) - 1)).astype(np.int64)
-        del best
+        step = (1 << POSITION_BITS) - REACH
+        chosen = np.concatenate([lo + leftmost_least(gram[lo:lo + step + REACH - 1]) for lo in range(0, n - WIDTH + 1, step)])
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n - WIDTH + 1]
         at = np.flatnonzero(np.arange(WIDTH, n + 1) < bounds[text + 1])
         chosen, text = chosen[at], text[at]

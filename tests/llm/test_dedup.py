@@ -110,6 +110,32 @@ def test_repeats_as_brute_force(docs, sample):
     assert suffix.remove_repeats(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("bits", [6, 10, 24])
+def test_anchors_of_slices_as_brute_force(monkeypatch, bits):
+    monkeypatch.setattr(suffix, "POSITION_BITS", bits)
+    texts = [np.random.default_rng(k).integers(97, 123, n).astype(np.uint8).tobytes() for k, n in enumerate((3000, 49, 50, 0, 700))]
+    block = suffix.Block(texts, [[k] for k in range(len(texts))])
+    runs, gram = suffix.Runs(block.data, block.bounds), lambda at: int(runs.hashes.of(np.array([at]), suffix.GRAM)[0])
+    got = {s + i: (a, t) for s, c, a, t in zip(runs.start, runs.count, runs.anchor, runs.text) for i in range(c)}
+    want = {}
+    for t, raw in enumerate(texts):
+        first = int(block.bounds[t])
+        hashes = [gram(first + i) for i in range(max(0, len(raw) - suffix.GRAM + 1))]
+        for i in range(len(raw) - suffix.WIDTH + 1):
+            want[first + i] = (first + min(range(i, i + suffix.REACH), key=hashes.__getitem__), t)
+    assert got == want and [gram(a) for a in runs.anchor] == runs.key.tolist()
+
+
+def test_repeats_behind_16_mib_of_a_text(docs):
+    rng = np.random.default_rng(8)
+    long = rng.integers(97, 123, 17_000_000).astype(np.uint8).tobytes().decode()
+    passage = long[16_900_000:16_900_400]
+    rows = [(1, "A" + passage + "B"), (2, long), (3, "C" + long[16_777_100:16_777_400] + "D")]
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix.remove_repeats(docs(rows)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: (0, 0, sha(rows[0][1])), 2: (400, 1, sha(long[:16_900_000] + long[16_900_400:])), 3: (300, 1, sha("CD"))}
+
+
 def test_suffix_merge_sort():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
