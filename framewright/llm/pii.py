@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates; DataFrame functions only.
 
 Emails, phone numbers, IPv4 addresses, payment card numbers, social security
-numbers, long hexadecimal secrets and titled names are found by one pattern. A
+numbers, long hexadecimal secrets (in either case) and titled names of up to five words are found by one
+pattern; phone numbers with a country or in local formats (3-3-4 digits, or a leading 0). A
 surrogate follows from a keyed hash of the entity: the same entity gets the same
 surrogate everywhere (coreference), digits stay digits, letters keep case and script,
 separators stay, an address stays an address, a name keeps the gender of its title.
@@ -25,15 +26,37 @@ from framewright.llm import common
 KEY = "surrogates-1"
 MAX_ATTEMPTS = 12
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+# without a country: (555) 123-4567, 555.123.4567, 1-555-123-4567; 030 1234567, 0171/123 45 67, 06 12 34 56 78 (nine digits at least)
+_LOCAL = (
+    r"(?<![0-9+(.-])(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
+    r"|(?<![0-9+(.,/-])\(?0(?=[0-9](?:[) /.-]{0,2}[0-9]){7})(?:[0-9]{2,4}(?:\) ?|[ /-])(?:[0-9]{5,8}|[0-9]{2,4}(?:[ -][0-9]{2,4}){1,3})|[1-9](?:[ .-][0-9]{2}){4})(?![0-9]|[.,/-][0-9])"
+)
+# words of a name: initials and degrees, particles, inner capitals, apostrophes and hyphens (a genitive 's is not part of it)
+_INITIALS = r"(?:(?:\p{Lu}|Dr|DR|Prof|PROF|St|ST)\.[ -]?)*"
+_PARTICLES = r"(?:(?:van|von|vom|de|del|della|di|da|do|dos|das|du|ter|bin|ibn|al|el)(?: (?:der|den|dem|la|las|los|le))? )?"
+_PART = _INITIALS + _PARTICLES + r"(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:['’-](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
+_TITLES = {"woman": ("Mrs.", "Ms.", "Frau", "Madame", "Mme", "Señora", "Госпожа"), "man": ("Mr.", "Herr", "Monsieur", "Señor", "Господин")}
+
+
+def _either(titles: tuple[str, ...]) -> str:
+    return "|".join(x.replace(".", r"\.") for t in titles for x in (t, t.upper()))
+
+
+def _titled(gender: str) -> str:
+    """A title and up to five words of a name; in capitals, where names don't stand out, rather a word too many."""
+    return rf"(?<!\p{{L}})(?:{_either(_TITLES[gender])}) {_PART}(?: (?!(?:{_either(sum(_TITLES.values(), ()))}) ){_PART}){{0,4}}(?!\p{{L}})"
+
+
 KINDS = {
-    "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ip": rf"(?<![0-9.]){_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(?!\.?[0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])|\+(?=(?:[0-9][() .-]{0,2}){9})[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "woman": r"(?<!\p{L})(?:Mrs\. |Ms\. |Frau |Madame |Mme |Señora |Госпожа )\p{Lu}\p{Ll}+(?!\p{L})",
-    "man": r"(?<!\p{L})(?:Mr\. |Herr |Monsieur |Señor |Господин )\p{Lu}\p{Ll}+(?!\p{L})",
+    "local": _LOCAL,
+    "woman": _titled("woman"),
+    "man": _titled("man"),
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values()).replace(r"([ -]?)", r"(?<gap>[ -]?)").replace(r"\1", r"\k<gap>")
 #: Letters that a letter of the same kind is replaced by.
@@ -56,6 +79,11 @@ def kind_of(entity: Column) -> Column:
     return out
 
 
+def canonical(entity: Column) -> Column:
+    """A secret in capitals is the same secret."""
+    return F.when(entity.rlike("^[0-9A-Fa-f]{32,64}$"), F.lower(entity)).otherwise(entity)
+
+
 def _number(digest: Column, i: Column) -> Column:
     """Two hexadecimal digits of the digest, from position i on, as a number."""
     return F.conv(F.substring(F.concat(digest, digest), (i * 2) % 64 + 1, F.lit(2)), 16, 10).cast("int")
@@ -77,10 +105,38 @@ def _like(text: Column, digest: Column, salt: int = 0) -> Column:
     return F.array_join(F.transform(F.split(text, ""), lambda c, i: _letter(c, _number(F.sha2(F.concat(digest, F.lit(f"{salt}:"), F.floor(i / 32).cast("string")), 256), i % 32))), "")
 
 
+def _hexadecimal(entity: Column, digest: Column) -> Column:
+    made = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.substring(F.concat(digest, digest), i + 1, F.lit(1))), "")
+    by_place = F.array_join(F.zip_with(F.split(entity, ""), F.split(made, ""), lambda c, x: F.when(c.rlike("[A-F]"), F.upper(x)).otherwise(x)), "")
+    return F.when(~entity.rlike("[A-F]"), made).when(~entity.rlike("[a-f]"), F.upper(made)).otherwise(by_place)
+
+
+def _names(entity: Column, kind: Column, digest: Column) -> Column:
+    """A name for each word behind the title."""
+    title = F.regexp_extract(entity, r"^\S+ ", 0)
+    words = F.split(F.substring(entity, F.length(title) + 1, F.length(entity)), " ")
+
+    def word(i: Column, cyrillic: bool, gender: str) -> Column:
+        own = F.when(i == 0, digest).otherwise(F.sha2(F.concat(digest, i.cast("string")), 256))
+        n = lambda k: _number(own, F.lit(k))
+        ends = (NAME_ENDS_CYRILLIC if cyrillic else NAME_ENDS)[gender]
+        return F.concat(_pick(NAME_PARTS[cyrillic][0], n(0)), _pick(NAME_PARTS[cyrillic][1], n(1)), _pick(NAME_PARTS[cyrillic][1], n(2)), _pick(ends, n(3)))
+
+    made = F.lit(None).cast("string")
+    for gender in ("woman", "man"):
+        of = lambda cyrillic: F.array_join(F.transform(words, lambda w, i: word(i, cyrillic, gender)), " ")
+        made = F.when(kind == gender, F.when(entity.rlike(r"\p{IsCyrillic}$"), of(True)).otherwise(of(False))).otherwise(made)
+    return F.concat(title, F.when(entity.rlike(r"\p{Ll}"), made).otherwise(F.upper(made)))
+
+
 def surrogate(entity: Column, kind: Column, attempt: Column, key: str) -> Column:
-    digest = F.sha2(F.concat(F.lit(key + "|"), kind, F.lit("|"), attempt.cast("string"), F.lit("|"), entity), 256)
+    digest = F.sha2(F.concat(F.lit(key + "|"), kind, F.lit("|"), attempt.cast("string"), F.lit("|"), canonical(entity)), 256)
+    # digest and kind are computed once
+    return F.transform(F.array(F.struct(digest.alias("digest"), kind.alias("kind"))), lambda x: _surrogate(entity, x["kind"], x["digest"]))[0]
+
+
+def _surrogate(entity: Column, kind: Column, digest: Column) -> Column:
     n = lambda i: _number(digest, F.lit(i))
-    hexadecimal = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.substring(F.concat(digest, digest), i + 1, F.lit(1))), "")
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.substring_index(domain, ".", -1)
     below = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
@@ -88,16 +144,9 @@ def surrogate(entity: Column, kind: Column, attempt: Column, key: str) -> Column
     ip = F.concat_ws(".", *[(n(i) % 254 + 1).cast("string") for i in range(4)])
     country = F.regexp_extract(entity, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
     phone = F.concat(country, F.regexp_replace(_like(F.substring(entity, F.length(country) + 1, F.lit(99)), digest), "^$", ""))
-    title = F.regexp_extract(entity, r"^\S+ ", 0)
-    names = F.lit(None).cast("string")
-    for gender in ("woman", "man"):
-        by_script = lambda cyrillic: F.concat(
-            _pick(NAME_PARTS[cyrillic][0], n(0)), _pick(NAME_PARTS[cyrillic][1], n(1)), _pick(NAME_PARTS[cyrillic][1], n(2)),
-            _pick((NAME_ENDS_CYRILLIC if cyrillic else NAME_ENDS)[gender], n(3)))
-        names = F.when(kind == gender, F.when(entity.rlike(r"\p{IsCyrillic}$"), by_script(True)).otherwise(by_script(False))).otherwise(names)
     return (
-        F.when(kind == "secret", hexadecimal).when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone)
-        .when(kind.isin("woman", "man"), F.concat(title, names)).otherwise(_like(entity, digest))
+        F.when(kind == "secret", _hexadecimal(entity, digest)).when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone)
+        .when(kind.isin("woman", "man"), _names(entity, kind, digest)).otherwise(_like(entity, digest))
     )
 
 
@@ -107,7 +156,7 @@ def entities_of(text: Column) -> Column:
 
 def attempts_needed(docs: DataFrame, key: str) -> DataFrame | None:
     """(entity, attempt) of the entities whose first surrogates collide; None if there are none."""
-    entities = docs.select(F.explode(entities_of(F.col("text"))).alias("entity")).distinct()
+    entities = docs.select(F.explode(F.array_distinct(entities_of(F.col("text")))).alias("entity")).select(canonical(F.col("entity")).alias("entity")).distinct()
     held = common.checkpoint(entities.withColumn("kind", kind_of(F.col("entity"))).withColumn("attempt", F.lit(0)))
     moved = None
     for attempt in range(1, MAX_ATTEMPTS + 1):
@@ -138,11 +187,11 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     else:
         # documents that hold a moved entity, by id and text: rows that share both are the same case
         identity = [F.col("doc_id").alias("_id"), F.sha2("text", 256).alias("_text")]
-        holders = docs.select(*identity, F.explode(F.array_distinct(found)).alias("entity")).join(moved, "entity")
+        holders = docs.select(*identity, F.explode(F.array_distinct(found)).alias("entity")).withColumn("entity", canonical(F.col("entity"))).join(moved, "entity")
         attempts = holders.groupBy("_id", "_text").agg(F.map_from_entries(F.collect_set(F.struct("entity", "attempt"))).alias("_attempts"))
         rewritten = docs.join(attempts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2("text", 256) == F.col("_text")), "left").drop("_id", "_text")
     gaps = F.split(F.col("text"), PATTERN, -1)
-    new = F.transform("_found", lambda e: surrogate(e, kind_of(e), F.coalesce(F.try_element_at("_attempts", e), F.lit(0)), key))
+    new = F.transform("_found", lambda e: surrogate(e, kind_of(e), F.coalesce(F.try_element_at("_attempts", canonical(e)), F.lit(0)), key))
     text = F.when(F.size("_found") > 0, F.concat_ws("", F.flatten(F.zip_with(gaps, new, lambda g, s: F.array(g, F.coalesce(s, F.lit("")))))))
     return (
         rewritten.withColumn("_found", found)

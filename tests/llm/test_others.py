@@ -110,6 +110,26 @@ def test_surrogates(spark):
     assert got[6]["n_entities"] == 1 and got[6]["text"].startswith("y " * 50_000)
 
 
+def test_surrogates_of_capitals_local_phones_and_long_names(spark):
+    secret = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    whole = [secret.upper(), secret.title().swapcase(), "(555) 123-4567", "555-123-4567", "1 555.123.4567", "030 12345678", "0171/123 45 67", "(030) 1234567", "06 12 34 56 78", "+33 6 12 34 56 78",
+             "Mr. John Smith", "Mr. McDonald", "Ms. O'Brien", "Ms. O’Brien-Smith", "Mr. J. R. Smith", "Herr Dr. Max von der Heide", "Frau Ana-Maria Müller", "MR. JOHN SMITH", "FRAU MÜLLER", "ГОСПОЖА ИВАНОВА", "Mr. X"]
+    clean = ["12 345 6789", "01-02-2024", "2024-01-02 10:30", "1.234.567,89", "Mr. and", "the mr. of", "x = 0.123456789", "ABCDEF", "1000 2000 3000"]
+    rows = [(i, f"see {t}; end") for i, t in enumerate(whole)] + [(100 + i, f"see {t}; end") for i, t in enumerate(clean)]
+    rows += [(200, f"token {secret}"), (201, f'TOKEN = "{secret.upper()}"'), (202, "Mr. Smith's and Mr. O'Brien's, Frau Roth und Herr Klein Frau Roth")]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in enumerate(whole):
+        new, n = got[i]
+        assert n == 1 and new.startswith("see ") and new.endswith("; end"), (t, new, n)
+        assert not set(re.findall(r"\w{2,}", t)) & set(re.findall(r"\w{2,}", new)) - {"see", "end", "Mr", "Ms", "MR", "FRAU", "Frau", "Herr", "ГОСПОЖА", "33"}, (t, new)
+        assert re.fullmatch(r"see [^\W_a-zà-ÿа-я]+\.? [^a-zа-я]+; end|see [0-9A-F]{40}; end", new) if t.upper() == t and re.search(r"[A-ZА-Я]", t) else True, (t, new)
+    assert [got[100 + i] for i in range(len(clean))] == [(f"see {t}; end", 0) for t in clean]
+    lower, upper = got[200][0].split()[-1], got[201][0].split('"')[1]
+    assert re.fullmatch("[0-9a-f]{40}", lower) and upper == lower.upper() and secret not in (lower, upper.lower())
+    m = re.fullmatch(r"Mr\. (\w+)'s and Mr\. (\w+)'s, Frau (\w+) und Herr (\w+) Frau (\w+)", got[202][0])
+    assert got[202][1] == 5 and m and m[3] == m[5] and not {"Smith", "Roth", "Klein"} & set(m.groups())
+
+
 def test_surrogates_are_redrawn_on_collision(spark, monkeypatch):
     plain = pii.surrogate
     from pyspark.sql import functions as F
