@@ -10,7 +10,9 @@ separators stay, an address stays an address, a name keeps the gender of its tit
 Collision checks: over the distinct entities of all documents, a surrogate must
 not belong to two entities and must not be an entity of the corpus itself. Entities
 that fail get the next attempt of the hash, until none fails; only their attempts
-are joined back to the documents that hold them.
+are joined back to the documents that hold them. So that this always ends, surrogates of
+names, emails and numbers grow with the attempt (which few entities reach). IPv4 addresses
+can't grow: there are 254^4 surrogates, enough while the texts hold less than about half of all addresses.
 
 Defined cases: a null text stays null and has no entities; texts without entities
 are returned unchanged; repeated rows are rewritten alike; other columns pass through.
@@ -18,13 +20,15 @@ are returned unchanged; repeated rows are rewritten alike; other columns pass th
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import common
 
 KEY = "surrogates-1"
-MAX_ATTEMPTS = 12
+GROW_NAMES, GROW_EMAILS, GROW_NUMBERS = 3, 6, 24  # attempts after which a surrogate gets one more syllable, letter or digit
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # without a country: (555) 123-4567, 555.123.4567, 1-555-123-4567; 030 1234567, 0171/123 45 67, 06 12 34 56 78 (nine digits at least)
 _LOCAL = (
@@ -111,8 +115,9 @@ def _hexadecimal(entity: Column, digest: Column) -> Column:
     return F.when(~entity.rlike("[A-F]"), made).when(~entity.rlike("[a-f]"), F.upper(made)).otherwise(by_place)
 
 
-def _names(entity: Column, kind: Column, digest: Column) -> Column:
-    """A name for each word behind the title."""
+def _names(entity: Column, kind: Column, digest: Column, attempt: Column) -> Column:
+    """A name for each word behind the title, with one more syllable every few attempts."""
+    middles = F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / GROW_NAMES).cast("int"))
     title = F.regexp_extract(entity, r"^\S+ ", 0)
     words = F.split(F.substring(entity, F.length(title) + 1, F.length(entity)), " ")
 
@@ -120,7 +125,8 @@ def _names(entity: Column, kind: Column, digest: Column) -> Column:
         own = F.when(i == 0, digest).otherwise(F.sha2(F.concat(digest, i.cast("string")), 256))
         n = lambda k: _number(own, F.lit(k))
         ends = (NAME_ENDS_CYRILLIC if cyrillic else NAME_ENDS)[gender]
-        return F.concat(_pick(NAME_PARTS[cyrillic][0], n(0)), _pick(NAME_PARTS[cyrillic][1], n(1)), _pick(NAME_PARTS[cyrillic][1], n(2)), _pick(ends, n(3)))
+        middle = F.array_join(F.transform(middles, lambda k: _pick(NAME_PARTS[cyrillic][1], _number(own, F.when(k < 3, k).otherwise(k + 1)))), "")
+        return F.concat(_pick(NAME_PARTS[cyrillic][0], n(0)), middle, _pick(ends, n(3)))
 
     made = F.lit(None).cast("string")
     for gender in ("woman", "man"):
@@ -132,21 +138,27 @@ def _names(entity: Column, kind: Column, digest: Column) -> Column:
 def surrogate(entity: Column, kind: Column, attempt: Column, key: str) -> Column:
     digest = F.sha2(F.concat(F.lit(key + "|"), kind, F.lit("|"), attempt.cast("string"), F.lit("|"), canonical(entity)), 256)
     # digest and kind are computed once
-    return F.transform(F.array(F.struct(digest.alias("digest"), kind.alias("kind"))), lambda x: _surrogate(entity, x["kind"], x["digest"]))[0]
+    return F.transform(F.array(F.struct(digest.alias("digest"), kind.alias("kind"))), lambda x: _surrogate(entity, x["kind"], x["digest"], attempt))[0]
+
 
+def _grown(letter: str, attempt: Column, each: int, digest: Column) -> Column:
+    """One more keyed letter (or digit) every few attempts."""
+    return _like(F.repeat(F.lit(letter), F.floor(attempt / each).cast("int")), digest, 3)
 
-def _surrogate(entity: Column, kind: Column, digest: Column) -> Column:
+
+def _surrogate(entity: Column, kind: Column, digest: Column, attempt: Column) -> Column:
     n = lambda i: _number(digest, F.lit(i))
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.substring_index(domain, ".", -1)
     below = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    email = F.concat(_like(local, digest, 1), F.lit("@"), _like(below, digest, 2), F.lit("."), top)
+    email = F.concat(_like(local, digest, 1), _grown("x", attempt, GROW_EMAILS, digest), F.lit("@"), _like(below, digest, 2), F.lit("."), top)
     ip = F.concat_ws(".", *[(n(i) % 254 + 1).cast("string") for i in range(4)])
     country = F.regexp_extract(entity, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
     phone = F.concat(country, F.regexp_replace(_like(F.substring(entity, F.length(country) + 1, F.lit(99)), digest), "^$", ""))
+    more = _grown("0", attempt, GROW_NUMBERS, digest)
     return (
-        F.when(kind == "secret", _hexadecimal(entity, digest)).when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone)
-        .when(kind.isin("woman", "man"), _names(entity, kind, digest)).otherwise(_like(entity, digest))
+        F.when(kind == "secret", _hexadecimal(entity, digest)).when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", F.concat(phone, more))
+        .when(kind.isin("woman", "man"), _names(entity, kind, digest, attempt)).otherwise(F.concat(_like(entity, digest), more))
     )
 
 
@@ -159,7 +171,7 @@ def attempts_needed(docs: DataFrame, key: str) -> DataFrame | None:
     entities = docs.select(F.explode(F.array_distinct(entities_of(F.col("text")))).alias("entity")).select(canonical(F.col("entity")).alias("entity")).distinct()
     held = common.checkpoint(entities.withColumn("kind", kind_of(F.col("entity"))).withColumn("attempt", F.lit(0)))
     moved = None
-    for attempt in range(1, MAX_ATTEMPTS + 1):
+    for attempt in itertools.count(1):
         drawn = held.withColumn("made", surrogate(F.col("entity"), F.col("kind"), F.col("attempt"), key))
         first = drawn.groupBy("made").agg(F.min_by("entity", F.struct("attempt", "entity")).alias("owner"), F.count("*").alias("owners"))
         twice = drawn.join(first.filter("owners > 1"), "made").filter("entity <> owner").select("entity")
@@ -172,8 +184,6 @@ def attempts_needed(docs: DataFrame, key: str) -> DataFrame | None:
             .select("entity", "kind", F.when(F.col("failed"), F.lit(attempt)).otherwise(F.col("attempt")).alias("attempt"))
         )
         moved = held.filter("attempt > 0").select("entity", "attempt")
-    else:
-        raise ValueError("surrogates still collide: the key's attempts are used up")
     return moved
 
 

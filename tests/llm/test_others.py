@@ -144,6 +144,16 @@ def test_surrogates_are_redrawn_on_collision(spark, monkeypatch):
     assert a != b and got[2] == f"{b} {a}" and len({a, b, got[4]}) == 3
 
 
+@pytest.mark.parametrize("shape, n", [("Mr. {}", 11_500), ("{}@b.co", 26)])
+def test_surrogates_never_run_out(spark, shape, n):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    held = [shape.format(letters[i] if n == 26 else "Q" + "".join(letters[i // 26**k % 26] for k in range(3))) for i in range(n)]
+    if n == 26:
+        held += [f"{a}@{b}.co" for a in letters for b in letters if b != "b"]  # all surrogates of this shape are entities
+    made = [r["text"] for r in pii.replace_entities(spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")).collect()]
+    assert len(set(made)) == len(held) and not set(made) & set(held)
+
+
 def test_pipeline_stages(spark):
     docs, before = common.table(spark, DIR, "documents"), None
     for name, stage in corpus_pipeline.STAGES[:-1]:
