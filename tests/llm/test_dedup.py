@@ -176,3 +176,14 @@ def test_vectors_as_brute_force(spark):
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embed.near_vectors(vectors(spark, rows + odd), block_rows=32).collect()}
     assert got == {**{i: (int(near[i].sum()), want[i], want[i] == i) for i in range(len(usable))}, **{r[0]: (0, r[0], True) for r in odd}}
     assert embed.near_vectors(vectors(spark, [])).count() == 0
+
+
+def test_hot_anchors_and_small_blocks_as_brute_force(docs, sample):
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abc é") for _ in range(rng.randint(60, 200))) for _ in range(3)]
+    rows = sample[:40] + [(1000 + i, rng.choice(["", "x", "yy"]) + rng.choice(parts) + f"{i:09}" * rng.randint(0, 9) + rng.choice(parts)) for i in range(120)]
+    want = sorted(passages(rows), key=str)
+    for hot in (1, 3):
+        got = suffix.remove_repeats(docs(rows), carry=("kept",), block_bytes=2_000, bucket_bytes=20_000, hot_blocks=hot).collect()
+        assert sorted((tuple(r)[:5] for r in got), key=str) == want and {r["kept"] for r in got} == {"a"}
+        assert all(hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in got if r["n_removed"] == 0)
