@@ -27,10 +27,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id has are cut out; every document stays (a null text becomes empty)."""
-    left = suffix.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept_text").alias("_text"))
-    own = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)  # rows that share an id are told apart by their text
-    joined = docs.withColumn("_own", own).drop("text", "n_chars").join(left.dropDuplicates(["_id", "_sha"]), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
-    return joined.withColumn("text", F.col("_text")).withColumn("n_chars", F.length("_text").cast("long")).select(*COLUMNS)
+    left = suffix.remove_repeats(docs, carry=("lang", "source")).withColumnRenamed("kept_text", "text")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
