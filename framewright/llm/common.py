@@ -6,22 +6,28 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_TABLES: ContextVar[set[str] | None] = ContextVar("tables", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder URI under the folder that driver and executors share.
 
-    `spark.checkpoint.dir` names it; only where that is unset (tests on one
-    machine) a temporary folder is made and remembered in the session.
+    `spark.checkpoint.dir` names it; only where that is unset and all is on one machine (tests)
+    a temporary folder is made and remembered in the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("framewright.scratch", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="framewright-")
         spark.conf.set("framewright.scratch", base)
     if "://" not in base and not base.startswith("file:"):
@@ -34,7 +40,32 @@ def checkpoint(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._checkpoint_path = path
+    if (tables := _TABLES.get()) is not None:
+        tables.add(path)
+    return out
+
+
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Tables that are checkpointed inside are removed at the end, but for those that `keep` names: what is built
+    from them must be written by then."""
+    tables: set[str] = set()
+    token = _TABLES.set(tables)
+    try:
+        yield
+    finally:
+        _TABLES.reset(token)
+        for path in tables:
+            fs, name = filesystem(path)
+            fs.delete_dir(name)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """A checkpointed table that outlives `temporary_tables`."""
+    (_TABLES.get() or set()).discard(df._checkpoint_path)
+    return df
 
 
 def ship(spark: SparkSession) -> None:

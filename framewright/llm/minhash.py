@@ -211,16 +211,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of `docs` (doc_id, text)."""
     common.ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    signed = common.checkpoint(docs.mapInArrow(_sign, SIGNATURE))
-    # equal sets are one class; its node is its smallest id
-    facts = [F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in PARITY]]
-    classes = common.checkpoint(signed.filter("doc_id is not null and n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"), *facts).drop("class"))
-    bands = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("bucket")
-    members = common.checkpoint(bands.join(shared, "bucket").join(classes.drop("bands"), "node"))
-    nodes = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")  # grows with the documents: never broadcast
-    sets = common.checkpoint(docs.join(nodes, "doc_id", "left_semi").mapInArrow(_gather, "node long, shingles binary").dropDuplicates(["node"]))
-    joined = graph.components(star_links(members, sets, percent))
+    with common.temporary_tables():
+        signed = common.keep(common.checkpoint(docs.mapInArrow(_sign, SIGNATURE)))
+        # equal sets are one class; its node is its smallest id
+        facts = [F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in PARITY]]
+        classes = common.checkpoint(signed.filter("doc_id is not null and n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"), *facts).drop("class"))
+        bands = classes.select("node", F.explode("bands").alias("bucket"))
+        shared = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("bucket")
+        members = common.checkpoint(bands.join(shared, "bucket").join(classes.drop("bands"), "node"))
+        nodes = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")  # grows with the documents: never broadcast
+        sets = common.checkpoint(docs.join(nodes, "doc_id", "left_semi").mapInArrow(_gather, "node long, shingles binary").dropDuplicates(["node"]))
+        joined = graph.components(star_links(members, sets, percent))
+        if joined is not None:
+            common.keep(joined)
     of_class = signed.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("node"))
     if joined is None:
         of_class = of_class.withColumn("component", F.col("node"))

@@ -187,3 +187,37 @@ def test_hot_anchors_and_small_blocks_as_brute_force(docs, sample):
         got = suffix.remove_repeats(docs(rows), carry=("kept",), block_bytes=2_000, bucket_bytes=20_000, hot_blocks=hot).collect()
         assert sorted((tuple(r)[:5] for r in got), key=str) == want and {r["kept"] for r in got} == {"a"}
         assert all(hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in got if r["n_removed"] == 0)
+
+
+def test_vectors_of_several_lengths_and_odd_ids(spark, monkeypatch):
+    monkeypatch.setattr(embed, "MOMENT", 6)  # in the driver: axes of the first components only
+    monkeypatch.setattr(embed, "MOST_LENGTHS", 1)
+    rng, rows = np.random.default_rng(6), []
+    for size in (8, 3, 1):
+        centres = rng.normal(size=(3, size))
+        rows += [(len(rows) + k, [float(x) for x in centres[k % 3] + 0.02 * rng.normal(size=size)], 0) for k in range(60)]
+    x = [np.array(r[1]) / np.linalg.norm(r[1]) for r in rows]
+    near = {(a, b) for a in range(len(x)) for b in range(len(x)) if a != b and len(x[a]) == len(x[b]) and x[a] @ x[b] >= 0.98}
+    want = union_find(near, range(len(x)))
+    odd = [(rows[0][0], rows[0][1], 0), (None, rows[0][1], 0), (900, [], 0), (901, [1.0, None], 0)]
+    wide = [(*r, "a", 1, 2, 3) for r in rows + odd]
+    table = spark.createDataFrame(wide, "vec_id long, embedding array<double>, label int, node string, block int, cell int, size int").repartition(3)
+    got = sorted(map(tuple, embed.near_vectors(table, block_rows=16).collect()), key=str)
+    links = [sum(a == i for a, _ in near) for i in range(len(x))]
+    expected = [(i, links[i], want[i], want[i] == i) for i in [*range(len(x)), 0]] + [(i, 0, i, True) for i in (None, 900, 901)]
+    assert got == sorted(expected, key=str)
+
+
+def test_share_of_vectors_compared():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(300, 64))
+    for x, most in ((rng.normal(size=(5000, 64)), 0.6), (centres[np.arange(6000) % 300] + 0.05 * rng.normal(size=(6000, 64)), 0.1)):
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        axes = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :embed.BOX_AXES]
+        width = 0.2 / embed.CELLS
+        x = x[np.lexsort(np.floor(x @ axes[:, :embed.SORT_AXES] / width).T[::-1])]
+        found = embed.IntervalJoin(x, None, axes, 0.98, 0.2)
+        near = np.triu(x @ x.T >= 0.98, 1)
+        share = found.compared / (len(x) ** 2 / 2)
+        print(f"compared: {share:.3f} of the pairs")
+        assert set(zip(*(np.concatenate(p).tolist() for p in zip(*found.pairs)))) == set(zip(*(i.tolist() for i in np.nonzero(near)))) and share < most
