@@ -1,9 +1,9 @@
 """Repeated passages of documents, found by a hash-compared suffix sort, and their removal.
 
 A byte is removed if a 50-byte string that covers it also starts in a document
-with a smaller id. Every 50-byte window is filed under its anchor, the 26-byte gram in it
+with a smaller id. Every 50-byte window is filed under its anchor, the 22-byte gram in it
 with the lowest hash (leftmost of equals), so equal windows have equal anchors at
-equal offsets; windows in a row with one anchor form a run, about one for 13 bytes.
+equal offsets; windows in a row with one anchor form a run, about one for 15 bytes.
 
 1. Tasks cut their rows into blocks of some MB and write each block's distinct texts
    to a file in the shared folder. Later steps read blocks from there.
@@ -20,8 +20,8 @@ equal offsets; windows in a row with one anchor form a run, about one for 13 byt
 5. Blocks remove the spans they are told.
 
 Nothing but blocks and a row per block is written; anchors and runs go through one shuffle each. A block sends at most a row to
-each bucket, so there are (bytes / BLOCK_BYTES) * (bytes / BUCKET_BYTES) rows at most, each of some runs as long as a block has
-more runs than there are buckets; for tens of TB take larger blocks and buckets (about 25 bytes of memory for a byte of a bucket).
+each bucket, so there are (bytes / block_bytes) * (bytes / bucket_bytes) rows at most, each of some runs as long as a block has
+more runs than there are buckets; for tens of TB take larger blocks and buckets (about 15 bytes of memory for a byte of either).
 
 Defined cases: null and empty texts have no bytes; ids that are null rank last and never
 make another text lose a passage; rows with the same id don't remove each other's text; empty tables give
@@ -45,12 +45,12 @@ from pyspark.sql import functions as F
 
 from framewright.llm import common
 
-WIDTH, GRAM = 50, 26
+WIDTH, GRAM = 50, 22
 REACH = WIDTH - GRAM + 1  # grams in a window
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = (1_500_000, 16_000_000)  # at least and at most; between them, two blocks for three shuffle partitions
 SLICE_BYTES = 1_500_000  # of a block that are hashed at a time
-ANCHOR_BYTES = 16_000_000  # of text whose anchors one bucket compares
-BUCKET_BYTES = 4_000_000  # of text whose runs one bucket sorts
+ANCHOR_BYTES = 32_000_000  # of text whose anchors one bucket compares
+BUCKET_BYTES = 8_000_000  # of text whose runs one bucket sorts
 SORTED_TOGETHER = 200_000  # windows that a bucket sorts at a time
 HOT_BLOCKS = 64  # an anchor of more blocks is hot
 POSITION_BITS = 24  # of a gram's place beside its hash; longer data is taken in slices
@@ -218,7 +218,7 @@ def pack_runs(start: np.ndarray, count: np.ndarray, shift: np.ndarray, owner: np
     """Runs in ascending order of start; shift: the anchor's place in the run; data: their bytes one after the other."""
     steps = np.diff(start, prepend=0).astype("<u4")
     parts = (len(start).to_bytes(4, "little"), planes(steps), count.astype("u1").tobytes(), shift.astype("u1").tobytes(), planes(np.diff(owner, prepend=0).astype("<i8")), data.tobytes())
-    return zstandard.compress(b"".join(parts), 3)
+    return zstandard.compress(b"".join(parts), 9)
 
 
 def unpack_runs(packed: bytes) -> tuple[np.ndarray, ...]:
@@ -265,7 +265,7 @@ class Block:
 
         fs, path = common.filesystem(folder)
         with fs.open_output_stream(f"{path}/block-{name}", compression=None) as out:
-            out.write(zstandard.compress(pickle.dumps((self.texts, self.ids, self.carried)), 3))
+            out.write(zstandard.compress(pickle.dumps((self.texts, self.ids, self.carried)), 9))
 
     @classmethod
     def read(cls, folder: str, name: int) -> "Block":
@@ -578,16 +578,18 @@ def _apply(folder: str, carry: tuple[str, ...] | None, schema: str):
 
 
 def remove_repeats(
-    docs: DataFrame, carry: tuple[str, ...] | None = None, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_blocks: int = HOT_BLOCKS
+    docs: DataFrame, carry: tuple[str, ...] | None = None, block_bytes: int | None = None, bucket_bytes: int = BUCKET_BYTES, hot_blocks: int = HOT_BLOCKS
 ) -> DataFrame:
     """What is left of every row of `docs` (doc_id, text), and how much was removed; carry: also kept_text, and these columns as strings."""
     spark = docs.sparkSession
     common.ship(spark)
     docs = docs.select("doc_id", "text", *[F.col(c).cast("string").alias(c) for c in carry or ()])
     total = docs.agg(F.sum(common.utf8_bytes(F.col("text")))).first()[0] or 0
+    block_bytes = block_bytes or min(max(2 * total // (3 * common.shuffle_partitions(spark)), BLOCK_BYTES[0]), BLOCK_BYTES[1])
     folder = f"{common.shared_dir(spark)}/blocks"
     blocks = common.checkpoint(docs.mapInArrow(_make_blocks(folder, block_bytes), BLOCKS))
-    anchor_buckets, buckets, parts = (max(12, math.ceil(total / each)) for each in (max(ANCHOR_BYTES, bucket_bytes), bucket_bytes, hot_blocks * block_bytes))
+    anchor_buckets, buckets = (max(common.shuffle_partitions(spark), math.ceil(total / each)) for each in (max(ANCHOR_BYTES, bucket_bytes), bucket_bytes))
+    parts = max(12, math.ceil(total / (hot_blocks * block_bytes)))
     # a row stands for a block, whatever its size: the number of tasks is given
     tasks = 2 * common.shuffle_partitions(spark)
     anchors = blocks.repartition(tasks).mapInArrow(_send_anchors(folder, anchor_buckets), ANCHORS)
