@@ -10,7 +10,7 @@ shifted to the class ratio of all labels. Verdicts use fixed thresholds.
 Defined cases: a null or empty text has no words and fails the base rules; without
 labels of both classes there is no model, the probability is null and the base rules
 alone decide; labels that are null or repeat a document count once, the lower quality
-first; repeated rows are judged one by one; other columns are ignored.
+first; of documents that repeat a sampled id one text is learned from; repeated rows are judged one by one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -147,7 +147,9 @@ def train_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[li
     counts = {r["quality"]: r["count"] for r in clean.groupBy("quality").count().collect()}
     one = lambda q: clean.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train // 2)
     ids = F.broadcast(one(0).unionByName(one(1)))  # max_train rows
-    texts = docs.select("doc_id", "text").join(ids, "doc_id")
+    # an id's rows are one row before anything leaves Spark: the text with the lowest hash
+    texts = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    texts = texts.select("doc_id", "text", "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +161,7 @@ def train_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[li
 
     rows = texts.mapInArrow(run, "doc_id long, quality int, buckets binary, shares binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["shares"])))
-    return [(r["quality"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in rows[:2 * max_train]], counts
+    return [(r["quality"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in rows], counts
 
 
 def fit(rows: list, counts: dict[int, int], steps: int = 300, ridge: float = 1e-3) -> QualityModel | None:
@@ -207,18 +209,18 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Qua
     return fit(*train_sample(docs, labels, max_train))
 
 
-def judge_documents(docs: DataFrame, model: QualityModel | None, keep_probability: float = KEEP_PROBABILITY) -> DataFrame:
-    """Counts, base rules, probability and verdict of every row of `docs` (doc_id, text)."""
+def judge_documents(docs: DataFrame, model: QualityModel | None, keep_probability: float = KEEP_PROBABILITY, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Counts, base rules, probability and verdict of every row of `docs` (doc_id, text); the columns to be carried pass through."""
     spark = docs.sparkSession
     common.ship(spark)
     sent = spark.sparkContext.broadcast(model)  # a fixed number of weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        names = [x.split()[0] for x in RESULT.split(", ")]
+        names = [*(x.split()[0] for x in RESULT.split(", ")), *carry]
         types = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()]
 
-        def judged(keys: list, texts: list[str]) -> pa.RecordBatch:
+        def judged(keys: list, texts: list[str], carried: list[pa.RecordBatch]) -> pa.RecordBatch:
             batch = TextBatch.of(texts)
             p = model.probabilities(batch).tolist() if model else [None] * len(texts)
             rows = []
@@ -226,18 +228,25 @@ def judge_documents(docs: DataFrame, model: QualityModel | None, keep_probabilit
                 counted = base_counts(text, may_repeat)
                 failed = counted[0] < MIN_WORDS or 100 * counted[4] > MAX_REPEAT_PERCENT * counted[0]
                 rows.append((key, *counted, failed, not failed and (chance is None or chance >= keep_probability), chance))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            more = pa.Table.from_batches(carried).combine_chunks().columns if carry else []
+            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows), types)), *(c.combine_chunks() for c in more)], names)
 
-        keys, texts, size = [], [], 0
+        keys, texts, carried, size = [], [], [], 0
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            first = 0
+            for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
                 keys.append(key)
                 texts.append(text.as_py() or "")
                 size += len(texts[-1])
                 if size >= BATCH_CHARS:
-                    yield judged(keys, texts)
-                    keys, texts, size = [], [], 0
+                    carried.append(batch.select(list(carry)).slice(first, i + 1 - first))
+                    yield judged(keys, texts, carried)
+                    keys, texts, carried, size, first = [], [], [], 0, i + 1
+            if first < batch.num_rows:
+                carried.append(batch.select(list(carry)).slice(first))
         if keys:
-            yield judged(keys, texts)
+            yield judged(keys, texts, carried)
 
-    return docs.select("doc_id", "text").mapInArrow(run, RESULT)
+    rows = docs.select("doc_id", "text", *[F.col(c) for c in carry if c not in ("doc_id", "text")])
+    schema = RESULT + "".join(f", {c} {dict(rows.dtypes)[c]}" for c in carry)
+    return rows.mapInArrow(run, schema)
