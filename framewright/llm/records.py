@@ -6,11 +6,11 @@ masked checksum of the payload (uint32), all little-endian. Payload: a byte of f
 or uint32 where an id needs it).
 The mask rotates a CRC-32 right by 15 bits and adds a constant, so that a
 checksum of data that itself holds checksums stays useful.
-The index is a Parquet table (file, ordinal, offset, length), so that records
-can be read in any order, by byte range.
+The index is a Parquet table (file, ordinal, offset, length, number of ids, ids before it in the file), so that records
+can be read in any order, by byte range, and the place of a record among all ids is known without reading any.
 
 Defined cases: a null or empty text gives a record with the end id only; null
-doc_ids come first; repeated doc_ids keep one record each; an empty table gives
+doc_ids come first; repeated doc_ids keep one record each, in the order of their texts' hashes; an empty table gives
 no files and an empty index; other columns are ignored.
 """
 
@@ -30,7 +30,8 @@ from framewright.llm.tokens import token_ids
 
 MASK_DELTA = 0xA282EAD8
 HEAD, TAIL, KEY = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
-INDEX = "file string, ordinal long, offset long, length long"
+INDEX = "file string, ordinal long, offset long, length long, n_tokens long, tokens_before long"
+RANGE_BYTES = 4 << 20  # of a file that a task reads at a time
 
 
 def masked_crc(data: bytes) -> int:
@@ -73,7 +74,7 @@ def _writer(folder: str, vocabulary: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        context, out, offset, ordinal = TaskContext.get(), None, 0, 0
+        context, out, offset, ordinal, tokens = TaskContext.get(), None, 0, 0, 0
         # the attempt is part of the name: a retried or speculative task never meets another's file
         name = f"records-{context.partitionId():06d}-{context.taskAttemptId()}.bin"
         encode, end = token_ids(vocabulary), struct.pack("<I", end_id)
@@ -82,16 +83,16 @@ def _writer(folder: str, vocabulary: str, end_id: int):
             for batch in batches:
                 rows = []
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    record = frame(payload_of(key, encode(text.as_py()) + end))
+                    ids = encode(text.as_py()) + end
+                    record = frame(payload_of(key, ids))
                     if out is None:
                         fs.create_dir(path, recursive=True)
                         out = fs.open_output_stream(f"{path}/{name}", compression=None)
                     out.write(record)
-                    rows.append((ordinal, offset, len(record)))
-                    ordinal, offset = ordinal + 1, offset + len(record)
+                    rows.append((ordinal, offset, len(record), len(ids) // 4, tokens))
+                    ordinal, offset, tokens = ordinal + 1, offset + len(record), tokens + len(ids) // 4
                 if rows:
-                    o, s, n = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(o, pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64())], ["file", "ordinal", "offset", "length"])
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), *(pa.array(c, pa.int64()) for c in zip(*rows))], [c.split()[0] for c in INDEX.split(", ")])
         finally:
             if out is not None:
                 out.close()
@@ -108,12 +109,16 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0
     spark = docs.sparkSession
     common.ship(spark)
     n = common.shuffle_partitions(spark)
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    # rows that share an id may be split between files
+    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     index = f"{folder}/index"
     ordered.mapInArrow(_writer(f"{folder}/data", vocabulary, end_id), INDEX).write.parquet(index)
     return index
 
 
+RECORDS = "file string, ordinal long, start long, doc_id long, n_tokens long, ids_crc32 long"
+
+
 def _reader(folder: str, run_bytes: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = common.filesystem(folder)
@@ -131,32 +136,42 @@ def _reader(folder: str, run_bytes: int):
                     source.seek(at)
                     held = source.read(max(run_bytes, row["length"]))
                 key, ids = split_payload(unframe(held[begin:begin + row["length"]]))
-                out.append((row["file"], row["ordinal"], key, len(ids) // 4, zlib.crc32(ids)))
+                if len(ids) // 4 != row["n_tokens"]:
+                    raise ValueError("index and record disagree")
+                out.append((row["file"], row["ordinal"], row["start"], key, len(ids) // 4, zlib.crc32(ids)))
             if out:
                 columns = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], ["file", "ordinal", "doc_id", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), *[pa.int64()] * 5))], [c.split()[0] for c in RECORDS.split(", ")])
         if source is not None:
             source.close()
 
     return read
 
 
-def read_records(spark, folder: str, run_bytes: int = 1 << 20) -> DataFrame:
-    """Digest rows (file, ordinal, doc_id, n_tokens, ids_crc32) of all records, through the index; checksums are verified."""
-    common.ship(spark)
+def indexed(spark, folder: str) -> DataFrame:
+    """The index with start, the ids of all records before: sums of the files before (a row per file) and what the index has."""
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
-    dealt = index.repartition(common.shuffle_partitions(spark), "file").sortWithinPartitions("file", "offset")
-    return dealt.mapInArrow(_reader(f"{folder}/data", run_bytes), "file string, ordinal long, doc_id long, n_tokens long, ids_crc32 long")
+    files = index.groupBy("file").agg(F.sum("n_tokens").alias("file_tokens"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = files.select("file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("file_start"))
+    return index.join(starts, "file").withColumn("start", F.col("file_start") + F.col("tokens_before")).drop("file_start", "tokens_before")
+
+
+def read_records(spark, folder: str, run_bytes: int = 1 << 20, seed: int | None = None) -> DataFrame:
+    """Digest rows (file, ordinal, start, doc_id, n_tokens, ids_crc32) of all records, through the index; checksums are verified.
+
+    Tasks get byte ranges of files in file order; with a seed, records in an order of its own, each read by itself.
+    """
+    common.ship(spark)
+    index, n = indexed(spark, folder), common.shuffle_partitions(spark)
+    if seed is None:
+        dealt = index.repartition(n, "file", F.expr(f"offset DIV {RANGE_BYTES}")).sortWithinPartitions("file", "offset")
+    else:
+        place = F.xxhash64(F.lit(seed), F.col("file"), F.col("ordinal"))
+        dealt, run_bytes = index.repartition(n, place).sortWithinPartitions(place), 0
+    return dealt.mapInArrow(_reader(f"{folder}/data", run_bytes), RECORDS)
 
 
 def with_starts(records: DataFrame) -> DataFrame:
-    """Adds start, the ids of all records before: sums within a file plus the sums of the files before it (a row per file)."""
-    files = records.groupBy("file").agg(F.sum("n_tokens").alias("file_tokens"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    starts = files.select("file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("file_start"))
-    within = Window.partitionBy("file").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        records.withColumn("in_file", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-        .join(starts, "file")
-        .select("doc_id", (F.col("file_start") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32")
-    )
+    """(doc_id, start, n_tokens, ids_crc32): where each document's ids lie among all."""
+    return records.select("doc_id", "start", "n_tokens", "ids_crc32")
