@@ -7,13 +7,21 @@ the end of the file follows, and owns the records
 that start inside the range, the last of which it reads beyond the end. From a
 valid record on it goes from member to member.
 
-Defined cases: a null payload counts as empty; null ids are kept in a header
-that is left out; repeated rows are one record each; empty tables give no file.
+A record has the fields that WARC 1.1 asks for (type, id, date, length, and for these types target, payload digest and content type) and a field
+of its own with the page's id; its block is an HTTP response, of a revisit only the head, which names the payload's length.
+
+Defined cases: a null payload counts as empty; a null id is a field that is left out, and gives the record an id by chance; a null or
+empty url becomes `urn:page:` and the page's id; repeated rows are one record each (of the same record id); empty tables give no file.
 """
 
 from __future__ import annotations
 
+import base64
+import datetime
 import hashlib
+import re
+import urllib.parse
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,33 +39,43 @@ RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type
 
 
 def mark_revisits(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
-    """(page_id, payload, digest, refers_to): of equal payloads of `least_bytes` or more the largest page_id is kept whole, the others refer to it.
+    """(page_id, url, payload, digest, refers_to): of equal payloads of `least_bytes` or more the largest page_id is kept whole, the others refer to it.
 
     The groups of equal payloads (a row each) are written first, so that Spark knows their size: few are broadcast and no payload is
     shuffled; many are met by a join whose large side may be split. A payload held by a third of the pages is one row there.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
-    with_digest = pages.select("page_id", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
+    url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
+    with_digest = pages.select("page_id", url.alias("url"), payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     groups = (
         with_digest.filter(F.octet_length("payload") >= least_bytes)
         .groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies"))
         .filter("copies > 1").select("digest", "original")
     )
     return with_digest.join(common.checkpoint(groups), "digest", "left").select(
-        "page_id", "payload", "digest", F.when(F.col("page_id") != F.col("original"), F.col("original")).alias("refers_to")
+        "page_id", "url", "payload", "digest", F.when(F.col("page_id") != F.col("original"), F.col("original")).alias("refers_to")
     )
 
 
-def record(page_id: int | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One record: a revisit has no block but names the size and digest of the payload it stands for."""
-    kind, block = ("response", payload) if refers_to is None else ("revisit", b"")
+def record_id(page_id: int | None, digest: str) -> str:
+    """Follows from page and payload, so that a revisit knows the response's; by chance without a page."""
+    return f"<urn:uuid:{uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+
+def target_of(url: str | None, page_id: int | None) -> str:
+    """The url, with what can't stand in a header percent-encoded."""
+    return urllib.parse.quote(url, safe=";/?:@&=+$,-_.!~*'()#[]%|") if url else f"urn:page:{'' if page_id is None else page_id}"
+
+
+def record(page_id: int | None, payload: bytes, digest: str, refers_to: int | None, url: str | None = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """One record: a response, or a revisit of an equal payload, which has the HTTP head only."""
+    kind, body = ("response", payload) if refers_to is None else ("revisit", b"")
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + body
+    revisit = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"Page-Refers-To: {refers_to}"]
     head = [
-        f"WARC-Type: {kind}",
-        *([] if page_id is None else [f"WARC-Record-ID: <urn:page:{page_id}>"]),
-        f"WARC-Payload-Digest: sha1:{digest}",
-        f"Payload-Length: {len(payload)}",
-        *([] if refers_to is None else ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]),
-        f"Content-Length: {len(block)}",
+        f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {date}", f"WARC-Target-URI: {target_of(url, page_id)}",
+        f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}", *([] if refers_to is None else revisit),
+        *([] if page_id is None else [f"Page-ID: {page_id}"]), "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
     ]
     return VERSION + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -67,7 +85,7 @@ def gzip_member(data: bytes, level: int) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def _writer(folder: str, level: int):
+def _writer(folder: str, level: int, date: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -76,11 +94,11 @@ def _writer(folder: str, level: int):
         fs, path = common.filesystem(folder)
         try:
             for batch in batches:
-                for key, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+                for key, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                     if out is None:
                         fs.create_dir(path, recursive=True)
                         out = fs.open_output_stream(f"{path}/{name}", compression=None)
-                    member = gzip_member(record(key, payload, digest, refers_to), level)
+                    member = gzip_member(record(key, payload, digest, refers_to, url, date), level)
                     out.write(member)
                     size += len(member)
         finally:
@@ -92,10 +110,11 @@ def _writer(folder: str, level: int):
     return write
 
 
-def write_archives(marked: DataFrame, folder: str, level: int = 3) -> None:
-    """Archives of (page_id, payload, digest, refers_to), and a manifest of the files that Spark committed."""
+def write_archives(marked: DataFrame, folder: str, level: int = 3, date: datetime.datetime | None = None) -> None:
+    """Archives of (page_id, url, payload, digest, refers_to), and a manifest of the files that Spark committed; date: now, or that of the crawl."""
     common.ship(marked.sparkSession)
-    marked.select("page_id", "payload", "digest", "refers_to").mapInArrow(_writer(f"{folder}/data", level), WRITTEN).write.parquet(f"{folder}/manifest")
+    stamp = (date or datetime.datetime.now(datetime.timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    marked.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(_writer(f"{folder}/data", level, stamp), WRITTEN).write.parquet(f"{folder}/manifest")
 
 
 class MemberStream:
@@ -169,14 +188,18 @@ def parse(data: bytes) -> tuple:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of a record; a response's payload is measured and its digest verified."""
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = rest[:int(fields["Content-Length"])]
-    number = lambda name: int(fields[name].rpartition(":")[2].rstrip(">")) if name in fields else None
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    size = int(fields["Content-Length"])
+    http, _, payload = rest[:size].partition(b"\r\n\r\n")
+    if len(rest) != size + 4:
+        raise ValueError("damaged WARC record")
+    number = lambda name: int(fields[name]) if name in fields else None
+    digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+    length = int(re.search(rb"\r\nContent-Length: ([0-9]+)", http)[1])
     if fields["WARC-Type"] == "response":
-        if len(rest) != len(block) + 4 or digest != (own := hashlib.sha1(block).hexdigest()):
+        if length != len(payload) or digest != hashlib.sha1(payload).hexdigest():
             raise ValueError("damaged WARC record")
-        return number("WARC-Record-ID"), len(block), own, "response", None
-    return number("WARC-Record-ID"), int(fields["Payload-Length"]), digest, "revisit", number("WARC-Refers-To")
+        return number("Page-ID"), length, digest, "response", None
+    return number("Page-ID"), length, digest, "revisit", number("Page-Refers-To")
 
 
 def records_in(source, start: int, end: int, size: int) -> Iterator[tuple]:
