@@ -138,3 +138,20 @@ def test_packed_pieces(docs, library, vocabulary, sample, edges):
         steps.setdefault(r["step_group"], []).append(r["tier"])
     assert all(len(set(t)) == 1 and len(t) <= packing.STEP_TOKENS // t[0] for t in steps.values())
     assert packing.pack_documents(docs([]), vocabulary).count() == 0
+
+
+def test_shuffled_reads_and_a_repeated_id(spark, docs, vocabulary, sample):
+    rows = sample[:40] + [(7, f"{t} {i}") for i, (_, t) in enumerate(sample[:60])] + [(7, None), (None, "a"), (None, "a")]
+    folder = common.shared_dir(spark)
+    records.write_records(docs(rows), folder, vocabulary)
+    plain, mixed = records.read_records(spark, folder).collect(), records.read_records(spark, folder, seed=5).collect()
+    assert sorted(map(tuple, plain), key=str) == sorted(map(tuple, mixed), key=str) and len(plain) == len(rows)
+    assert [r["start"] for r in mixed] != sorted(r["start"] for r in mixed)
+    assert len({r["file"] for r in plain if r["doc_id"] == 7}) > 1
+
+
+def test_packing_of_null_and_repeated_ids(docs, library, vocabulary):
+    rows = [(None, "a b"), (None, None), (5, "same"), (5, "same"), (5, "other words")]
+    got = packing.pack_documents(docs(rows), vocabulary).collect()
+    crc = lambda t: zlib.crc32(np.array([*expected(library, t), 0], "<u4").tobytes())
+    assert sorted((str(r["doc_id"]), r["ids_crc32"], r["length"]) for r in got) == sorted((str(i), crc(t), len(expected(library, t)) + 1) for i, t in rows)
