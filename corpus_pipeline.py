@@ -13,14 +13,16 @@ NEAR_PERCENT = 80  # op4's own contract says 85
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the classifier. Repeated rows of an id are judged by their own text."""
+    """Documents that pass the base rules and the classifier; every row is judged by its own text, and a null or empty text fails."""
     model = quality.train(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
-    kept = quality.judge_documents(docs, model).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
+    return quality.judge_documents(docs, model, carry=COLUMNS[1:]).filter("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity from NEAR_PERCENT on): that with the smallest id."""
+    """One document of each group of near copies (similarity from NEAR_PERCENT on): that with the smallest id.
+
+    Rows that share an id stay or go together; texts without words, and rows with a null id, have no copies and stay.
+    """
     kept = minhash.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
 
@@ -32,13 +34,13 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by surrogates."""
+    """Personal data replaced by surrogates; every row stays, a null text stays null, repeated rows are rewritten alike."""
     new = pii.replace_entities(docs)
     return new.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; a null or empty text is one piece with the end id only."""
     return packing.pack_documents(docs, vocabulary())
 
 
