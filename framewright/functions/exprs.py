@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +27,11 @@ def task_key(chunk: Column, episode: Column, camera: Column, subset: Column) ->
     return F.sha2(F.to_json(F.struct(chunk.alias("chunk"), episode.alias("episode"), camera.alias("input_camera"), subset.alias("subset"))), 256)
 
 
+def config_fingerprint(config: dict) -> str:
+    """sha256 of the canonical JSON of a configuration (keys in order, no spaces)."""
+    return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
 def chunk_numbers(text: Column) -> Column:
     """0,2,5-7,chunk-009 -> [0, 2, 5, 6, 7, 9]; null if an item is malformed or descends."""
     items = F.filter(F.transform(F.split(text, ","), lambda x: F.regexp_replace(F.trim(x), "^chunk-", "")), lambda x: x != "")
@@ -32,6 +40,20 @@ def chunk_numbers(text: Column) -> Column:
     return F.when(good & (F.size(items) > 0), F.array_sort(F.array_distinct(F.flatten(spread))))
 
 
+def no_chunks(text: Column) -> Column:
+    """Whether a chunk expression is null or empty: all chunks are meant."""
+    return F.coalesce(F.trim(text), F.lit("")) == ""
+
+
+def episode_selector(value: str) -> str:
+    """12 or episode_000012 -> the episode's name; ValueError for others."""
+    if value.startswith("episode_"):
+        return value
+    if not (value.isascii() and value.isdigit()):
+        raise ValueError(f"invalid episode selector: {value}")
+    return f"episode_{int(value):06d}"
+
+
 def camera_names(camera: Column) -> Column:
     """Names a camera answers to: in full, its last dotted part, its number."""
     last = F.substring_index(camera, ".", -1)

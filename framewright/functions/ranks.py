@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.sources.scratch import new_folder
+
 PIECE = 100_000
 
 
@@ -39,10 +41,20 @@ def exclusive_sums(groups: DataFrame, key: str, value: str, name: str, width: in
 def grouped_rank(df: DataFrame, groups: list[str], order: str, name: str) -> DataFrame:
     """0-based rank in the order (groups, order): rows of the groups before, plus the rank inside the group.
 
-    Only the groups meet in one window.
+    Groups are as many as a fraction of the rows: they are dealt by ranges, summed inside each range, and only the
+    ranges (one row each) meet in one window. The ranges are written, so that all uses see the same ones.
     """
+    spark = df.sparkSession
     sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
-    before = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_folder(spark)
+    sizes.repartitionByRange(n, *groups).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    totals = dealt.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_range").orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.withColumn("_in_range", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(bases, "_range")
+    starts = starts.select(*groups, (F.col("_base") + F.col("_in_range")).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(*groups).orderBy(order)) - 1
     return df.withColumn("_in", inside).join(starts, groups).withColumn(name, F.col("_start") + F.col("_in")).drop("_start", "_in")

@@ -11,11 +11,11 @@ def latest_task_state(events: DataFrame) -> DataFrame:
     return events.groupBy("task").agg(last.alias("last"), F.count("*").alias("events")).select("task", "last.event", "last.event_id", "events")
 
 
-def retry_schedule(events: DataFrame, most: int, base_seconds: int) -> DataFrame:
-    """Attempts of a task's crashes and the wait before the next (linear); the last attempt has none."""
+def retry_schedule(events: DataFrame, most: int, base_seconds: int, linear: bool = True) -> DataFrame:
+    """Attempts of a task's crashes and the wait before the next (linear, or always the same); the last attempt has none."""
     attempt = F.row_number().over(Window.partitionBy("task").orderBy("ts", "event_id"))
     crashes = events.filter("event = 'process_crash'").withColumn("attempt", attempt).filter(F.col("attempt") <= most)
-    return crashes.select("task", "event_id", "attempt", F.when(F.col("attempt") < most, base_seconds * F.col("attempt")).alias("wait_seconds"), (F.col("attempt") == most).alias("exhausted"))
+    return crashes.select("task", "event_id", "attempt", F.when(F.col("attempt") < most, base_seconds * F.col("attempt") if linear else F.lit(base_seconds)).alias("wait_seconds"), (F.col("attempt") == most).alias("exhausted"))
 
 
 def crash_quarantine(events: DataFrame, most: int) -> DataFrame:
@@ -31,13 +31,20 @@ def crash_quarantine(events: DataFrame, most: int) -> DataFrame:
     return counted.select("task", "event_id", "event", F.col("attempts").cast("long").alias("attempts"), status.alias("status"))
 
 
-def quarantine_summary(states: DataFrame, events: DataFrame) -> DataFrame:
-    """Tasks whose current state is quarantined, by the kind of failure."""
+def quarantined_now(states: DataFrame, events: DataFrame) -> DataFrame:
+    """(task, failure_kind) of the tasks whose current state is quarantined."""
     last = states.join(events.select("event_id", "ts"), "event_id").groupBy("task").agg(F.max_by(F.struct("event", "status"), F.struct("ts", "event_id")).alias("last"))
-    return last.filter("last.status = 'quarantined'").groupBy(F.col("last.event").alias("failure_kind")).agg(F.count("*").alias("tasks"))
+    return last.filter("last.status = 'quarantined'").select("task", F.col("last.event").alias("failure_kind"))
 
 
-def run_summary(events: DataFrame, shards: int) -> DataFrame:
+def quarantine_summary(states: DataFrame, events: DataFrame, first: int = 50) -> DataFrame:
+    """Quarantined tasks by the kind of failure (task null), and the first of them by name (tasks null)."""
+    held = quarantined_now(states, events)
+    kinds = held.groupBy("failure_kind").agg(F.count("*").alias("tasks")).select("failure_kind", "tasks", F.lit(None).cast("long").alias("task"))
+    return kinds.unionByName(held.orderBy("task").limit(first).select("failure_kind", F.lit(None).cast("long").alias("tasks"), "task"))
+
+
+def failure_counts(events: DataFrame, shards: int) -> DataFrame:
     kinds = ["process_crash", "python_failure", "resolved"]
     out = events.withColumn("shard", F.col("task") % shards).groupBy("shard").pivot("event", kinds).count()
     return out.select("shard", *[F.coalesce(k, F.lit(0)).alias(k) for k in kinds])

@@ -2,39 +2,65 @@
 
 from __future__ import annotations
 
+import time
+import traceback
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.sources.scratch import new_folder
+
 
 def publish_conflicts(staged: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return staged.join(target.select(*keys).distinct(), keys, "left_semi")
 
 
-def publish_staged(staged: DataFrame, target: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """Write staged rows to `path` only if none is in the target; returns the report (keys in conflict, the first 20, and how many)."""
-    conflicts = publish_conflicts(staged, target, keys).select(*keys)
-    if conflicts.isEmpty():
+def publish_staged(staged: DataFrame, target: DataFrame, keys: list[str], path: str, first: int = 20) -> DataFrame:
+    """Write staged rows to `path` only if none is in the target; returns the report: the first keys in conflict, and how many there are."""
+    spark, kept = staged.sparkSession, new_folder(staged.sparkSession)
+    publish_conflicts(staged, target, keys).select(*keys).write.parquet(kept)
+    conflicts = spark.read.schema(staged.select(*keys).schema).parquet(kept)
+    number = conflicts.count()
+    if not number:
         staged.write.mode("append").parquet(path)
-    return conflicts.orderBy(*keys).limit(20).join(conflicts.agg(F.count("*").alias("conflicts")))
+    return conflicts.orderBy(*keys).limit(first).withColumn("conflicts", F.lit(number).cast("long"))
+
+
+RESULT = "episode_index long, status string, attempt int, count long, value double, error_type string, error string, traceback string, wall_seconds double"
+_STATES: dict[str, object] = {}
+
 
+def map_episodes_resilient(
+    frames: DataFrame, key: str, fn: Callable[..., tuple[int, float]], attempts: int, setup: Callable[[], object] | None = None, continue_on_error: bool = True
+) -> DataFrame:
+    """`fn` on every episode, tried `attempts` times: a row with its result, attempt and time, or with the last error and its traceback.
 
-def map_episodes_resilient(frames: DataFrame, key: str, fn: Callable[[pd.DataFrame], tuple[int, float]], attempts: int) -> DataFrame:
-    """`fn` on every episode, tried `attempts` times; a failure is a row, not a failed job."""
+    setup: called once in each Python worker; `fn` then gets its result and the episode. Unless `continue_on_error` is set, an episode
+    that fails for good fails the job. A crash of the worker itself can't be caught here.
+    """
+    number = uuid.uuid4().hex
+    columns = [c.split()[0] for c in RESULT.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        error = None
+        started, failure = time.monotonic(), None
+        episode = int(pdf[key].iloc[0])
         for attempt in range(1, attempts + 1):
             try:
-                count, value = fn(pdf)
-                return pd.DataFrame([(int(pdf[key].iloc[0]), "complete", attempt, int(count), float(value), None)], columns=["episode_index", "status", "attempt", "count", "value", "error"])
+                if setup is not None and number not in _STATES:
+                    _STATES[number] = setup()
+                count, value = fn(pdf) if setup is None else fn(_STATES[number], pdf)
+                row = (episode, "complete", attempt, int(count), float(value), None, None, None, time.monotonic() - started)
+                return pd.DataFrame([row], columns=columns)
             except Exception as e:  # noqa: BLE001  the user's function may raise anything
-                error = f"{type(e).__name__}: {e}"
-        return pd.DataFrame([(int(pdf[key].iloc[0]), "failed", attempts, None, None, error)], columns=["episode_index", "status", "attempt", "count", "value", "error"])
+                failure = (type(e).__name__, str(e), traceback.format_exc())
+                if attempt == attempts and not continue_on_error:
+                    raise
+        return pd.DataFrame([(episode, "failed", attempts, None, None, *failure, time.monotonic() - started)], columns=columns)
 
-    return frames.groupBy(key).applyInPandas(run, "episode_index long, status string, attempt int, count long, value double, error string")
+    return frames.groupBy(key).applyInPandas(run, RESULT)
 
 
 def map_batches_with_setup(rows: DataFrame, setup: Callable[[], object], fn: Callable[[object, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -53,12 +53,18 @@ def overlap_blend(frames: DataFrame, feature: str, size: int, step: int) -> Data
 
 
 def media_plan(media: DataFrame, longest: int, target: float, size: int = 14, step: int = 10, batch: int = 16, seconds: int = 20) -> DataFrame:
-    """Per medium: scaled size, padding to multiples of 64 and its offset, stride, kept frames, batches and windows."""
+    """Per medium: scaled size, padding to multiples of 64 and its offset, stride, kept frames, batches and windows (and its subset, where there is one)."""
     side = F.greatest("width", "height")
     scale = F.when(side > longest, longest / side).otherwise(1.0)
-    plan = media.select("media_id", F.bround(F.col("width") * scale).cast("long").alias("out_width"), F.bround(F.col("height") * scale).cast("long").alias("out_height"), exprs.rate(F.col("avg_frame_rate")).alias("rate"))
+    plan = media.select("media_id", *[c for c in media.columns if c == "subset"], F.bround(F.col("width") * scale).cast("long").alias("out_width"), F.bround(F.col("height") * scale).cast("long").alias("out_height"), exprs.rate(F.col("avg_frame_rate")).alias("rate"))
     up = lambda c: (F.ceil(F.col(c) / 64) * 64).cast("long")
     plan = plan.withColumn("pad_x", F.floor((up("out_width") - F.col("out_width")) / 2)).withColumn("pad_y", F.floor((up("out_height") - F.col("out_height")) / 2))
     plan = plan.withColumn("stride", stride_of(F.col("rate"), target)).withColumn("kept_frames", F.ceil(F.col("rate") * seconds / F.col("stride")).cast("long"))
     windows = F.when(F.col("kept_frames") <= size, F.lit(1)).otherwise(F.ceil((F.col("kept_frames") - size) / step) + 1).cast("long")
     return plan.withColumn("batches", F.ceil(F.col("kept_frames") / batch).cast("long")).withColumn("windows", windows).drop("rate")
+
+
+def media_totals(plan: DataFrame, group: str) -> DataFrame:
+    """Sums of a media plan over each `group` and over all media (group null)."""
+    sums = ("kept_frames", "batches", "windows")
+    return plan.rollup(group).agg(F.count("*").alias("media"), *[F.sum(c).alias(c) for c in sums])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions import exprs
@@ -24,8 +24,10 @@ def task_table(catalog: DataFrame) -> DataFrame:
     )
 
 
-def select_tasks(tasks: DataFrame, subsets=(), chunks=(), cameras=(), first: int | None = None, last: int | None = None) -> DataFrame:
-    """Conjunction of the given selections; an empty one selects everything."""
+def select_tasks(tasks: DataFrame, subsets=(), chunks=(), cameras=(), first: int | None = None, last: int | None = None, episodes=()) -> DataFrame:
+    """Conjunction of the given selections; an empty one selects everything. Episodes by number or name."""
+    if episodes:
+        tasks = tasks.filter(F.col("episode").isin(*[exprs.episode_selector(e) for e in episodes]))
     if subsets:
         tasks = tasks.filter(F.col("subset").isin(*subsets) | F.substring_index("subset", "/", -1).isin(*subsets))
     if chunks:
@@ -39,18 +41,55 @@ def select_tasks(tasks: DataFrame, subsets=(), chunks=(), cameras=(), first: int
 
 
 def resolve_requests(requests: DataFrame, tasks: DataFrame) -> DataFrame:
-    """One row per request and task: an equi-join on subset and chunk, the camera as a residual."""
-    wanted = requests.select("request_id", "subset", F.col("camera").alias("wanted"), F.explode(exprs.chunk_numbers(F.col("chunks"))).alias("n"))
-    wanted = wanted.select("request_id", "subset", "wanted", F.format_string("chunk-%03d", "n").alias("chunk"))
-    return wanted.join(tasks, ["subset", "chunk"]).filter(F.array_contains(exprs.camera_names(F.col("input_camera")), F.col("wanted"))).select("request_id", *ORDER)
-
-
-def completion_status(tasks: DataFrame, sidecars: DataFrame, fingerprint: str = "expected") -> DataFrame:
-    """Complete: status, recorded size and configuration all fit (a sidecar without a fingerprint is compared the legacy way)."""
-    config = F.when(F.col("config_fingerprint").isNull(), F.col("legacy_match")).otherwise(F.col("config_fingerprint") == fingerprint)
-    sizes = F.col("recorded_input_size").isNull() | (F.col("recorded_input_size") == F.col("input_size_bytes"))
-    complete = (F.col("status") == "complete") & sizes & config
-    return tasks.join(sidecars, "doc_id", "left").select(*tasks.columns, F.coalesce(complete, F.lit(False)).alias("complete"), F.coalesce("quarantined", F.lit(False)).alias("quarantined"))
+    """One row per request and task: an equi-join on subset and chunk (on the subset where no chunks are named), the camera as a residual.
+
+    Requests whose chunks are malformed resolve to nothing: `selectors.request_issues` names them.
+    """
+    named = requests.filter(~exprs.no_chunks(F.col("chunks"))).select("request_id", "subset", F.col("camera").alias("wanted"), F.explode(exprs.chunk_numbers(F.col("chunks"))).alias("n"))
+    by_chunk = named.select("request_id", "subset", "wanted", F.format_string("chunk-%03d", "n").alias("chunk")).join(tasks, ["subset", "chunk"])
+    whole = requests.filter(exprs.no_chunks(F.col("chunks"))).select("request_id", "subset", F.col("camera").alias("wanted")).join(tasks, "subset")
+    found = by_chunk.select("request_id", "wanted", *ORDER).unionByName(whole.select("request_id", "wanted", *ORDER))
+    return found.filter(F.array_contains(exprs.camera_names(F.col("input_camera")), F.col("wanted"))).select("request_id", *ORDER)
+
+
+#: Numbers are read as text, so that a malformed one is a null later on and not an error here.
+SIDECAR = (
+    "status string, method string, commit string, config_fingerprint string, task struct<input_size_bytes: string>, "
+    "output_video struct<width: string, height: string, frames: string, size_bytes: string>, settings map<string, string>"
+)
+
+
+def legacy_match(sidecar: Column, config: dict) -> Column:
+    """Whether a sidecar without a fingerprint says the same: method, commit, settings, and the output's size."""
+    same = (sidecar["method"] == config["method"]) & (sidecar["commit"] == config["commit"])
+    for key, value in config["settings"].items():
+        if key.startswith("output_"):
+            same = same & (sidecar["output_video"][key.removeprefix("output_")].try_cast("long") == value)
+        else:
+            same = same & (F.try_element_at(sidecar["settings"], F.lit(key)) == str(value))
+    return same
+
+
+def completion_status(tasks: DataFrame, sidecars: DataFrame, outputs: DataFrame, config: dict) -> DataFrame:
+    """Adds complete and quarantined to tasks.
+
+    Complete: the output (doc_id, output_bytes, is_mp4) is there and an MP4, and the sidecar (doc_id, payload as JSON text, quarantined)
+    says complete, width, height and frames above 0, the sizes of output and input as they are (where it names them), and this
+    configuration: by fingerprint, or by comparison where it has none. A malformed, cut off or missing field means incomplete.
+    """
+    said = sidecars.select("doc_id", "quarantined", F.from_json("payload", SIDECAR).alias("sidecar"))
+    s = F.col("sidecar")
+    video = s["output_video"]
+    positive = [video[f].try_cast("long") > 0 for f in ("width", "height", "frames")]
+    fits = lambda recorded, actual: recorded.isNull() | (recorded.try_cast("long") == F.col(actual))
+    fingerprint = s["config_fingerprint"]
+    complete = (
+        F.col("is_mp4") & (s["status"] == "complete") & positive[0] & positive[1] & positive[2]
+        & fits(video["size_bytes"], "output_bytes") & fits(s["task"]["input_size_bytes"], "input_size_bytes")
+        & F.when(fingerprint.isNotNull(), fingerprint == exprs.config_fingerprint(config)).otherwise(legacy_match(s, config))
+    )
+    met = tasks.join(said, "doc_id", "left").join(outputs.select("doc_id", "output_bytes", "is_mp4"), "doc_id", "left")
+    return met.select(*tasks.columns, F.coalesce(complete, F.lit(False)).alias("complete"), F.coalesce("quarantined", F.lit(False)).alias("quarantined"))
 
 
 def pending_tasks(status: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -70,7 +109,8 @@ def stable_shards(tasks: DataFrame, shards: int) -> DataFrame:
 
 def plan_counts(status: DataFrame, shards: int) -> DataFrame:
     """Per shard and in all (shard null): discovered, pending (quarantined still count), quarantined."""
-    return stable_shards(status, shards).rollup("shard").agg(
+    sharded = stable_shards(status, shards)
+    return sharded.rollup("shard").agg(
         F.count("*").alias("discovered"), F.count_if(~F.col("complete")).alias("pending"), F.count_if(F.col("quarantined") & ~F.col("complete")).alias("quarantined"))
 
 
@@ -105,3 +145,11 @@ def orphan_parts(manifest: DataFrame, tasks: DataFrame) -> DataFrame:
     parts = manifest.withColumn("episode", part).filter("episode <> ''").withColumn("camera_dir", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
     keyed = tasks.select("subset", "chunk", "episode", exprs.output_camera(F.col("input_camera")).alias("camera_dir"), "doc_id")
     return parts.join(keyed, ["subset", "chunk", "camera_dir", "episode"]).groupBy("doc_id").agg(F.count("*").alias("parts"), F.sum("bytes").alias("part_bytes"))
+
+
+def run_summary(sharded: DataFrame) -> DataFrame:
+    """Per shard: succeeded, skipped, locked and failed tasks of a run, and what is pending after it (quarantined ones count)."""
+    o = F.col("outcome")
+    done = F.col("complete") | F.coalesce(o.isin("complete", "skipped"), F.lit(False))
+    return sharded.groupBy("shard").agg(
+        F.count_if(o == "complete").alias("succeeded"), *[F.count_if(o == k).alias(k) for k in ("skipped", "locked", "failed")], F.count_if(~done).alias("still_pending"))

@@ -46,23 +46,29 @@ def padded_camera_coverage(padding: DataFrame, media: DataFrame) -> DataFrame:
     return padding.filter("tail_missing_count > 0").select("episode_index", "camera").join(have, ["episode_index", "camera"], "left_anti")
 
 
-def _with_specs(frames: DataFrame, specs: DataFrame) -> DataFrame:
+def _final_lengths(frames: DataFrame, specs: DataFrame) -> DataFrame:
+    """(episode_index, final_length): an episode of neither its original nor its final length is an error."""
     lengths = frames.groupBy("episode_index").agg(F.count("*").alias("rows_found"))
     small = specs.select("episode_index", "trim_count", "original_length")
-    plan = lengths.join(small, "episode_index", "left").select(
-        "episode_index", F.coalesce(F.col("original_length") - F.col("trim_count"), F.col("rows_found")).alias("final_length"),
-        F.when(F.col("trim_count").isNull() | F.col("rows_found").isin(F.col("original_length"), F.col("original_length") - F.col("trim_count")), F.lit(True)).otherwise(F.lit(False)).alias("length_fits"),
-    )
-    return frames.join(plan, "episode_index")
+    final = F.col("original_length") - F.col("trim_count")
+    fits = F.col("trim_count").isNull() | F.col("rows_found").isin(F.col("original_length"), final)
+    error = F.raise_error(F.concat(F.lit("unexpected length of episode "), F.col("episode_index").cast("string"))).cast("long")
+    return lengths.join(small, "episode_index", "left").select("episode_index", F.when(fits, F.coalesce(final, F.col("rows_found"))).otherwise(error).alias("final_length"))
 
 
 def tail_trim(frames: DataFrame, specs: DataFrame, dropped: bool = False) -> DataFrame:
     """Frames before the final length (or, with `dropped`, those after). Trimmed episodes pass unchanged; an episode of
     another length than expected raises."""
-    checked = _with_specs(frames, specs).withColumn(
-        "final_length", F.when(F.col("length_fits"), F.col("final_length")).otherwise(F.raise_error(F.concat(F.lit("unexpected length of episode "), F.col("episode_index").cast("string"))).cast("long")))
     keep = F.col("frame_index") < F.col("final_length")
-    return checked.filter(~keep if dropped else keep).select(*frames.columns)
+    return frames.join(_final_lengths(frames, specs), "episode_index").filter(~keep if dropped else keep).select(*frames.columns)
+
+
+def trim_and_reindex(frames: DataFrame, specs: DataFrame) -> DataFrame:
+    """(episode_index, frame_index, index) of the frames that are left: final lengths and starts are known before the frames are read."""
+    final = _final_lengths(frames, specs)
+    starts = exclusive_sums(final, "episode_index", "final_length", "start", CHUNK).select("episode_index", "final_length", "start")
+    left = frames.select("episode_index", "frame_index").join(starts, "episode_index").filter("frame_index < final_length")
+    return left.select("episode_index", "frame_index", (F.col("start") + F.col("frame_index")).alias("index"))
 
 
 def global_reindex(frames: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,17 +36,23 @@ def _specs(s, d):
 
 
 def _status(s, d):
-    return tasks.completion_status(b.tasks(s, d), b.sidecars(s, d))
+    return tasks.completion_status(b.tasks(s, d), b.sidecars(s, d), b.outputs(s, d), b.CONFIG)
 
 
-def _paths(s, d):
-    t = b.tasks(s, d)
-    path = exprs.media_path(F.col("subset"), "videos", F.col("chunk"), F.col("input_camera"), F.col("episode"), ".mp4")
-    return t.select("subset", "chunk", path.alias("path"), F.col("input_size_bytes").alias("bytes"))
+def _layout(s, d):
+    return selectors.subset_layout(b.tree(s, d))
 
 
-def _layout(s, d):
-    return selectors.subset_layout(_paths(s, d))
+def _payload(text) -> "F.Column":
+    return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+
+
+def _videos(s, d, content) -> str:
+    """A folder with the videos of all tasks; content: an expression of a document's text."""
+    root = new_folder(s)
+    docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", content.alias("content"))
+    files.write_media(b.tree(s, d).filter("path like '%.mp4'").join(docs, "doc_id").select("path", "content"), root)
+    return root
 
 
 # sources
@@ -74,21 +81,25 @@ def scan_padding_sidecars(s, d):
     return files.scan_padding_sidecars(s, [root]).select("episode_index", "camera", "frame_count", "tail_missing_count", F.size("missing_frame_indices").cast("long").alias("n_missing"))
 
 
-@query("SELECT path, subset, chunk, split_part(path, '/', 4) AS input_camera, regexp_extract(path, '(episode_[0-9]+)\\.mp4$', 1) AS episode, bytes FROM paths")
+_VIDEOS = "(SELECT t.path, t.subset, d.doc_id, coalesce(d.text, '') AS text FROM tree t JOIN documents d USING (doc_id) WHERE path LIKE '%.mp4')"
+
+
+@query(f"SELECT path, subset, split_part(substr(path, length(subset) + 2), '/', 2) AS chunk, split_part(substr(path, length(subset) + 2), '/', 3) AS input_camera, regexp_extract(path, '(episode_[0-9]+)\\.mp4$', 1) AS episode, strlen(text) AS bytes FROM {_VIDEOS}")
 def media_catalog(s, d):
-    return files.media_catalog(_paths(s, d).select("path", "bytes"))
+    return files.media_catalog(files.scan_media(s, _videos(s, d, _payload(F.col("text")))))
 
 
-@query("SELECT doc_id, substr(encode(text), 5, 4) = encode('ftyp') AND octet_length(encode(text)) >= 12 AS is_mp4 FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '0000ftyp' || text ELSE text END AS text FROM documents)".replace("substr(encode(text), 5, 4) = encode('ftyp')", "starts_with(hex(encode(text))[9:], '66747970')"))
+@query(f"SELECT path, starts_with(hex(encode(body))[9:], '66747970') AND strlen(body) >= 12 AS is_mp4 FROM (SELECT path, CASE WHEN doc_id % 3 = 0 THEN '0000ftyp' || text ELSE text END AS body FROM {_VIDEOS})")
 def media_signature(s, d):
-    docs = s.read.parquet(f"{d}/documents.parquet")
-    content = F.encode(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("0000ftyp"), F.col("text"))).otherwise(F.col("text")), "UTF-8")
-    return docs.select("doc_id", files.has_mp4_signature(content).alias("is_mp4"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return files.scan_signatures(s, _videos(s, d, _payload(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("0000ftyp"), text)).otherwise(text))))
 
 
-@query("SELECT DISTINCT subset FROM paths")
+@query("""SELECT DISTINCT 'any marker' AS rule, subset FROM tree UNION ALL SELECT DISTINCT 'videos', subset FROM tree UNION ALL SELECT DISTINCT 'images', subset FROM tree WHERE path LIKE '%/images/%'""")
 def subset_discovery(s, d):
-    return selectors.subset_discovery(_paths(s, d))
+    tree = b.tree(s, d)
+    rules = {"any marker": selectors.subset_discovery(tree), "videos": selectors.marked_roots(tree, "videos"), "images": selectors.marked_roots(tree, "images", least=1)}
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(rule).alias("rule"), "subset") for rule, rows in rules.items()])
 
 
 @query("SELECT subset, root, chunks FROM layout")
@@ -99,12 +110,15 @@ def subset_layout(s, d):
 # sinks
 
 
-@query("SELECT episode_index, frame_index, role, printf('%03d', episode_index // 1000) AS chunk FROM trimmed")
+@query("""SELECT episode_index, frame_index, role, text, printf('%03d', episode_index % 6) AS chunk, printf('%03d', episode_index % 6) IN (SELECT printf('%03d', episode_index % 6) FROM specs) AS rewritten, 'gzip' AS codec FROM trimmed""")
 def write_frames(s, d):
-    root = new_folder(s)
-    kept = trim.tail_trim(b.frames(s, d), _specs(s, d))
-    files.write_frames(kept.withColumn("chunk", F.format_string("%03d", F.expr("episode_index DIV 1000"))), root)
-    return files.scan_frames(s, root).select("episode_index", "frame_index", "role", "chunk")
+    root, specs = new_folder(s), _specs(s, d)
+    chunk = F.format_string("%03d", F.col("episode_index") % 6)
+    files.write_frames(b.frames(s, d).withColumn("chunk", chunk), root, "gzip")
+    before = files.scan_frames(s, root).select("chunk", F.col("_metadata.file_path").alias("file")).distinct().collect()  # a row per file
+    files.rewrite_frames(trim.tail_trim(files.scan_frames(s, root), specs), specs.select(chunk.alias("chunk")), root)
+    now = files.scan_frames(s, root)
+    return now.select("episode_index", "frame_index", "role", "text", "chunk", (~F.col("_metadata.file_path").isin([r["file"] for r in before])).alias("rewritten"), F.lit(files.codec_of(s, root)).alias("codec"))
 
 
 @query("SELECT episode_index, length, CASE WHEN episode_index % 2 = 0 THEN 'even' END AS note FROM episodes")
@@ -122,16 +136,28 @@ def append_events(s, d):
     return files.scan_jsonl(s, path, "task long, event_id long, event string")
 
 
-@query("SELECT subset, chunk, input_camera, batch, 'created' AS status, count(*) AS members, CAST(sum(strlen(text)) AS BIGINT) AS payload_bytes FROM batched JOIN documents USING (doc_id) GROUP BY ALL")
+@query("""SELECT subset, chunk, input_camera, batch, CASE WHEN chunk LIKE '%1' THEN 'skipped' ELSE 'created' END AS status,
+    subset || '/images/' || chunk || '/' || input_camera || '/episodes-' || substr(min(episode), 9) || '-' || substr(max(episode), 9) || '.tar' AS archive,
+    count(*) AS members, CAST(sum(strlen(coalesce(text, ''))) AS BIGINT) AS payload_bytes FROM batched JOIN documents USING (doc_id) GROUP BY subset, chunk, input_camera, batch""")
 def pack_export(s, d):
-    texts = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.encode("text", "UTF-8").alias("payload"))
-    members = tasks.pack_batches(b.tasks(s, d), BATCH).join(texts, "doc_id").withColumn("member", F.concat("episode", F.lit(".txt")))
-    return files.pack_export(members, ["subset", "chunk", "input_camera", "batch"], new_folder(s))
+    texts = s.read.parquet(f"{d}/documents.parquet").select("doc_id", _payload(F.col("text")).alias("payload"))
+    batches, shard, folder = tasks.pack_batches(b.tasks(s, d), BATCH), ["subset", "chunk", "input_camera", "batch"], new_folder(s)
+    archive = F.concat_ws("/", "subset", F.lit("images"), "chunk", "input_camera", "file").alias("archive")
+    names = tasks.shard_summary(batches).select(*shard, archive)
+    members = batches.join(texts, "doc_id").join(names, shard).withColumn("member", F.concat("episode", F.lit(".txt")))
+    files.pack_export(members.filter("chunk like '%1'"), shard, folder).count()  # an earlier run
+    return files.pack_export(members, shard, folder)
 
 
-@query("SELECT doc_id, (SELECT count(*) FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels)) AS conflicts FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20")
+@query("""SELECT * FROM (SELECT 'conflict' AS staged, doc_id, (SELECT count(*) FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels)) AS conflicts, NULL AS published FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20)
+    UNION ALL SELECT 'new', NULL, 0, count(*) FROM tasks WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def publish_staged(s, d):
-    return publish.publish_staged(b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet"), ["doc_id"], new_folder(s))
+    staged, target, path = b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet"), new_folder(s)
+    none = F.lit(None).cast("long")
+    refused = publish.publish_staged(staged, target, ["doc_id"], new_folder(s)).select(F.lit("conflict").alias("staged"), "doc_id", "conflicts", none.alias("published"))
+    publish.publish_staged(staged.join(target, "doc_id", "left_anti"), target, ["doc_id"], path)
+    done = s.read.schema(staged.schema).parquet(path).agg(F.count("*").alias("published"))
+    return refused.unionByName(done.select(F.lit("new").alias("staged"), none.alias("doc_id"), F.lit(0).cast("long").alias("conflicts"), "published"))
 
 
 # projections
@@ -146,13 +172,11 @@ def task_table(s, d):
     return tasks.task_table(b.tasks(s, d))
 
 
-@query("""SELECT media_id, out_width, out_height, pad_x, pad_y, stride, kept_frames, CAST(ceil(kept_frames / 16.0) AS BIGINT) AS batches,
-    CASE WHEN kept_frames <= 14 THEN 1 ELSE CAST(ceil((kept_frames - 14) / 10.0) AS BIGINT) + 1 END AS windows FROM (
-    SELECT *, CAST((ceil(out_width / 64.0) * 64 - out_width) // 2 AS BIGINT) AS pad_x, CAST((ceil(out_height / 64.0) * 64 - out_height) // 2 AS BIGINT) AS pad_y, CAST(ceil(rate * 20 / stride) AS BIGINT) AS kept_frames FROM (
-    SELECT media_id, CAST(round_even(width * sc, 0) AS BIGINT) AS out_width, CAST(round_even(height * sc, 0) AS BIGINT) AS out_height, rate, CAST(greatest(round_even(rate / 12, 0), 1) AS BIGINT) AS stride FROM (
-    SELECT *, CASE WHEN greatest(width, height) > 1024 THEN 1024.0::DOUBLE / greatest(width, height) ELSE 1.0::DOUBLE END AS sc, CAST(split_part(avg_frame_rate, '/', 1) AS DOUBLE) / CAST(split_part(avg_frame_rate, '/', 2) AS DOUBLE) AS rate FROM media)))""")
+@query("""SELECT media_id, subset, out_width, out_height, pad_x, pad_y, stride, kept_frames, batches, windows, NULL AS media FROM media_plans
+    UNION ALL SELECT NULL, subset, NULL, NULL, NULL, NULL, NULL, CAST(sum(kept_frames) AS BIGINT), CAST(sum(batches) AS BIGINT), CAST(sum(windows) AS BIGINT), count(*) FROM media_plans GROUP BY ROLLUP (subset)""")
 def media_plan(s, d):
-    return sequences.media_plan(b.media(s, d), 1024, 12)
+    plan = sequences.media_plan(b.media(s, d), 1024, 12)
+    return plan.unionByName(sequences.media_totals(plan, "subset"), allowMissingColumns=True)
 
 
 @query("""SELECT episode_index, frame_index, array_to_string(list_transform(e, lambda x: CAST(trunc(least(greatest((x / greatest(n, 1e-6) * 0.5 + 0.5) * 255, 0), 255)) AS INT)), ',') AS codes FROM (
@@ -165,37 +189,43 @@ def normalize_quantize_vectors(s, d):
 # filters
 
 
-@query("SELECT subset, chunk, input_camera, episode FROM tasks WHERE subset IN ('src0', 'src1', 'src2') AND chunk IN ('chunk-000', 'chunk-001', 'chunk-003') AND input_camera LIKE '%rgb_01' AND CAST(substr(episode, 9) AS BIGINT) BETWEEN 10 AND 350")
+@query("""SELECT 'bounds' AS selection, subset, chunk, input_camera, episode FROM tasks WHERE subset IN ('src0', 'src1', 'src2') AND chunk IN ('chunk-000', 'chunk-001', 'chunk-003') AND input_camera LIKE '%rgb_01' AND CAST(substr(episode, 9) AS BIGINT) BETWEEN 10 AND 350
+    UNION ALL SELECT 'episodes', subset, chunk, input_camera, episode FROM tasks WHERE doc_id % 7 = 3 AND doc_id < 150""")
 def select_tasks(s, d):
-    return tasks.select_tasks(b.tasks(s, d), ("src0", "src1", "src2"), (0, 1, 3), ("01",), 10, 350).select(*tasks.ORDER)
+    rows = b.tasks(s, d)
+    episodes = [f"episode_{n:06d}" if n % 2 else str(n) for n in range(3, 150, 7)]
+    picked = {"bounds": tasks.select_tasks(rows, ("src0", "src1", "src2"), (0, 1, 3), ("01",), 10, 350), "episodes": tasks.select_tasks(rows, episodes=episodes)}
+    return reduce(DataFrame.unionByName, [x.select(F.lit(name).alias("selection"), *tasks.ORDER) for name, x in picked.items()])
 
 
-@query("SELECT request_id, w.subset, w.chunk, input_camera, episode FROM wanted w JOIN tasks t ON w.subset = t.subset AND w.chunk = t.chunk AND (w.camera = input_camera OR w.camera = split_part(input_camera, '.', 3) OR w.camera = right(input_camera, 2))")
-def resolve_requests(s, d):
-    return tasks.resolve_requests(b.requests(s, d), b.tasks(s, d))
+_CAMERA = "(r.camera = input_camera OR r.camera = split_part(input_camera, '.', 3) OR r.camera = right(input_camera, 2))"
 
 
-_PLAN = """SELECT DISTINCT w.subset,
-    CASE WHEN w.root = 'meta' THEN w.subset || '/meta/**' WHEN l.chunk IS NOT NULL THEN w.subset || '/' || w.root || printf('/chunk-%03d', w.chunk) || coalesce('/' || w.nested, '') || '/**' END AS pattern,
-    CASE WHEN w.root <> 'meta' AND l.chunk IS NULL THEN 'missing chunk ' || w.chunk || ' in ' || w.root END AS issue
-    FROM (SELECT subset, root, nested, chunk FROM (SELECT DISTINCT subset FROM layout), (VALUES ('meta', NULL), ('data', NULL), ('videos', 'observation.images.rgb_01')) AS m(root, nested), (SELECT DISTINCT CAST(substr(chunk, 7) AS INT) AS chunk FROM wanted)) w
-    LEFT JOIN (SELECT subset, root, CAST(unnest(string_split(chunks, ',')) AS INT) AS chunk FROM layout) l ON w.subset = l.subset AND w.root = l.root AND w.chunk = l.chunk"""
+@query(f"""SELECT request_id, r.subset, r.chunk, input_camera, episode, NULL AS issue FROM wanted r JOIN tasks t ON r.subset = t.subset AND r.chunk = t.chunk AND {_CAMERA}
+    UNION ALL SELECT request_id, r.subset, t.chunk, input_camera, episode, NULL FROM requests r JOIN tasks t ON r.subset = t.subset AND {_CAMERA} WHERE r.chunks = ''
+    UNION ALL SELECT request_id, NULL, NULL, NULL, NULL, 'invalid chunks' FROM requests WHERE chunks = '7-5'""")
+def resolve_requests(s, d):
+    requests = b.requests(s, d)
+    return tasks.resolve_requests(requests, b.tasks(s, d)).unionByName(selectors.request_issues(requests), allowMissingColumns=True)
 
 
 def _patterns(s, d):
-    chunks = b.requests(s, d).select(F.explode(exprs.chunk_numbers(F.col("chunks"))).alias("chunk")).distinct()
-    modalities = s.createDataFrame([("metadata",), ("parquet",), ("rgb_01",)], "modality string")
-    return selectors.pattern_plan(_layout(s, d), modalities, chunks)
+    return selectors.pattern_plan(_layout(s, d), selectors.parsed_requests(b.plans(s, d)))
 
 
-@query(_PLAN)
+@query("""SELECT 'checked' AS plan, request_id, subset, position, pattern, NULL AS issue FROM planned
+    UNION ALL SELECT DISTINCT 'checked', request_id, subset, NULL, NULL, issue FROM checked WHERE issue IS NOT NULL
+    UNION ALL SELECT 'unverified', request_id, subset, row_number() OVER (PARTITION BY request_id, subset ORDER BY place) - 1, pattern, NULL FROM (SELECT request_id, subset, pattern, min(place) AS place FROM unverified GROUP BY 1, 2, 3)""")
 def pattern_plan(s, d):
-    return _patterns(s, d)
+    patterns, issues = _patterns(s, d)
+    dry = selectors.unverified_plan(selectors.parsed_requests(b.plans(s, d)))
+    checked = patterns.unionByName(issues, allowMissingColumns=True).withColumn("plan", F.lit("checked"))
+    return checked.unionByName(dry.withColumn("plan", F.lit("unverified")), allowMissingColumns=True)
 
 
-@query("SELECT DISTINCT path FROM paths p JOIN wanted w ON p.chunk = w.chunk WHERE split_part(path, '/', 4) = 'observation.images.rgb_01'")
+@query("SELECT DISTINCT path FROM tree t JOIN globs g ON t.subset = g.subset AND regexp_full_match(path, rx)")
 def pattern_filter(s, d):
-    return selectors.pattern_filter(_paths(s, d), _patterns(s, d).filter("pattern is not null").select("subset", "pattern"))
+    return selectors.pattern_filter(b.tree(s, d), _patterns(s, d)[0])
 
 
 @query("SELECT episode_index, frame_index, role FROM trimmed")
@@ -229,15 +259,16 @@ def unknown_selectors(s, d):
     return selectors.unknown_selectors(b.requests(s, d), b.tasks(s, d))
 
 
-@query("""SELECT request_id, subset, camera, chunk FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM tasks t WHERE t.subset = w.subset AND t.chunk = w.chunk
-    AND (w.camera = input_camera OR w.camera = split_part(input_camera, '.', 3) OR w.camera = right(input_camera, 2)))""")
+@query(f"""SELECT DISTINCT request_id, subset, camera, chunk FROM (SELECT request_id, subset, camera, chunk FROM wanted UNION ALL
+    SELECT request_id, q.subset, camera, min(chunk) FROM requests q JOIN tasks t ON q.subset = t.subset WHERE chunks = '' GROUP BY 1, 2, 3) r
+    WHERE NOT EXISTS (SELECT 1 FROM tasks t WHERE t.subset = r.subset AND t.chunk = r.chunk AND {_CAMERA})""")
 def nested_modality_check(s, d):
     return selectors.nested_modality_check(b.requests(s, d), b.tasks(s, d)).distinct()
 
 
-@query(f"SELECT pattern FROM (SELECT DISTINCT subset, pattern FROM ({_PLAN}) WHERE pattern IS NOT NULL) q WHERE NOT EXISTS (SELECT 1 FROM paths p WHERE p.subset = q.subset AND starts_with(p.path, replace(q.pattern, '**', '')))")
+@query("SELECT pattern FROM globs g WHERE NOT EXISTS (SELECT 1 FROM tree t WHERE t.subset = g.subset AND regexp_full_match(path, rx))")
 def pattern_coverage(s, d):
-    return selectors.pattern_coverage(_paths(s, d), _patterns(s, d).filter("pattern is not null").select("subset", "pattern"))
+    return selectors.pattern_coverage(b.tree(s, d), _patterns(s, d)[0])
 
 
 @query("SELECT doc_id, subset, chunk, input_camera, episode, complete, quarantined FROM status")
@@ -309,9 +340,12 @@ def plan_counts(s, d):
     return tasks.plan_counts(_status(s, d), SHARDS)
 
 
-@query("SELECT task % 4 AS shard, count(*) FILTER (event = 'process_crash') AS process_crash, count(*) FILTER (event = 'python_failure') AS python_failure, count(*) FILTER (event = 'resolved') AS resolved FROM ledger GROUP BY 1")
+@query("""SELECT * FROM (SELECT task % 4 AS shard, count(*) FILTER (event = 'process_crash') AS process_crash, count(*) FILTER (event = 'python_failure') AS python_failure, count(*) FILTER (event = 'resolved') AS resolved FROM ledger GROUP BY 1)
+    FULL JOIN (SELECT shard, count(*) FILTER (outcome = 'complete') AS succeeded, count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'locked') AS locked, count(*) FILTER (outcome = 'failed') AS failed,
+    count(*) FILTER (NOT complete AND coalesce(outcome NOT IN ('complete', 'skipped'), true)) AS still_pending FROM run GROUP BY 1) USING (shard)""")
 def run_summary(s, d):
-    return ledger.run_summary(b.ledger(s, d), SHARDS)
+    run = tasks.run_summary(b.outcomes(tasks.stable_shards(_status(s, d), SHARDS)))
+    return ledger.failure_counts(b.ledger(s, d), SHARDS).join(run, "shard", "full")
 
 
 @query("SELECT doc_id, 1 + CAST(doc_id % 2 AS BIGINT) AS parts, input_size_bytes // 2 * (1 + doc_id % 2) AS part_bytes FROM tasks WHERE doc_id % 3 = 0")
@@ -322,7 +356,11 @@ def orphan_parts(s, d):
     return tasks.orphan_parts(manifest, b.tasks(s, d))
 
 
-@query("SELECT event AS failure_kind, count(*) AS tasks FROM (SELECT task, max_by(event, (ts, event_id)) AS event, max_by(status, (ts, event_id)) AS status FROM states GROUP BY 1) WHERE status = 'quarantined' GROUP BY 1")
+_QUARANTINED = "(SELECT task, max_by(event, (ts, event_id)) AS event, max_by(status, (ts, event_id)) AS status FROM states GROUP BY 1)"
+
+
+@query(f"""SELECT event AS failure_kind, count(*) AS tasks, NULL AS task FROM {_QUARANTINED} WHERE status = 'quarantined' GROUP BY 1
+    UNION ALL SELECT * FROM (SELECT event, NULL, task FROM {_QUARANTINED} WHERE status = 'quarantined' ORDER BY task LIMIT 50)""")
 def quarantine_summary(s, d):
     events = b.ledger(s, d)
     return ledger.quarantine_summary(ledger.crash_quarantine(events, MOST), events)
@@ -333,7 +371,7 @@ def quarantine_summary(s, d):
 
 @query("SELECT episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index FROM trimmed")
 def global_reindex(s, d):
-    return trim.global_reindex(trim.tail_trim(b.frames(s, d), _specs(s, d)))
+    return trim.trim_and_reindex(b.frames(s, d), _specs(s, d))
 
 
 @query("SELECT episode_index, count(*) AS frames, count(*) FILTER (frame_index <> place) AS misplaced FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1 AS place FROM frames) GROUP BY 1")
@@ -377,7 +415,7 @@ def sliding_windows(s, d):
     return sequences.sliding_windows(b.frames(s, d), 3, 2)
 
 
-@query(f"""SELECT episode_index, frame_index, round(list_reduce(list(v ORDER BY win), lambda a, c: a + c) * 0 + coalesce(v1 * wt + v2 * (1 - wt), v1), 6) AS blended FROM (
+@query(f"""SELECT episode_index, frame_index, round(coalesce(v1 * wt + v2 * (1 - wt), v1), 6) AS blended FROM (
     SELECT episode_index, frame_index, win, v, min_by(v, win) OVER p AS v1, CASE WHEN count(*) OVER p > 1 THEN max_by(v, win) OVER p END AS v2, max_by(wt0, win) OVER p AS wt FROM (
     SELECT episode_index, frame_index, win, observation_state[1]::DOUBLE + win AS v, CASE WHEN frame_index - win * 10 < 4 THEN 1 - (frame_index - win * 10 + 1) / 5.0::DOUBLE ELSE 0 END AS wt0 FROM ({_windows('vecframes', 14, 10)}))
     WINDOW p AS (PARTITION BY episode_index, frame_index)) GROUP BY episode_index, frame_index, v1, v2, wt""")
@@ -390,9 +428,10 @@ def latest_task_state(s, d):
     return ledger.latest_task_state(b.ledger(s, d))
 
 
-@query("SELECT task, event_id, CAST(attempt AS INT) AS attempt, CAST(CASE WHEN attempt < 3 THEN 5 * attempt END AS INT) AS wait_seconds, attempt = 3 AS exhausted FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY ts, event_id) AS attempt FROM ledger WHERE event = 'process_crash') WHERE attempt <= 3")
+@query("SELECT task, event_id, CAST(attempt AS INT) AS attempt, CAST(CASE WHEN attempt < 3 THEN 5 * attempt END AS INT) AS wait_seconds, CAST(CASE WHEN attempt < 3 THEN 10 END AS INT) AS worker_wait_seconds, attempt = 3 AS exhausted FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY ts, event_id) AS attempt FROM ledger WHERE event = 'process_crash') WHERE attempt <= 3")
 def retry_schedule(s, d):
-    return ledger.retry_schedule(b.ledger(s, d), MOST, 5)
+    constant = ledger.retry_schedule(b.ledger(s, d), MOST, 10, linear=False).select("event_id", F.col("wait_seconds").alias("worker_wait_seconds"))
+    return ledger.retry_schedule(b.ledger(s, d), MOST, 5).join(constant, "event_id")
 
 
 @query("SELECT task, event_id, event, attempts, status FROM states")
@@ -427,9 +466,10 @@ def union_metadata_roots(s, d):
     return p.filter("episode_index % 2 = 0").unionByName(p.filter("episode_index % 2 = 1"))
 
 
-@query("SELECT subset, chunk FROM wanted EXCEPT SELECT subset, chunk FROM tasks")
+@query("""SELECT subset, NULL AS root, chunk FROM (SELECT subset, chunk FROM wanted_chunks EXCEPT SELECT subset, chunk FROM root_chunks)
+    UNION ALL SELECT subset, root, chunk FROM (SELECT w.subset, root, w.chunk FROM wanted_chunks w JOIN (SELECT DISTINCT subset, root FROM root_chunks) r ON r.subset = w.subset EXCEPT SELECT subset, root, chunk FROM root_chunks)""")
 def chunk_except(s, d):
-    return selectors.chunk_except(b.requests(s, d), b.tasks(s, d))
+    return selectors.chunk_except(b.plans(s, d), _layout(s, d))
 
 
 # streams
@@ -453,25 +493,30 @@ def stream_lease_expiry(s, d):
     return out.withColumn("last_beat", F.col("last_beat").cast("timestamp_ntz"))
 
 
-@query("SELECT task, count(DISTINCT beat_id) AS outputs FROM heartbeats GROUP BY 1")
+@query("""SELECT task, CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start, count(DISTINCT beat_id) AS outputs FROM heartbeats GROUP BY 1, 2
+    HAVING date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM heartbeats)""")
 def stream_new_outputs(s, d):
     beats = b.heartbeats(s, d)
     arrivals = beats.unionByName(beats.filter("beat_id % 5 = 0"))
-    return jobs.drained(jobs.new_outputs_stream(_stream(s, arrivals)), new_folder(s), new_folder(s)).groupBy("task").agg(F.count("*").alias("outputs"))
+    out = jobs.drained(jobs.output_counts_stream(_stream(s, arrivals)), new_folder(s), new_folder(s))
+    return out.withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
 
 
 # user functions
 
 
 @query("""SELECT episode_index, CASE WHEN episode_index % 7 = 3 THEN 'failed' ELSE 'complete' END AS status, CASE WHEN episode_index % 7 = 3 THEN 3 ELSE 1 END AS attempt,
-    CASE WHEN episode_index % 7 <> 3 THEN count(*) END AS count, CASE WHEN episode_index % 7 <> 3 THEN avg(length(text)) END AS value, CASE WHEN episode_index % 7 = 3 THEN 'ValueError: bad episode' END AS error FROM frames GROUP BY 1""")
+    CASE WHEN episode_index % 7 <> 3 THEN count(*) END AS count, CASE WHEN episode_index % 7 <> 3 THEN avg(length(text)) END AS value, CASE WHEN episode_index % 7 = 3 THEN 'ValueError' END AS error_type,
+    CASE WHEN episode_index % 7 = 3 THEN 'bad episode' END AS error, episode_index % 7 = 3 AS traced, true AS timed FROM frames GROUP BY 1""")
 def map_episodes_resilient(s, d):
-    def measure(pdf):
+    def measure(length, pdf):
         if pdf["episode_index"].iloc[0] % 7 == 3:
             raise ValueError("bad episode")
-        return len(pdf), pdf["text"].str.len().mean()
+        return len(pdf), length(pdf["text"]).mean()
 
-    return publish.map_episodes_resilient(b.frames(s, d), "episode_index", measure, MOST)
+    out = publish.map_episodes_resilient(b.frames(s, d), "episode_index", measure, MOST, setup=lambda: lambda texts: texts.str.len())
+    traced = F.coalesce(F.col("traceback").contains("ValueError: bad episode"), F.lit(False)).alias("traced")
+    return out.select("episode_index", "status", "attempt", "count", "value", "error_type", "error", traced, (F.col("wall_seconds") >= 0).alias("timed"))
 
 
 @query("SELECT vec_id, round(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 6) AS norm FROM embeddings")

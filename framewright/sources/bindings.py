@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewright.functions import exprs
+
 CAMERAS = (("observation.images.depth_01", 3), ("observation.images.depth_02", 2))
 
 
@@ -56,24 +58,88 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selection requests; some name chunks that descend, some none."""
     k = F.col("s_suppkey")
     low = (k % 6).cast("string")
+    chunks = F.concat((k % 4).cast("string"), F.lit(","), low, F.lit("-"), (k % 6 + 2).cast("string"))
     return _table(spark, sf_dir, "supplier").select(
         k.alias("request_id"), F.concat(F.lit("src"), (k % 25).cast("string")).alias("subset"),
-        F.concat((k % 4).cast("string"), F.lit(","), low, F.lit("-"), (k % 6 + 2).cast("string")).alias("chunks"),
+        F.when(k % 17 == 3, "7-5").when(k % 19 == 4, "").otherwise(chunks).alias("chunks"),
         F.when(k % 3 == 0, "01").when(k % 3 == 1, "rgb_02").otherwise("observation.images.rgb_03").alias("camera"),
     )
 
 
+def _grouped(subset: Column) -> Column:
+    """Every other subset lies in a directory of its own."""
+    return F.when(F.substring_index(subset, "src", -1).cast("int") % 2 == 1, F.concat(F.lit("group/"), subset)).otherwise(subset)
+
+
+def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Download requests: a subset, and lists of modalities and chunks, where given; some are invalid."""
+    k = F.col("s_suppkey")
+    low = (k % 6).cast("string")
+    modalities = (
+        F.when(k % 11 == 7, "a b").when(k % 7 == 1, "metadata,parquet").when(k % 7 == 2, "rgb_01, metadata,rgb_01").when(k % 7 == 3, "images/observation.images.depth_01")
+        .when(k % 7 == 4, "all").when(k % 7 == 5, "videos").when(k % 7 == 6, "all,data")
+    )
+    chunks = F.concat((k % 4).cast("string"), F.lit(","), low, F.lit("-"), (k % 6 + 2).cast("string"))
+    return _table(spark, sf_dir, "supplier").select(
+        k.alias("request_id"), _grouped(F.concat(F.lit("src"), (k % 25).cast("string"))).alias("subset"), modalities.alias("modalities"),
+        F.when(k % 13 == 5, "9-2").when(k % 3 != 0, chunks).alias("chunks"))
+
+
+def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, subset, path, bytes): the files of a collection, with videos everywhere and depth images, tables and metadata here and there."""
+    d = F.col("doc_id")
+    paths = F.array(
+        F.concat_ws("/", "subset", F.lit("videos"), "chunk", "input_camera", F.concat("episode", F.lit(".mp4"))),
+        F.when(d % 3 == 0, F.concat_ws("/", "subset", F.lit("images"), "chunk", F.lit("observation.images.depth_01"), "episode", F.lit("frame_000000.png"))),
+        F.when(d % 2 == 0, F.concat_ws("/", "subset", F.lit("data"), "chunk", F.concat("episode", F.lit(".parquet")))),
+        F.when(d % 4 == 1, F.concat_ws("/", "subset", F.lit("meta"), F.lit("stats"), F.concat("episode", F.lit(".json")))),
+    )
+    rows = tasks(spark, sf_dir).withColumn("subset", _grouped(F.col("subset")))
+    return rows.select("doc_id", "subset", F.explode(paths).alias("path"), F.col("input_size_bytes").alias("bytes")).filter("path is not null")
+
+
+#: What a complete sidecar must say.
+CONFIG = {
+    "method": "normals", "commit": "c0ffee",
+    "settings": {
+        "target_fps": 12, "process_length": -1, "max_res": 1024, "window_size": 14, "time_step_size": 10, "decode_chunk_size": 7, "seed": 42, "cpu_offload": "none", "crf": 18,
+        "pixel_format": "yuv420p", "output_width": 64, "output_height": 36,
+    },
+}
+
+
 def sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, payload, quarantined): completion sidecars as JSON text; some are absent, failed, stale, legacy, malformed or cut off."""
     labels, docs = _table(spark, sf_dir, "labels"), _table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    d, n = F.col("doc_id"), F.col("n_chars")
+    settings = {k: F.when(d % 36 == 18, 15).otherwise(v) if k == "window_size" else F.lit(v) for k, v in CONFIG["settings"].items() if not k.startswith("output_")}
+    width = F.when(d % 28 == 13, "abc").when(d % 16 == 9, "0").when(d % 24 == 6, "128").otherwise("64")
+    payload = F.to_json(F.struct(
+        F.when(F.col("quality") == 1, "complete").otherwise("failed").alias("status"),
+        F.when(d % 18 == 12, "other").otherwise(CONFIG["method"]).alias("method"), F.when(d % 30 == 24, "old").otherwise(CONFIG["commit"]).alias("commit"),
+        F.when(d % 3 == 1, exprs.config_fingerprint(CONFIG)).when(d % 3 == 2, "stale").alias("config_fingerprint"),
+        F.struct(F.when(d % 14 != 7, n + F.when(d % 10 == 0, 1).otherwise(0)).alias("input_size_bytes")).alias("task"),
+        F.struct(width.alias("width"), F.lit(36).alias("height"), F.when(d % 22 == 1, 0).otherwise(10).alias("frames"), F.when(d % 12 != 0, 2 * n + F.when(d % 26 == 1, 1).otherwise(0)).alias("size_bytes")).alias("output_video"),
+        F.struct(*[c.alias(k) for k, c in settings.items()]).alias("settings"),
+    ))
+    cut = F.when(d % 46 == 31, F.substring(payload, 1, 60)).otherwise(payload)
+    return labels.join(docs, "doc_id").select("doc_id", cut.alias("payload"), (F.col("toxic") == 1).alias("quarantined"))
+
+
+def outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, output_bytes, is_mp4): the output files that are there."""
     d = F.col("doc_id")
-    return labels.join(docs, "doc_id").select(
-        "doc_id", F.when(F.col("quality") == 1, "complete").otherwise("failed").alias("status"),
-        (F.col("n_chars") + F.when(d % 10 == 0, 1).otherwise(0)).alias("recorded_input_size"),
-        F.when(d % 3 == 1, "expected").when(d % 3 == 2, "stale").alias("config_fingerprint"),
-        (d % 6 == 0).alias("legacy_match"), (F.col("toxic") == 1).alias("quarantined"),
-    )
+    return _table(spark, sf_dir, "documents").filter(d % 20 != 19).select("doc_id", (2 * F.col("n_chars")).alias("output_bytes"), (d % 34 != 1).alias("is_mp4"))
+
+
+def outcomes(status: DataFrame) -> DataFrame:
+    """`status` with the outcome of a run over the tasks that were pending."""
+    d = F.col("doc_id")
+    outcome = F.when(d % 11 == 5, "locked").when(d % 7 == 2, "failed").when(d % 13 == 4, "skipped").otherwise("complete")
+    return status.withColumn("outcome", F.when(~F.col("complete") & ~F.col("quarantined"), outcome))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +153,8 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def media(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").select(k.alias("media_id"), (F.col("p_size") * 64).alias("width"), (F.col("p_size") * 36).alias("height"), frame_rate(k).alias("avg_frame_rate"))
+    return _table(spark, sf_dir, "part").select(
+        k.alias("media_id"), F.col("p_brand").alias("subset"), (F.col("p_size") * 64).alias("width"), (F.col("p_size") * 36).alias("height"), frame_rate(k).alias("avg_frame_rate"))
 
 
 def frame_rate(k) -> "F.Column":

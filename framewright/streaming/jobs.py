@@ -11,7 +11,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def quarantine_stream(events: DataFrame, most: int) -> DataFrame:
-    """The crash fold on a live event log: state is (attempts, whether the last event resolved the task)."""
+    """The crash fold on a live event log: state is (attempts, whether the last event resolved the task).
+
+    Contract: a task's events arrive in their order, or in the same micro-batch, where they are put in order (a log that one
+    supervisor per task appends to does). An event that comes in a later batch than its successors is folded when it arrives.
+    """
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         attempts, resolved = state.get if state.exists else (0, False)
@@ -43,6 +47,12 @@ def new_outputs_stream(arrivals: DataFrame, delay: str = "1 hour") -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["beat_id"]).select("task", "beat_id", "ts")
 
 
+def output_counts_stream(arrivals: DataFrame, delay: str = "1 hour", period: str = "1 day") -> DataFrame:
+    """Outputs of every task and period, repeated arrivals counted once; given out once the watermark has passed the period."""
+    first = new_outputs_stream(arrivals, delay)
+    return first.groupBy(F.window("ts", period).alias("period"), "task").agg(F.count("*").alias("outputs")).select("task", F.col("period.start").alias("period_start"), "outputs")
+
+
 def drained(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Runs what is available through a stream into a Parquet sink and reads it."""
     query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
