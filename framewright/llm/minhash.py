@@ -6,8 +6,11 @@ bins are buckets. Documents with equal shingle sets are one class from the start
 
 Candidates are stars: first each bucket's members with its smallest member; then, once
 the links found so far have made components, each member outside its bucket's largest
-component with the members it isn't connected to. So no link between components is missed, and a
-group of copies costs edges in proportion to its size. A pair becomes a candidate only if its set sizes and
+component with the members it isn't connected to, in buckets where at most `FEW` members are outside: so many pairs a member at most.
+In other buckets (a template gives many documents a similarity below the threshold) members meet only where they share one of their
+rarest shingles: two sets that are similar enough share one of the first few in any order, and in the order of frequency among these members those are not the template's.
+So no link between components is missed, and a group of copies or of a template's documents costs edges in proportion to its size.
+A pair becomes a candidate only if its set sizes and
 parity bitmaps allow the similarity: a bitmap holds the parity of the number of shingles in each of 512
 bins, and two bitmaps differ in no more bits than the sets differ in shingles, so this drops no link.
 Every link is confirmed on the full shingle sets.
@@ -26,13 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm import common, graph
 
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
 PARITY_WORDS = 8  # of 64 bins
+FEW = 16  # members outside a bucket's largest component that still meet all others
 BATCH_BYTES = 4_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -199,12 +203,43 @@ def star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         known = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     known = common.checkpoint(known)
     inside = known.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
-    largest = inside.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"))
+    largest = inside.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"), (F.sum("size") - F.max("size")).alias("outside"))
     open_ = common.checkpoint(known.join(largest.filter("comps > 1"), "bucket"))
-    x, y = open_.filter("comp <> largest").alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent))
-    second = confirm_links(_pairs("x", "y", rest), sets, percent).filter("linked").select("a", "b")
-    return first.union(second)
+    second = confirm_links(few_pairs(open_, percent), sets, percent).filter("linked").select("a", "b")
+    third = confirm_links(rare_pairs(open_, sets, percent), sets, percent).filter("linked").select("a", "b")
+    return first.union(second).union(third)
+
+
+def few_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """In buckets with few members outside the largest component: those with all members of other components."""
+    few = open_.filter(F.col("outside") <= FEW)
+    x, y = few.filter("comp <> largest").alias("x"), few.alias("y")
+    return _pairs("x", "y", x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent)))
+
+
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, raw in zip(batch.column(0), batch.column(1)):
+            own = np.frombuffer(raw.as_buffer(), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node.as_py())), pa.array(own)], ["node", "token"])
+
+
+def rare_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """In the other buckets: members that share one of their rarest shingles.
+
+    Of sets of n >= m shingles and the similarity t, one of the first n - t n + 1 of the larger is one of the first
+    m - 2 t m / (1 + t) + 1 of the smaller, in any order of all shingles.
+    """
+    members = common.checkpoint(open_.filter(F.col("outside") > FEW).select("node", "n", "comp", *PARITY).distinct())
+    tokens = sets.join(members.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_explode, "node long, token long")
+    often = common.checkpoint(tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "token")) - 1
+    ranked = tokens.join(often, "token", "left").withColumn("place", place).filter("often is not null")
+    n, place = F.col("n"), F.col("place")
+    first = common.checkpoint(ranked.join(members, "node").filter(place < n - F.ceil(percent * n / 100) + 1))
+    x, y = first.alias("x"), first.filter(place < n - F.ceil(2 * percent * n / (100 + percent)) + 1).alias("y")
+    larger = F.struct("x.n", "x.node") > F.struct("y.n", "y.node")
+    return _pairs("x", "y", x.join(y, (F.col("x.token") == F.col("y.token")) & larger & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -229,6 +264,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         of_class = of_class.withColumn("component", F.col("node"))
     else:
         of_class = of_class.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    out = signed.select("doc_id", "n_shingles", "class").join(of_class.select("class", "component"), "class", "left")
+    # written first, so that a class with a third of all rows may be split in the join
+    of_class = common.checkpoint(of_class.select("class", "component"))
+    out = signed.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull()))

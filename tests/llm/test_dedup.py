@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from framewright.llm import embed, graph, minhash, suffix
@@ -221,3 +222,29 @@ def test_share_of_vectors_compared():
         share = found.compared / (len(x) ** 2 / 2)
         print(f"compared: {share:.3f} of the pairs")
         assert set(zip(*(np.concatenate(p).tolist() for p in zip(*found.pairs)))) == set(zip(*(i.tolist() for i in np.nonzero(near)))) and share < most
+
+
+@pytest.mark.parametrize("apart, linked", [(3, 0), (2, 1)])
+def test_template_family_costs_few_pairs(spark, docs, monkeypatch, apart, linked):
+    """Documents of one template at a similarity below the threshold: buckets are shared, links are few, pairs are linear in number."""
+    rng, rows = random.Random(11), []
+    base = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+    for k in range(1200):
+        words = list(base)
+        for at in range(7, 7 + 15 * apart, 15):
+            words[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(words)))
+    for k in range(0, 1200, 100):  # a near copy of some
+        rows.append((5000 + k, rows[k][1].rsplit(" ", linked)[0]))
+    seen, plain = [], minhash.confirm_links
+
+    def counted(pairs, sets, percent):
+        seen.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "confirm_links", counted)
+    monkeypatch.setattr(minhash, "may_link", lambda x, y, percent: F.lit(True))  # count what meets, not what sizes and parities leave
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows), percent=90).collect()}
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+    print("pairs", seen)
+    assert sum(seen) < minhash.BANDS * len(rows) and sum(seen[1:]) < len(rows)  # all pairs: 720,000
