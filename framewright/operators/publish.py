@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.sources.scratch import new_folder
+from framewright.sources.scratch import new_folder, ship
 
 
 def publish_conflicts(staged: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,6 +45,8 @@ def map_episodes_resilient(
     columns = [c.split()[0] for c in RESULT.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        from framewright.operators.publish import _STATES  # the worker's own, not a copy for each task
+
         started, failure = time.monotonic(), None
         episode = int(pdf[key].iloc[0])
         for attempt in range(1, attempts + 1):
@@ -60,6 +62,7 @@ def map_episodes_resilient(
                     raise
         return pd.DataFrame([(episode, "failed", attempts, None, None, *failure, time.monotonic() - started)], columns=columns)
 
+    ship(frames.sparkSession)
     return frames.groupBy(key).applyInPandas(run, RESULT)
 
 

@@ -64,7 +64,7 @@ def _first_of_equals(rows: DataFrame) -> DataFrame:
     """(request_id, subset, position, pattern) in the order of `at`; repeated patterns count once."""
     once = rows.groupBy("request_id", "subset", "pattern").agg(F.min("at").alias("at"))
     order = Window.partitionBy("request_id", "subset").orderBy("at")
-    return once.select("request_id", "subset", (F.row_number().over(order) - 1).alias("position"), "pattern")
+    return once.select("request_id", "subset", (F.row_number().over(order) - 1).cast("long").alias("position"), "pattern")
 
 
 def pattern_plan(layout: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.sources.scratch import filesystem, new_folder
+from framewright.sources.scratch import filesystem, new_folder, ship
 
 EPISODE = "episode_index long, length long"
 PADDING = "source struct<episode_index: long, frame_count: long, tail_missing_count: long, missing_frame_indices: array<long>>"
@@ -51,6 +51,7 @@ def write_media(rows: DataFrame, root: str) -> int:
                 system.move(part, f"{folder}/{name}")
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
 
+    ship(rows.sparkSession)
     return rows.select("path", F.col("content").cast("binary")).mapInArrow(write, "path string").count()
 
 
@@ -147,6 +148,7 @@ def pack_export(members: DataFrame, shard: list[str], folder: str, overwrite: bo
             system.move(part, path)
         return pd.DataFrame([[*(pdf[c].iloc[0] for c in shard), status, archive, len(pdf), size]], columns=[*shard, "status", "archive", "members", "payload_bytes"])
 
+    ship(members.sparkSession)
     types = dict(members.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in shard) + ", status string, archive string, members long, payload_bytes long"
     return members.select(*shard, "archive", "member", "payload").groupBy(*shard).applyInPandas(run, schema)
