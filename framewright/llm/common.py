@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SHIPPED: set[str] = set()
-_TABLES: ContextVar[set[str] | None] = ContextVar("tables", default=None)
-
+from framewright.sources.scratch import filesystem, ship
+from framewright.sources.scratch import new_folder as shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder URI under the folder that driver and executors share.
+__all__ = ["checkpoint", "filesystem", "keep", "shared_dir", "ship", "shuffle_partitions", "table", "temporary_tables", "utf8_bytes"]
 
-    `spark.checkpoint.dir` names it; only where that is unset and all is on one machine (tests)
-    a temporary folder is made and remembered in the session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("framewright.scratch", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="framewright-")
-        spark.conf.set("framewright.scratch", base)
-    if "://" not in base and not base.startswith("file:"):
-        base = "file://" + os.path.abspath(base)
-    return f"{base.rstrip('/')}/framewright-{uuid.uuid4().hex}"
+_TABLES: ContextVar[set[str] | None] = ContextVar("tables", default=None)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -68,36 +50,10 @@ def keep(df: DataFrame) -> DataFrame:
     return df
 
 
-def ship(spark: SparkSession) -> None:
-    """Give Python workers this package where their path doesn't have it (once per application)."""
-    root = Path(__file__).resolve().parents[2]
-    if str(root) in os.environ.get("PYTHONPATH", "").split(":"):
-        return
-    if spark.sparkContext.applicationId in _SHIPPED:
-        return
-    target = Path(os.path.realpath(tempfile.mkdtemp(prefix="framewright-code-"))) / "framewright.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted((root / "framewright").rglob("*.py")):
-            z.write(p, p.relative_to(root))
-    spark.sparkContext.addPyFile(str(target))
-    _SHIPPED.add(spark.sparkContext.applicationId)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def filesystem(uri: str):
-    """(pyarrow filesystem, path) of a URI; usable in the driver and in tasks."""
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
