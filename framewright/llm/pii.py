@@ -75,7 +75,9 @@ KINDS = {
     "person": _titled("person"),
 }
 NAMES = tuple(_TITLES)
-PATTERN = "|".join(f"(?:{p})" for p in KINDS.values()).replace(r"([ -]?)", r"(?<gap>[ -]?)").replace(r"\1", r"\k<gap>")
+#: No entity begins inside a word, but for numbers: most places are passed over without a look at the kinds.
+_BEGIN = r"(?:(?<![\p{L}\p{N}])|(?=[0-9+(]))"
+PATTERN = _BEGIN + "(?:" + "|".join(f"(?:{p})" for p in KINDS.values()).replace(r"([ -]?)", r"(?<gap>[ -]?)").replace(r"\1", r"\k<gap>") + ")"
 #: Letters that a letter of the same kind is replaced by, and digits.
 ALPHABETS = {
     "[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшэюя",
