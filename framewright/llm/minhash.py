@@ -37,7 +37,7 @@ from framewright.llm import common, graph
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
 PARITY_WORDS = 8  # of 64 bins
 FEW = 16  # members outside a bucket's largest component that still meet all others
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
