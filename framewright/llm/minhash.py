@@ -6,7 +6,7 @@ bins are buckets. Documents with equal shingle sets are one class from the start
 
 Candidates are stars: first each bucket's members with its smallest member; then, once
 the links found so far have made components, each member outside its bucket's largest
-component with the members it isn't connected to, in buckets where at most `FEW` members are outside: so many pairs a member at most.
+component with the members it isn't connected to, in buckets where at most `FEW` members are outside: no member has more pairs.
 In other buckets (a template gives many documents a similarity below the threshold) members meet only where they share one of their
 rarest shingles: two sets that are similar enough share one of the first few in any order, and in the order of frequency among these members those are not the template's.
 So no link between components is missed, and a group of copies or of a template's documents costs edges in proportion to its size.
@@ -36,7 +36,7 @@ from framewright.llm import common, graph
 
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
 PARITY_WORDS = 8  # of 64 bins
-FEW = 16  # members outside a bucket's largest component that still meet all others
+FEW = 1000  # members outside a bucket's largest component that still meet all others
 BATCH_BYTES = 2_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -242,6 +242,7 @@ def test_template_family_costs_few_pairs(spark, docs, monkeypatch, apart, linked
         seen.append(pairs.count())
         return plain(pairs, sets, percent)
 
+    monkeypatch.setattr(minhash, "FEW", 16)
     monkeypatch.setattr(minhash, "confirm_links", counted)
     monkeypatch.setattr(minhash, "may_link", lambda x, y, percent: F.lit(True))  # count what meets, not what sizes and parities leave
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows), percent=90).collect()}
