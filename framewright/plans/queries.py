@@ -115,10 +115,12 @@ def write_frames(s, d):
     root, specs = new_folder(s), _specs(s, d)
     chunk = F.format_string("%03d", F.col("episode_index") % 6)
     files.write_frames(b.frames(s, d).withColumn("chunk", chunk), root, "gzip")
-    before = files.scan_frames(s, root).select("chunk", F.col("_metadata.file_path").alias("file")).distinct().collect()  # a row per file
+    names, file = new_folder(s), F.col("_metadata.file_path").alias("file")
+    files.scan_frames(s, root).select(file).distinct().write.parquet(names)
     files.rewrite_frames(trim.tail_trim(files.scan_frames(s, root), specs), specs.select(chunk.alias("chunk")), root)
-    now = files.scan_frames(s, root)
-    return now.select("episode_index", "frame_index", "role", "text", "chunk", (~F.col("_metadata.file_path").isin([r["file"] for r in before])).alias("rewritten"), F.lit(files.codec_of(s, root)).alias("codec"))
+    now = files.scan_frames(s, root).select("episode_index", "frame_index", "role", "text", "chunk", file)
+    before = s.read.parquet(names).withColumn("before", F.lit(True))
+    return now.join(before, "file", "left").select("episode_index", "frame_index", "role", "text", "chunk", F.col("before").isNull().alias("rewritten"), F.lit(files.codec_of(s, root)).alias("codec"))
 
 
 @query("SELECT episode_index, length, CASE WHEN episode_index % 2 = 0 THEN 'even' END AS note FROM episodes")
