@@ -164,19 +164,25 @@ def train_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[li
     return [(r["quality"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4")) for r in rows], counts
 
 
+def _dense(rows: list) -> np.ndarray:
+    x = np.zeros((len(rows), 2 << BITS), dtype=np.float32)
+    for i, (_, index, value) in enumerate(rows):
+        x[i, index] = value
+    return x
+
+
 def fit(rows: list, counts: dict[int, int], steps: int = 300, ridge: float = 1e-3) -> QualityModel | None:
     """Accelerated gradient descent on every row but each fourth, Platt scaling on those."""
     y = np.array([r[0] for r in rows], dtype=np.float32)
     held = np.arange(len(rows)) % 4 == 3
     if len({*y[held]}) < 2 or len({*y[~held]}) < 2:
         return None
-    x = np.zeros((len(rows), 2 << BITS), dtype=np.float32)
-    for i, (_, index, value) in enumerate(rows):
-        x[i, index] = value
-    size = 1 / np.sqrt(x[~held].mean(0) + 1e-4)  # frequent n-grams don't drown the rest
-    x *= size
-    a, target = x[~held], y[~held]
-    lipschitz = 0.25 * float((a**2).sum(1).max()) + ridge
+    a, of_held = (_dense([r for r, out in zip(rows, where) if out]) for where in (~held, held))  # the driver's largest arrays: no copies are made
+    target = y[~held]
+    size = 1 / np.sqrt(a.mean(0) + 1e-4)  # frequent n-grams don't drown the rest
+    a *= size
+    of_held *= size
+    lipschitz = 0.25 * float(np.einsum("ij,ij->i", a, a).max()) + ridge
     w = v = np.zeros(a.shape[1], dtype=np.float32)
     b = c = 0.0
     for k in range(steps):
@@ -186,7 +192,7 @@ def fit(rows: list, counts: dict[int, int], steps: int = 300, ridge: float = 1e-
         b_next = c - float(g.sum()) / max(lipschitz, 0.25)
         m = k / (k + 3)
         v, c, w, b = w_next + m * (w_next - w), b_next + m * (b_next - b), w_next, b_next
-    s, t = x[held] @ w + b, y[held]
+    s, t = of_held @ w + b, y[held]
     # Platt: targets are smoothed, Newton steps on (scale, shift)
     up, down = float(t.sum()), float(len(t) - t.sum())
     smooth = np.where(t == 1, (up + 1) / (up + 2), 1 / (down + 2))
