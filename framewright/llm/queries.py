@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, common, embed, minhash, packing, pii, quality, records, suffix, urlfilter, warc
+from framewright.llm import bpe, common, embed, minhash, negatives, packing, pii, quality, records, secretscan, spelling, suffix, urlfilter, warc
 
 #: Rules of host/path and their verdicts.
 URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
@@ -65,14 +65,71 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(common.table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(common.table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan_secrets(common.table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op7_embeddings, op8_pii, op9_suffix, op10_bpe)
+    f.__name__: f for f in (
+        op1_quality_rules, op2_packing, op3_records, op4_minhash, op5_warc, op6_url_filter, op7_embeddings, op8_pii, op9_suffix, op10_bpe,
+        op11_spelling, op12_secrets, op13_negatives,
+    )
 }
 
 _HOSTS = ", ".join(f"'{h}'" for h in BLOCKED_HOSTS)
 _RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES.items())
 
+#: CRC-32 of the bytes of a string, most of it a table that follows from its polynomial.
+_CRC_TABLE = """(SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) FROM range(256) t(b))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_spelling": f"""
+        WITH RECURSIVE crc_table AS (SELECT {_CRC_TABLE} AS t),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+            GROUP BY ALL HAVING length(any_value(run)) >= 6),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(
+                list_transform(range(0, length(b) // 2), lambda i: (instr('0123456789ABCDEF', substr(b, 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(b, 2 * i + 2, 1)) - 1),
+                lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS h
+            FROM (SELECT *, hex(encode(doc_id || ':' || run)) AS b FROM runs), crc_table),
+        words AS (
+            SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+        v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+        cut AS (SELECT DISTINCT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.rest
+            UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.rest),
+        best AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS x FROM near GROUP BY 1),
+        state AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -x[1] >= 5 * v.n THEN x[2] END AS form, CASE WHEN -x[1] >= 5 * v.n THEN -x[1] END AS form_n
+            FROM v LEFT JOIN best ON best.word = v.word),
+        chain(word, root, step) AS (
+            SELECT word, word, 0 FROM state UNION ALL SELECT c.word, s.form, step + 1 FROM chain c JOIN state s ON s.word = c.root WHERE s.form IS NOT NULL)
+        SELECT s.word, form, r.root, s.n, s.n_near, s.form_n FROM state s JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY 1) r ON r.word = s.word""",
+    "op13_negatives": """
+        WITH v AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+        p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY rank <= 5""",
     "op7_embeddings": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
