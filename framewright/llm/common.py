@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +41,8 @@ def temporary_tables() -> Iterator[None]:
         _TABLES.reset(token)
         for path in tables:
             fs, name = filesystem(path)
-            fs.delete_dir(name)
+            with suppress(FileNotFoundError):  # a write that failed left none; its error goes on
+                fs.delete_dir(name)
 
 
 def keep(df: DataFrame) -> DataFrame:

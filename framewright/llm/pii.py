@@ -14,7 +14,10 @@ not belong to two entities and must not be an entity of the corpus itself. Entit
 that fail get the next attempt of the hash, until none fails; only their attempts
 are joined back to the documents that hold them. So that this always ends, surrogates of
 names, emails and numbers grow with the attempt (which few entities reach). IPv4 addresses
-can't grow: there are 254^4 surrogates, enough while the texts hold less than about half of all addresses.
+can't grow: there are 254^4 surrogates, enough while the texts hold less than about half of all addresses; beyond, an error ends the job.
+A local number keeps its leading 0, a card the digit of its network.
+
+Bounds: a domain has 127 labels at most, a name eight initials before a word; what goes on behind them stays.
 
 Defined cases: a null text stays null and has no entities; texts without entities
 are returned unchanged; repeated rows are rewritten alike; other columns pass through, but for an n_entities, which is replaced.
@@ -22,7 +25,6 @@ are returned unchanged; repeated rows are rewritten alike; other columns pass th
 
 from __future__ import annotations
 
-import itertools
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -32,14 +34,22 @@ from framewright.llm import common
 
 KEY = "surrogates-1"
 GROW_NAMES, GROW_EMAILS, GROW_NUMBERS = 3, 6, 24  # attempts after which a surrogate gets one more syllable, letter or digit
+MOST_ATTEMPTS = 200
+# A repeated group takes a stack frame of the regular expression's engine for each turn: groups are bounded, single characters needn't be.
+# What a lookahead asks for lies inside the match, so that an entity has its kind without its neighbourhood; what has none all the same is OTHER.
+OTHER = "other"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # without a country: (555) 123-4567, 555.123.4567, 1-555-123-4567; 030 1234567, 0171/123 45 67, 06 12 34 56 78 (nine digits at least)
+_GROUPS = (
+    "[0-9]{2}#[0-9]{6,8}|[0-9]{3,4}#[0-9]{5,8}|[0-9]{2,4}#[0-9]{2,4}(?:[ -][0-9]{2,4}){2,3}"
+    "|[0-9]{2}#(?:[0-9]{2}[ -][0-9]{4}|[0-9]{3}[ -][0-9]{3,4}|[0-9]{4}[ -][0-9]{2,4})|[0-9]{3}#(?:[0-9]{2}[ -][0-9]{3,4}|[0-9]{3,4}[ -][0-9]{2,4})|[0-9]{4}#[0-9]{2,4}[ -][0-9]{2,4}"
+).replace("#", r"(?:\) ?|[ /-])")
 _LOCAL = (
     r"(?<![0-9+(.-])(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
-    r"|(?<![0-9+(.,/-])\(?0(?=[0-9](?:[) /.-]{0,2}[0-9]){7})(?:[0-9]{2,4}(?:\) ?|[ /-])(?:[0-9]{5,8}|[0-9]{2,4}(?:[ -][0-9]{2,4}){1,3})|[1-9](?:[ .-][0-9]{2}){4})(?![0-9]|[.,/-][0-9])"
+    rf"|(?<![0-9+(.,/-])\(?0(?:{_GROUPS}|[1-9](?:[ .-][0-9]{{2}}){{4}})(?![0-9]|[.,/-][0-9])"
 )
 # words of a name: initials and degrees, particles, inner capitals, apostrophes and hyphens (a genitive 's is not part of it)
-_INITIALS = r"(?:(?:\p{Lu}|Dr|DR|Prof|PROF|St|ST)\.[ -]?)*"
+_INITIALS = r"(?:(?:\p{Lu}|Dr|DR|Prof|PROF|St|ST)\.[ -]?){0,8}"
 _PARTICLES = r"(?:(?:van|von|vom|de|del|della|di|da|do|dos|das|du|ter|bin|ibn|al|el)(?: (?:der|den|dem|la|las|los|le))? )?"
 _PART = _INITIALS + _PARTICLES + r"(?:[dl]['’])?\p{Lu}[\p{L}\p{M}]*+(?:['’-](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
 _TITLES = {
@@ -62,11 +72,11 @@ _HEX = "[0-9A-Fa-f]{1,4}"
 KINDS = {
     "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])",
     "key": r"(?<![0-9A-Za-z_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|(?:sk|pk|rk)[-_](?:live_|test_)?[0-9A-Za-z]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35})(?![0-9A-Za-z_-])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+){0,125}\.\p{L}\p{L}+",  # a domain has 127 labels at most
     "ip": rf"(?<![0-9.]){_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(?!\.?[0-9])",
     "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|::{_HEX}(?::{_HEX}){{0,6}})(?![\p{{L}}\p{{N}}:]|\.[0-9])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?=(?:[ A-Z]{0,6}[0-9]){7})(?:(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?|[0-9A-Z]{11,30})(?![0-9A-Za-z])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])|\+(?=(?:[0-9][() .-]{0,2}){9})[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9](?:[() .-]{0,2}[0-9]){8,26}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local": _LOCAL,
@@ -93,7 +103,8 @@ NAME_ENDS = {True: {"person": " о ук ер", "woman": "а ия ина элла
 
 
 def kind_of(entity: Column) -> Column:
-    out = F.lit(None).cast("string")
+    """The first kind whose pattern the whole entity matches."""
+    out = F.lit(OTHER)
     for name, pattern in reversed(KINDS.items()):
         out = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
     return out
@@ -208,6 +219,7 @@ def _surrogate(entity: Column, kind: Column, digest: Column, attempt: Column) ->
     none, rest = F.lit(""), lambda front: F.substring(entity, F.length(front) + 1, F.length(entity))
     front = (
         F.when(kind == "phone", F.regexp_extract(entity, r"^\+[0-9]{1,3}(?=[ .(-])", 0))
+        .when(kind == "local", F.regexp_extract(entity, r"^\(?0", 0)).when(kind == "card", F.substring(entity, 1, 1))
         .when(kind == "key", F.regexp_extract(entity, r"^(?:AKIA|ASIA|gh[pousr]_|(?:sk|pk|rk)[-_](?:live_|test_)?|xox[abprs]-|AIza)", 0)).otherwise(none)
     )
     more = lambda letter, each: F.repeat(F.lit(letter), F.floor(attempt / each).cast("int"))
@@ -244,13 +256,16 @@ def rewritten(entity: Column, attempts: Column, key: str) -> Column:
 
 
 def attempts_needed(docs: DataFrame, key: str) -> DataFrame | None:
-    """(part, attempt) of the entities and words whose first surrogates collide; None if there are none."""
+    """(part, attempt) of the entities and words whose first surrogates collide; None if there are none.
+
+    An error where `MOST_ATTEMPTS` don't part them (more than half of all IPv4 addresses occur).
+    """
     found = docs.select(F.explode(F.array_distinct(entities_of(F.col("text")))).alias("entity")).distinct()
     parts = found.select(F.explode(parts_of(F.col("entity"))).alias("x")).select(
         _part_key(F.col("x")).alias("part"), F.col("x.kind").alias("kind"), canonical(F.col("x.value"), F.col("x.kind")).alias("value")).distinct()
     held = common.checkpoint(parts.withColumn("attempt", F.lit(0)))
     moved = None
-    for attempt in itertools.count(1):
+    for attempt in range(1, MOST_ATTEMPTS + 1):
         drawn = held.withColumn("made", surrogate(F.col("value"), F.col("kind"), F.col("attempt"), key))
         drawn = common.checkpoint(drawn.select("part", "attempt", canonical(F.col("made"), F.col("kind")).alias("made")))
         first = drawn.groupBy("made").agg(F.min_by("part", F.struct("attempt", "part")).alias("owner"), F.count("*").alias("owners"))
@@ -258,13 +273,13 @@ def attempts_needed(docs: DataFrame, key: str) -> DataFrame | None:
         real = drawn.join(held.select(F.col("value").alias("made")), "made", "left_semi").select("part")
         failed = common.checkpoint(twice.union(real).distinct())
         if failed.isEmpty():
-            break
+            return moved
         held = common.checkpoint(
             held.join(failed.withColumn("failed", F.lit(True)), "part", "left")
             .select("part", "kind", "value", F.when(F.col("failed"), F.lit(attempt)).otherwise(F.col("attempt")).alias("attempt"))
         )
         moved = held.filter("attempt > 0").select("part", "attempt")
-    return moved
+    raise ValueError(f"surrogates still collide after {MOST_ATTEMPTS} attempts")
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -126,8 +126,9 @@ class QualityModel:
     def probabilities(self, batch: TextBatch) -> np.ndarray:
         score = np.full(len(batch.bounds) - 1, self.bias)
         for block, buckets, first, last in batch.grams():
-            total = np.concatenate(([0.0], np.cumsum(self.weights[block][buckets])))
-            score += (total[last] - total[first]) / np.maximum(last - first, 1)
+            # each text's own sum: its neighbours in the batch don't matter
+            total = [float(self.weights[block][buckets[a:b]].sum()) for a, b in zip(first.tolist(), last.tolist())]
+            score += np.array(total) / np.maximum(last - first, 1)
         return 1 / (1 + np.exp(-np.clip(self.scale * score + self.shift, -50, 50)))
 
 
