@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +45,7 @@ def grouped_rank(df: DataFrame, groups: list[str], order: str, name: str) -> Dat
     """0-based rank in the order (groups, order): rows of the groups before, plus the rank inside the group.
 
     Groups are as many as a fraction of the rows: they are dealt by ranges, summed inside each range, and only the
-    ranges (one row each) meet in one window. The ranges are written, so that all uses see the same ones.
+    ranges (one row each) meet in one window. The ranges are written, so that all uses see the same ones. Null keys come first.
     """
     spark = df.sparkSession
     sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
@@ -57,4 +60,7 @@ def grouped_rank(df: DataFrame, groups: list[str], order: str, name: str) -> Dat
     starts = dealt.withColumn("_in_range", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(bases, "_range")
     starts = starts.select(*groups, (F.col("_base") + F.col("_in_range")).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(*groups).orderBy(order)) - 1
-    return df.withColumn("_in", inside).join(starts, groups).withColumn(name, F.col("_start") + F.col("_in")).drop("_start", "_in")
+    numbered = df.withColumn("_in", inside)
+    starts = starts.select(*[F.col(g).alias(f"_of_{g}") for g in groups], "_start")
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups])  # a null key is a group
+    return numbered.join(starts, same).withColumn(name, F.col("_start") + F.col("_in")).drop("_start", "_in", *[f"_of_{g}" for g in groups])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,9 +50,25 @@ def failure_counts(events: DataFrame, shards: int) -> DataFrame:
     return out.select("shard", *[F.coalesce(k, F.lit(0)).alias(k) for k in kinds])
 
 
-def expired_leases(beats: DataFrame, ttl_seconds: int) -> DataFrame:
-    """Sessions of heartbeats that are followed by a silence longer than the lease, or are the last of their task."""
+def expired_leases(beats: DataFrame, ttl_seconds: int, now: Column | None = None) -> DataFrame:
+    """(task, beats, last_beat) of leases: runs of heartbeats that are followed by a silence strictly longer than the time to live.
+
+    now: the last run of a task counts where that is its silence; without `now` all do. A time to live of 0 is none: no lease expires.
+    """
     order = Window.partitionBy("task").orderBy("ts", "beat_id")
-    gap = F.col("ts").cast("timestamp").cast("double") - F.lag("ts").over(order).cast("timestamp").cast("double")
-    marked = beats.withColumn("new", F.coalesce((gap >= ttl_seconds).cast("int"), F.lit(1)))
-    return marked.withColumn("session", F.sum("new").over(order)).groupBy("task", "session").agg(F.count("*").alias("beats"), F.max("ts").alias("last_beat")).select("task", "beats", "last_beat")
+    seconds = lambda c: F.unix_micros(c.cast("timestamp"))
+    ttl = ttl_seconds * 1_000_000
+    gap = seconds(F.col("ts")) - seconds(F.lag("ts").over(order))
+    marked = beats.withColumn("new", F.coalesce((gap > ttl).cast("int"), F.lit(1)))
+    leases = marked.withColumn("session", F.sum("new").over(order)).groupBy("task", "session").agg(F.count("*").alias("beats"), F.max("ts").alias("last_beat"))
+    if ttl_seconds == 0:
+        leases = leases.filter(F.lit(False))
+    if now is not None:
+        leases = leases.filter(seconds(now) - seconds(F.col("last_beat")) > ttl)
+    return leases.select("task", "beats", "last_beat")
+
+
+def run_scope(*parameters: Column) -> Column:
+    """Name of the ledger of runs with the same parameters: 16 hexadecimal digits over their texts, joined by NUL."""
+    joined = F.concat_ws("\0", *[F.coalesce(p.cast("string"), F.lit("")) for p in parameters])
+    return F.substring(F.sha2(joined, 256), 1, 16)

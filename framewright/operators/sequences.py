@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions import exprs
+from framewright.sources.scratch import ship
 
 
 def stride_of(rate: Column, target: float) -> Column:
@@ -35,21 +40,61 @@ def sliding_windows(frames: DataFrame, size: int, step: int) -> DataFrame:
     return frames.join(lengths, "episode_index").select("episode_index", "frame_index", F.explode(window_numbers(F.col("frame_index"), F.col("n"), size, step)).alias("window"))
 
 
-def overlap_blend(frames: DataFrame, feature: str, size: int, step: int) -> DataFrame:
-    """Value of the first dimension, blended through the windows that hold a frame, in window order.
+def window_frames(frames: DataFrame, feature: str, size: int, step: int) -> DataFrame:
+    """(episode_index, window, frame_index, vector): what each window sees of a frame's vector."""
+    vector = F.col(feature).cast("array<double>").alias("vector")
+    return frames.select("episode_index", "frame_index", vector).join(sliding_windows(frames, size, step), ["episode_index", "frame_index"])
 
-    A window sees the value plus its own number (so that blending shows); in the overlap the
-    earlier result fades out linearly.
-    """
-    lengths = frames.groupBy("episode_index").agg(F.count("*").alias("n"))
+
+def _blend(size: int, step: int):
     over = size - step
-    seen = frames.join(lengths, "episode_index").select(
-        "episode_index", "frame_index", F.get(feature, F.lit(0)).cast("double").alias("value"), F.explode(window_numbers(F.col("frame_index"), F.col("n"), size, step)).alias("window"))
-    place = F.col("frame_index") - F.col("window") * step
-    weight = F.when(place < over, 1 - (place + 1) / F.lit(float(over + 1))).otherwise(0.0)
-    items = seen.groupBy("episode_index", "frame_index").agg(F.array_sort(F.collect_list(F.struct("window", (F.col("value") + F.col("window")).alias("v"), weight.alias("w")))).alias("items"))
-    blend = F.aggregate("items", F.lit(None).cast("double"), lambda s, x: F.when(s.isNull(), x["v"]).otherwise(s * x["w"] + x["v"] * (1 - x["w"])))
-    return items.select("episode_index", "frame_index", blend.alias("blended"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: tuple | None = None  # (episode, frame, blended so far): its windows may go on in the next batch
+
+        def made(episodes, frames, rows) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(episodes, pa.int64()), pa.array(frames, pa.int64()), pa.array(list(rows), pa.list_(pa.float64()))], ["episode_index", "frame_index", "blended"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            episode, frame, window = (np.asarray(batch.column(i)) for i in range(3))
+            sizes = np.asarray(batch.column(3).value_lengths())
+            if (sizes != sizes[0]).any():
+                raise ValueError("lengths of vectors differ")
+            x = np.asarray(batch.column(3).flatten(), dtype=np.float64).reshape(len(episode), -1)
+            first = np.append(True, (episode[1:] != episode[:-1]) | (frame[1:] != frame[:-1]))
+            starts, group = np.flatnonzero(first), np.cumsum(first) - 1
+            place = frame - window * step
+            weight = np.where(place < over, 1 - (place + 1) / float(over + 1), 0.0)[:, None]
+            turn = np.arange(len(episode)) - starts[group]
+            blended = x[starts]
+            if open_ is not None and open_[:2] == (episode[0], frame[0]):
+                blended[0] = open_[2] * weight[0] + x[0] * (1 - weight[0])
+            elif open_ is not None:
+                yield made([open_[0]], [open_[1]], [open_[2]])
+            for k in range(1, int(turn.max()) + 1):  # the k-th windows of all frames at once
+                at = np.flatnonzero(turn == k)
+                blended[group[at]] = blended[group[at]] * weight[at] + x[at] * (1 - weight[at])
+            if len(starts) > 1:
+                yield made(episode[starts[:-1]], frame[starts[:-1]], blended[:-1])
+            open_ = (episode[-1], frame[-1], blended[-1])
+        if open_ is not None:
+            yield made([open_[0]], [open_[1]], [open_[2]])
+
+    return run
+
+
+def overlap_blend(seen: DataFrame, size: int, step: int) -> DataFrame:
+    """(episode_index, frame_index, blended): whole vectors, blended through the windows that hold a frame, in window order.
+
+    seen: (episode_index, window, frame_index, vector), a row for each window and frame. In the overlap the earlier result fades out
+    linearly. Rows are dealt by frame, so that a long episode isn't one task's, and scanned in order: a task holds one frame's result across batches.
+    """
+    ship(seen.sparkSession)
+    rows = seen.select(F.col("episode_index").cast("long"), F.col("frame_index").cast("long"), F.col("window").cast("long"), "vector")
+    ordered = rows.repartition("episode_index", "frame_index").sortWithinPartitions("episode_index", "frame_index", "window")
+    return ordered.mapInArrow(_blend(size, step), "episode_index long, frame_index long, blended array<double>")
 
 
 def media_plan(media: DataFrame, longest: int, target: float, size: int = 14, step: int = 10, batch: int = 16, seconds: int = 20) -> DataFrame:

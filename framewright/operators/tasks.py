@@ -114,11 +114,13 @@ def plan_counts(status: DataFrame, shards: int) -> DataFrame:
         F.count("*").alias("discovered"), F.count_if(~F.col("complete")).alias("pending"), F.count_if(F.col("quarantined") & ~F.col("complete")).alias("quarantined"))
 
 
-def per_shard_limit(status: DataFrame, shards: int, limit: int) -> DataFrame:
-    """The first `limit` pending tasks of every shard, in order."""
+def per_shard_limit(status: DataFrame, shards: int, limit: int | None, per_process: int = 0, dry_run: bool = False) -> DataFrame:
+    """The first pending tasks of every shard, in order: `limit` of them, of which one process takes `per_process` (0: all), but for a dry run."""
     pending = pending_tasks(stable_shards(status, shards))
     place = F.row_number().over(Window.partitionBy("shard").orderBy("position"))
-    return pending.withColumn("place", place).filter(F.col("place") <= limit).select("shard", "place", *ORDER)
+    most = min([n for n in (limit, per_process if per_process and not dry_run else None) if n is not None], default=None)
+    placed = pending.withColumn("place", place)
+    return (placed if most is None else placed.filter(F.col("place") <= most)).select("shard", "place", *ORDER)
 
 
 def pack_batches(tasks: DataFrame, size: int) -> DataFrame:

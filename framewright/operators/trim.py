@@ -23,6 +23,22 @@ def trim_specs(padding: DataFrame) -> DataFrame:
     )
 
 
+def trim_spec_issues(padding: DataFrame) -> DataFrame:
+    """(episode_index, issue): episodes whose cameras disagree on the number of frames; and where no episode has missing frames at all, one row for that."""
+    specs = trim_specs(padding)
+    conflicts = specs.filter("conflict").select("episode_index", F.lit("frame counts differ").alias("issue"))
+    none = specs.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit(None).cast("long").alias("episode_index"), F.lit("no specs").alias("issue"))
+    return conflicts.unionByName(none)
+
+
+def checked_specs(padding: DataFrame) -> DataFrame:
+    """`trim_specs`; an error where `trim_spec_issues` has a row."""
+    issue = trim_spec_issues(padding).orderBy("episode_index").limit(1).first()
+    if issue is not None:
+        raise ValueError(issue["issue"] if issue["episode_index"] is None else f"{issue['issue']} in episode {issue['episode_index']}")
+    return trim_specs(padding)
+
+
 def missing_episodes(specs: DataFrame, episodes: DataFrame) -> DataFrame:
     return specs.join(episodes, "episode_index", "left_anti").select("episode_index", "trim_count", "original_length")
 
@@ -108,7 +124,3 @@ def media_frame_counts(frames: DataFrame, group: list[str]) -> DataFrame:
     return frames.groupBy(*group).agg(
         n.alias("frames"), F.min("frame_index").alias("first_frame"), F.max("frame_index").alias("last_frame"),
         ((F.min("frame_index") == 0) & (F.max("frame_index") == n - 1) & (F.countDistinct("frame_index") == n)).alias("contiguous"))
-
-
-def dataset_totals(episodes: DataFrame, image_features: int) -> DataFrame:
-    return episodes.agg(F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames")).withColumn("total_images", F.col("total_frames") * image_features)

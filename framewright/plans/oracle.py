@@ -7,6 +7,10 @@ import re
 VIEWS = {
     "frames": "SELECT conv_id AS episode_index, turn AS frame_index, role, text FROM conversations",
     "episodes": "SELECT episode_index, count(*) AS length FROM frames GROUP BY ALL",
+    "subset_episodes": "SELECT 'src' || (episode_index % 20) AS subset, episode_index, length FROM episodes",
+    "descriptors": """SELECT subset, n, n % 13 = 1 AS cut, CASE WHEN n % 9 = 5 THEN 'v2.0' ELSE 'v2.1' END AS version, n % 7 = 6 AS bare, CASE WHEN n % 11 = 8 THEN 0 ELSE n + 10 END AS chunks_size,
+        CASE WHEN n % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END AS images FROM (SELECT DISTINCT source AS subset, CAST(substr(source, 4) AS INT) AS n FROM documents WHERE source IS NOT NULL)""",
+    "described": """SELECT subset, n, images, chunks_size, CASE WHEN cut THEN 'no JSON object' WHEN version <> 'v2.1' THEN 'version ' || version WHEN bare THEN 'no features' WHEN chunks_size < 1 THEN 'no chunk size' END AS issue FROM descriptors""",
     "padding": """SELECT episode_index, camera, length AS frame_count, least(episode_index % m, length - 1) AS tail_missing_count,
         range(length - least(episode_index % m, length - 1), length) AS missing_frame_indices
         FROM episodes, (VALUES ('observation.images.depth_01', 3), ('observation.images.depth_02', 2)) AS c(camera, m)""",
@@ -15,6 +19,10 @@ VIEWS = {
         FROM padding p JOIN (SELECT episode_index, max(tail_missing_count) AS trim_count FROM padding GROUP BY 1) s USING (episode_index)
         WHERE NOT (p.episode_index % 17 = 0 AND p.camera = 'observation.images.depth_02')""",
     "vecframes": "SELECT label AS episode_index, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index, embedding AS observation_state FROM embeddings",
+    "statframes": """SELECT episode_index, frame_index, CAST(observation_state AS DOUBLE[]) AS state, [frame_index / 10.0::DOUBLE] AS stamp, [CASE WHEN frame_index % 7 = 6 THEN 1.0 ELSE 0.0 END] AS done, [0.1, 64.1] AS constant, CAST(observation_state[1:4] AS DOUBLE[]) AS nested FROM vecframes""",
+    "tall": """SELECT episode_index, feature, unnest(v) AS v, unnest(range(len(v))) AS dim FROM (
+        SELECT episode_index, 'observation_state' AS feature, state AS v FROM statframes UNION ALL SELECT episode_index, 'timestamp', stamp FROM statframes UNION ALL SELECT episode_index, 'next.done', done FROM statframes
+        UNION ALL SELECT episode_index, 'constant', constant FROM statframes UNION ALL SELECT episode_index, 'nested', nested FROM statframes)""",
     "tasks": """SELECT doc_id, source AS subset, printf('chunk-%03d', doc_id // 100) AS chunk,
         'observation.images.rgb_' || CASE lang WHEN 'en' THEN '01' WHEN 'fr' THEN '02' WHEN 'de' THEN '03' ELSE '04' END AS input_camera,
         printf('episode_%06d', doc_id) AS episode, n_chars AS input_size_bytes FROM documents""",
@@ -91,7 +99,7 @@ VIEWS = {
     "states": """SELECT task, event_id, event, attempts, CASE WHEN event = 'resolved' THEN 'resolved' WHEN event = 'python_failure' THEN 'quarantined' WHEN attempts >= 3 THEN 'quarantined' ELSE 'retrying' END AS status, ts FROM folded""",
     "sizes": "SELECT episode_index, count(*) AS n FROM frames GROUP BY 1",
     "sessions": """SELECT task, ts, beat_id, sum(new) OVER (PARTITION BY task ORDER BY ts, beat_id) AS session FROM (
-        SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY task ORDER BY ts, beat_id) < 900000000 THEN 0 ELSE 1 END AS new FROM heartbeats)""",
+        SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY task ORDER BY ts, beat_id) <= 900000000 THEN 0 ELSE 1 END AS new FROM heartbeats)""",
 }
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions import exprs
-from framewright.operators import ledger, publish, selectors, sequences, stats, tasks, trim
+from framewright.operators import attempts, ledger, publish, selectors, sequences, stats, tasks, trim
 from framewright.plans.oracle import sql
+from framewright.sources import archives, documents, files, media
 from framewright.sources import bindings as b
-from framewright.sources import files
 from framewright.sources.scratch import new_folder
+from framewright.sources.versions import VersionedTable
 from framewright.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,19 +59,38 @@ def _videos(s, d, content) -> str:
 # sources
 
 
-@query("SELECT printf('%03d', episode_index // 1000) AS chunk, count(*) AS frames, count(DISTINCT episode_index) AS episodes, sum(length(text)) AS chars FROM frames GROUP BY 1")
-def scan_frames(s, d):
+def _descriptors(s, d) -> DataFrame:
+    """The descriptors, written into a folder for each subset and scanned."""
     root = new_folder(s)
-    chunk = F.format_string("%03d", F.expr("episode_index DIV 1000"))
-    files.write_frames(b.frames(s, d).withColumn("chunk", chunk), root)
-    return files.scan_frames(s, root).groupBy("chunk").agg(F.count("*").alias("frames"), F.countDistinct("episode_index").alias("episodes"), F.sum(F.length("text")).alias("chars"))
+    files.write_media(documents.descriptor_files(b.descriptors(s, d)), root)
+    return documents.scan_descriptors(s, root)
+
+
+@query("""SELECT subset, printf('%03d', chunk) AS chunk, count(*) AS frames, count(DISTINCT episode_index) AS episodes, CAST(sum(length(text)) AS BIGINT) AS chars,
+    min(subset || printf('/data/chunk-%03d/episode_%06d.parquet', chunk, episode_index)) AS first_path FROM (
+    SELECT e.subset, episode_index // chunks_size AS chunk, f.* FROM frames f JOIN subset_episodes e USING (episode_index) JOIN described t ON t.subset = e.subset WHERE issue IS NULL) GROUP BY 1, 2""")
+def scan_frames(s, d):
+    root, paths = new_folder(s), documents.episode_files(b.subset_episodes(s, d), _descriptors(s, d))
+    kept = new_folder(s)
+    paths.write.parquet(kept)
+    paths = s.read.schema(paths.schema).parquet(kept)
+    rows = b.frames(s, d).join(paths, "episode_index")
+    rows.select(*b.frames(s, d).columns, "subset", F.format_string("%03d", "episode_chunk").alias("chunk")).write.partitionBy("subset", "chunk").parquet(root)
+    found = files.scan_frames(s, root).join(paths.select("episode_index", "subset", "path"), "episode_index")
+    return found.groupBy("subset", "chunk").agg(F.count("*").alias("frames"), F.countDistinct("episode_index").alias("episodes"), F.sum(F.length("text")).alias("chars"), F.min("path").alias("first_path"))
 
 
-@query("SELECT episode_index, length FROM episodes")
+_EXTRA = """'"extra":{"gains":[0.5,null,{"k":' || episode_index || '}],"note":' || CASE WHEN episode_index % 3 = 0 THEN 'null' ELSE '"ça ' || episode_index || '"' END || '}'"""
+
+
+@query(f"""SELECT episode_index, length, '{{' || {_EXTRA} || ',"tasks":["pick","place"]}}' AS rest FROM episodes""")
 def scan_episode_jsonl(s, d):
     path = new_folder(s)
-    files.write_jsonl(b.episodes(s, d), path)
-    return files.scan_jsonl(s, path, files.EPISODE)
+    b.episode_rows(s, d).write.text(path)
+    row = F.col("row")
+    known = ("episode_index", "length")
+    rest = F.to_json(F.map_filter(row.cast("map<string,variant>"), lambda k, _: ~k.isin(*known)))
+    return documents.scan_json_rows(s, path).select(*[F.variant_get(row, f"$.{k}", "long").alias(k) for k in known], rest.alias("rest"))
 
 
 @query("SELECT episode_index, camera, frame_count, tail_missing_count, len(missing_frame_indices) AS n_missing FROM padding")
@@ -86,13 +106,15 @@ _VIDEOS = "(SELECT t.path, t.subset, d.doc_id, coalesce(d.text, '') AS text FROM
 
 @query(f"SELECT path, subset, split_part(substr(path, length(subset) + 2), '/', 2) AS chunk, split_part(substr(path, length(subset) + 2), '/', 3) AS input_camera, regexp_extract(path, '(episode_[0-9]+)\\.mp4$', 1) AS episode, strlen(text) AS bytes FROM {_VIDEOS}")
 def media_catalog(s, d):
-    return files.media_catalog(files.scan_media(s, _videos(s, d, _payload(F.col("text")))))
+    return files.media_catalog(media.scan_headers(s, _videos(s, d, _payload(F.col("text"))), header=0))
 
 
-@query(f"SELECT path, starts_with(hex(encode(body))[9:], '66747970') AND strlen(body) >= 12 AS is_mp4 FROM (SELECT path, CASE WHEN doc_id % 3 = 0 THEN '0000ftyp' || text ELSE text END AS body FROM {_VIDEOS})")
+@query(f"SELECT path, starts_with(hex(encode(body))[9:], '66747970') AND strlen(body) >= 12 AS is_mp4 FROM (SELECT path, CASE WHEN doc_id % 3 = 0 THEN '0000ftyp' || text ELSE text END AS body FROM {_VIDEOS}) WHERE split_part(path, '/', -2) IN ('observation.images.rgb_01', 'observation.images.rgb_03')")
 def media_signature(s, d):
     text = F.coalesce(F.col("text"), F.lit(""))
-    return files.scan_signatures(s, _videos(s, d, _payload(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("0000ftyp"), text)).otherwise(text))))
+    root = _videos(s, d, _payload(F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("0000ftyp"), text)).otherwise(text)))
+    videos = media.scan_headers(s, root).filter(F.col("input_camera").isin("observation.images.rgb_01", "observation.images.rgb_03"))
+    return videos.select("path", files.has_mp4_signature(F.col("header")).alias("is_mp4"))
 
 
 @query("""SELECT DISTINCT 'any marker' AS rule, subset FROM tree UNION ALL SELECT DISTINCT 'videos', subset FROM tree UNION ALL SELECT DISTINCT 'images', subset FROM tree WHERE path LIKE '%/images/%'""")
@@ -112,30 +134,35 @@ def subset_layout(s, d):
 
 @query("""SELECT episode_index, frame_index, role, text, printf('%03d', episode_index % 6) AS chunk, printf('%03d', episode_index % 6) IN (SELECT printf('%03d', episode_index % 6) FROM specs) AS rewritten, 'gzip' AS codec FROM trimmed""")
 def write_frames(s, d):
-    root, specs = new_folder(s), _specs(s, d)
+    table, specs = VersionedTable(s, new_folder(s)), _specs(s, d)
     chunk = F.format_string("%03d", F.col("episode_index") % 6)
-    files.write_frames(b.frames(s, d).withColumn("chunk", chunk), root, "gzip")
-    names, file = new_folder(s), F.col("_metadata.file_path").alias("file")
-    files.scan_frames(s, root).select(file).distinct().write.parquet(names)
-    files.rewrite_frames(trim.tail_trim(files.scan_frames(s, root), specs), specs.select(chunk.alias("chunk")), root)
-    now = files.scan_frames(s, root).select("episode_index", "frame_index", "role", "text", "chunk", file)
-    before = s.read.parquet(names).withColumn("before", F.lit(True))
-    return now.join(before, "file", "left").select("episode_index", "frame_index", "role", "text", "chunk", F.col("before").isNull().alias("rewritten"), F.lit(files.codec_of(s, root)).alias("codec"))
+    table.append(b.frames(s, d).withColumn("chunk", chunk), "chunk", "gzip")
+    first = table.current()
+    before = {folder for _, folder in first.folders}
+    now = files.rewrite_frames(table, trim.tail_trim(table.read(first), specs), specs.select(chunk.alias("chunk")))
+    new = [key for key, folder in now.folders if folder not in before]
+    codec = files.codec_of(s, table.root + "/" + now.folders[-1][1]) if now.folders else None
+    return table.read(now).select("episode_index", "frame_index", "role", "text", "chunk", F.col("chunk").isin(new).alias("rewritten"), F.lit(codec).alias("codec"))
 
 
-@query("SELECT episode_index, length, CASE WHEN episode_index % 2 = 0 THEN 'even' END AS note FROM episodes")
+@query(f"""SELECT episode_index, '{{"episode_index":' || episode_index || ',' || {_EXTRA} || ',"length":' || coalesce(length - trim_count, length) || ',"tasks":["pick","place"]}}' AS line FROM episodes LEFT JOIN specs USING (episode_index)""")
 def write_jsonl(s, d):
-    path = new_folder(s)
-    files.write_jsonl(b.episodes(s, d).withColumn("note", F.when(F.col("episode_index") % 2 == 0, "even")), path)
-    return files.scan_jsonl(s, path, files.EPISODE + ", note string")
+    old, new = new_folder(s), new_folder(s)
+    b.episode_rows(s, d).write.text(old)
+    rows = documents.scan_json_rows(s, old).withColumn("episode_index", F.variant_get("row", "$.episode_index", "long"))
+    final = rows.join(_specs(s, d), "episode_index", "left").withColumn("final", F.coalesce(F.col("original_length") - F.col("trim_count"), F.variant_get("row", "$.length", "long")))
+    documents.write_json_rows(final.select(documents.with_keys(F.col("row"), length=F.col("final")).alias("row")), "row", new)
+    lines = s.read.text(new)
+    return lines.select(F.get_json_object("value", "$.episode_index").cast("long").alias("episode_index"), F.col("value").alias("line"))
 
 
-@query("SELECT task, event_id, event FROM ledger")
+@query("SELECT task, event_id, event, substr(sha256('/data' || chr(0) || (task % 4) || chr(0) || '' || chr(0) || '1024'), 1, 16) AS scope FROM ledger")
 def append_events(s, d):
-    path, rows = new_folder(s), b.ledger(s, d).select("task", "event_id", "event")
-    files.append_events(rows.filter("event <> 'resolved'"), path)
-    files.append_events(rows.filter("event = 'resolved'"), path)
-    return files.scan_jsonl(s, path, "task long, event_id long, event string")
+    path, scope = new_folder(s), ledger.run_scope(F.lit("/data"), F.col("task") % 4, F.lit(None), F.lit(1024))
+    rows = b.ledger(s, d).select("task", "event_id", "event", scope.alias("scope"))
+    files.append_events(rows.filter("event <> 'resolved'"), path, "scope")
+    files.append_events(rows.filter("event = 'resolved'"), path, "scope")
+    return files.scan_jsonl(s, path, "task long, event_id long, event string, scope string")
 
 
 @query("""SELECT subset, chunk, input_camera, batch, CASE WHEN chunk LIKE '%1' THEN 'skipped' ELSE 'created' END AS status,
@@ -147,18 +174,19 @@ def pack_export(s, d):
     archive = F.concat_ws("/", "subset", F.lit("images"), "chunk", "input_camera", "file").alias("archive")
     names = tasks.shard_summary(batches).select(*shard, archive)
     members = batches.join(texts, "doc_id").join(names, shard).withColumn("member", F.concat("episode", F.lit(".txt")))
-    files.pack_export(members.filter("chunk like '%1'"), shard, folder).count()  # an earlier run
-    return files.pack_export(members, shard, folder)
+    archives.pack_export(members.filter("chunk like '%1'"), shard, folder)  # an earlier run
+    return archives.pack_export(members, shard, folder)
 
 
 @query("""SELECT * FROM (SELECT 'conflict' AS staged, doc_id, (SELECT count(*) FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels)) AS conflicts, NULL AS published FROM tasks WHERE doc_id IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20)
     UNION ALL SELECT 'new', NULL, 0, count(*) FROM tasks WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def publish_staged(s, d):
-    staged, target, path = b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet"), new_folder(s)
-    none = F.lit(None).cast("long")
-    refused = publish.publish_staged(staged, target, ["doc_id"], new_folder(s)).select(F.lit("conflict").alias("staged"), "doc_id", "conflicts", none.alias("published"))
-    publish.publish_staged(staged.join(target, "doc_id", "left_anti"), target, ["doc_id"], path)
-    done = s.read.schema(staged.schema).parquet(path).agg(F.count("*").alias("published"))
+    staged, labels, table = b.tasks(s, d), s.read.parquet(f"{d}/labels.parquet").select("doc_id"), VersionedTable(s, new_folder(s))
+    table.append(staged.join(labels, "doc_id", "left_semi"))
+    before, none = table.current(), F.lit(None).cast("long")
+    refused = publish.publish_staged(staged, table, ["doc_id"]).select(F.lit("conflict").alias("staged"), "doc_id", "conflicts", none.alias("published"))
+    publish.publish_staged(staged.join(labels, "doc_id", "left_anti"), table, ["doc_id"])
+    done = table.read().join(table.read(before).select("doc_id"), "doc_id", "left_anti").agg(F.count("*").alias("published"))
     return refused.unionByName(done.select(F.lit("new").alias("staged"), none.alias("doc_id"), F.lit(0).cast("long").alias("conflicts"), "published"))
 
 
@@ -296,22 +324,38 @@ def publish_conflicts(s, d):
 # aggregations
 
 
-@query("SELECT * FROM specs")
+@query("""SELECT *, NULL AS issue FROM specs UNION ALL SELECT episode_index, NULL, NULL, NULL, NULL, 'frame counts differ' FROM specs WHERE conflict
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'no specs' WHERE NOT EXISTS (SELECT 1 FROM specs)""")
 def trim_specs(s, d):
-    return _specs(s, d)
+    return _specs(s, d).unionByName(trim.trim_spec_issues(b.padding(s, d)), allowMissingColumns=True)
 
 
-_TALL = "SELECT episode_index, unnest(CAST(observation_state AS DOUBLE[])) AS v, unnest(range(len(observation_state))) AS dim FROM vecframes"
+def _digits(stats_of: str) -> str:
+    """min, max, mean and std of the dimensions in millionths, as lists."""
+    codes = [("min", "min(v)"), ("max", "max(v)"), ("mean", "avg(v)"), ("std", "CASE WHEN min(v) = max(v) THEN 0 ELSE stddev_pop(v) END")]
+    lists = ", ".join(f"string_agg(CAST(round({n} * 1000000) AS BIGINT), ',' ORDER BY dim) AS {n}" for n, _ in codes)
+    return f"{stats_of}, {lists}, max(count) AS count FROM (SELECT episode_index, feature, dim, count(*) AS count, {', '.join(f'{f} AS {n}' for n, f in codes)} FROM tall GROUP BY ALL) GROUP BY ALL"
 
 
-@query(f"SELECT episode_index, 'observation_state' AS feature, CAST(dim AS INT) AS dim, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, count(*) AS count FROM ({_TALL}) GROUP BY ALL")
+def _coded(rows: DataFrame) -> DataFrame:
+    code = lambda c: F.array_join(F.transform(c, lambda x: F.round(x * 1000000).cast("long").cast("string")), ",")
+    return rows.withColumns({c: code(c) for c in ("min", "max", "mean", "std")})
+
+
+def _features(s, d) -> list[str]:
+    path = new_folder(s)
+    b.stats_rows(s, d).write.text(path)
+    return stats.stats_features(documents.scan_json_rows(s, path))
+
+
+@query(_digits("SELECT episode_index, feature"))
 def episode_stats(s, d):
-    return stats.episode_stats(b.vecframes(s, d), "observation_state").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    return _coded(stats.episode_stats(b.statframes(s, d), _features(s, d)))
 
 
-@query(f"SELECT CAST(dim AS INT) AS dim, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, count(*) AS count FROM ({_TALL}) GROUP BY ALL")
+@query(_digits("SELECT feature").replace("SELECT episode_index, feature, dim", "SELECT feature, dim"))
 def global_stats(s, d):
-    return stats.global_stats(stats.accumulators(b.vecframes(s, d), "observation_state")).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    return _coded(stats.global_stats(stats.accumulators(b.statframes(s, d), _features(s, d))))
 
 
 @query("SELECT episode_index, role, count(*) AS frames, min(frame_index) AS first_frame, max(frame_index) AS last_frame, min(frame_index) = 0 AND max(frame_index) = count(*) - 1 AND count(DISTINCT frame_index) = count(*) AS contiguous FROM frames GROUP BY ALL")
@@ -319,9 +363,19 @@ def media_frame_counts(s, d):
     return trim.media_frame_counts(b.frames(s, d), ["episode_index", "role"])
 
 
-@query("SELECT count(*) AS total_episodes, CAST(sum(length) AS BIGINT) AS total_frames, CAST(sum(length) * 2 AS BIGINT) AS total_images FROM episodes")
+@query("""SELECT t.subset, issue, coalesce(episodes, 0) AS total_episodes, coalesce(frames, 0) AS total_frames, coalesce(frames, 0) * images AS total_images,
+    '{"codebase_version":"v2.1","robot":{"joints":[1,2,null],"name":"' || t.subset || '"},"note":null,"total_frames":' || coalesce(frames, 0) || ',"chunks_size":' || chunks_size
+    || ',"data_path":"data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet","features":{' || CASE WHEN n % 2 = 0 THEN '"observation.images.depth_02":{"dtype":"image","shape":[36,64]},' ELSE '' END
+    || CASE WHEN n % 3 = 0 THEN '"observation.images.depth_03":{"dtype":"image","shape":[36,64]},' ELSE '' END || '"observation.images.rgb_01":{"dtype":"video"},"observation.state":{"dtype":"float32"}},"fps":15,"total_images":' || coalesce(frames, 0) * images || '}' AS document
+    FROM described t LEFT JOIN (SELECT subset, count(*) AS episodes, CAST(sum(length) AS BIGINT) AS frames FROM subset_episodes GROUP BY 1) e USING (subset) WHERE issue IS NULL
+    UNION ALL SELECT subset, issue, NULL, NULL, NULL, NULL FROM described WHERE issue IS NOT NULL""")
 def dataset_totals(s, d):
-    return trim.dataset_totals(b.episodes(s, d), 2)
+    found, root = _descriptors(s, d), new_folder(s)
+    good = documents.usable_descriptors(found)
+    totals = documents.dataset_totals(b.subset_episodes(s, d), good)
+    files.write_media(documents.descriptor_files(documents.with_totals(good, totals)), root)
+    again = documents.scan_descriptors(s, root).select("subset", "document", "info.total_frames", "info.total_images")
+    return again.join(totals.select("subset", "total_episodes"), "subset").unionByName(documents.descriptor_issues(found), allowMissingColumns=True)
 
 
 @query("""SELECT (SELECT count(*) FROM specs) AS affected_episodes, (SELECT count(*) FROM specs WHERE trim_count = 0) AS already_trimmed,
@@ -417,12 +471,17 @@ def sliding_windows(s, d):
     return sequences.sliding_windows(b.frames(s, d), 3, 2)
 
 
-@query(f"""SELECT episode_index, frame_index, round(coalesce(v1 * wt + v2 * (1 - wt), v1), 6) AS blended FROM (
-    SELECT episode_index, frame_index, win, v, min_by(v, win) OVER p AS v1, CASE WHEN count(*) OVER p > 1 THEN max_by(v, win) OVER p END AS v2, max_by(wt0, win) OVER p AS wt FROM (
-    SELECT episode_index, frame_index, win, observation_state[1]::DOUBLE + win AS v, CASE WHEN frame_index - win * 10 < 4 THEN 1 - (frame_index - win * 10 + 1) / 5.0::DOUBLE ELSE 0 END AS wt0 FROM ({_windows('vecframes', 14, 10)}))
-    WINDOW p AS (PARTITION BY episode_index, frame_index)) GROUP BY episode_index, frame_index, v1, v2, wt""")
+@query(f"""SELECT episode_index, frame_index, string_agg(CAST(round(coalesce(v1 * wt + v2 * (1 - wt), v1) * 1000000) AS BIGINT), ',' ORDER BY dim) AS blended FROM (
+    SELECT episode_index, frame_index, dim, min_by(v, win) AS v1, CASE WHEN count(*) > 1 THEN max_by(v, win) END AS v2, max_by(wt0, win) AS wt FROM (
+    SELECT episode_index, frame_index, win, unnest(range(len(observation_state))) AS dim, unnest(CAST(observation_state AS DOUBLE[])) + win AS v,
+    CASE WHEN frame_index - win * 10 < 4 THEN 1 - (frame_index - win * 10 + 1) / 5.0::DOUBLE ELSE 0 END AS wt0 FROM ({_windows('vecframes', 14, 10)}))
+    GROUP BY episode_index, frame_index, dim) GROUP BY episode_index, frame_index""")
 def overlap_blend(s, d):
-    return sequences.overlap_blend(b.vecframes(s, d), "observation_state", 14, 10).withColumn("blended", F.round("blended", 6))
+    seen = sequences.window_frames(b.vecframes(s, d), "observation_state", 14, 10)
+    # a window sees the vector plus its own number, so that blending shows
+    seen = seen.withColumn("vector", F.transform("vector", lambda x: x + F.col("window")))
+    blended = sequences.overlap_blend(seen, 14, 10)
+    return blended.withColumn("blended", F.array_join(F.transform("blended", lambda x: F.round(x * 1000000).cast("long").cast("string")), ","))
 
 
 @query("SELECT task, max_by(event, (ts, event_id)) AS event, max_by(event_id, (ts, event_id)) AS event_id, count(*) AS events FROM ledger GROUP BY 1")
@@ -449,9 +508,9 @@ def ordered_plan(s, d):
     return b.tasks(s, d).select(*tasks.ORDER).orderBy(*tasks.ORDER)
 
 
-@query("""SELECT shard, CAST(place AS INT) AS place, subset, chunk, input_camera, episode FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY position) AS place FROM sharded WHERE NOT complete AND NOT quarantined) WHERE place <= 50""")
+@query("""SELECT shard, CAST(place AS INT) AS place, subset, chunk, input_camera, episode FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY position) AS place FROM sharded WHERE NOT complete AND NOT quarantined) WHERE place <= 30""")
 def per_shard_limit(s, d):
-    return tasks.per_shard_limit(_status(s, d), SHARDS, 50)
+    return tasks.per_shard_limit(_status(s, d), SHARDS, 50, per_process=30)
 
 
 @query("SELECT subset, chunk, input_camera, episode, (SELECT greatest(count(*) - 20, 0) FROM tasks) AS more FROM tasks ORDER BY ALL LIMIT 20")
@@ -483,25 +542,24 @@ def _stream(s, rows: DataFrame) -> DataFrame:
     return s.readStream.schema(rows.schema).parquet(path)
 
 
-@query("SELECT task, event_id, event, attempts, status FROM states")
+@query("SELECT task, event_id, event, attempts, status FROM states WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM ledger)")
 def stream_quarantine(s, d):
     return jobs.drained(jobs.quarantine_stream(_stream(s, b.ledger(s, d)), MOST), new_folder(s), new_folder(s))
 
 
 @query("""SELECT task, count(*) AS beats, max(ts) AS last_beat FROM sessions GROUP BY task, session
-    HAVING max(ts) + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM heartbeats)""")
+    HAVING max(ts) + INTERVAL 15 MINUTE < (SELECT max(ts) - INTERVAL 1 HOUR FROM heartbeats)""")
 def stream_lease_expiry(s, d):
     out = jobs.drained(jobs.lease_stream(_stream(s, b.heartbeats(s, d)), TTL), new_folder(s), new_folder(s))
     return out.withColumn("last_beat", F.col("last_beat").cast("timestamp_ntz"))
 
 
-@query("""SELECT task, CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start, count(DISTINCT beat_id) AS outputs FROM heartbeats GROUP BY 1, 2
-    HAVING date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM heartbeats)""")
+@query("SELECT task, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(DISTINCT beat_id) AS outputs FROM heartbeats GROUP BY 1, 2")
 def stream_new_outputs(s, d):
-    beats = b.heartbeats(s, d)
+    beats, table = b.heartbeats(s, d), VersionedTable(s, new_folder(s))
     arrivals = beats.unionByName(beats.filter("beat_id % 5 = 0"))
-    out = jobs.drained(jobs.output_counts_stream(_stream(s, arrivals)), new_folder(s), new_folder(s))
-    return out.withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
+    jobs.count_outputs(_stream(s, arrivals), table, new_folder(s), ["task", "day"])
+    return table.read().select("task", F.col("day").cast("timestamp_ntz").alias("day"), "outputs")
 
 
 # user functions
@@ -516,7 +574,7 @@ def map_episodes_resilient(s, d):
             raise ValueError("bad episode")
         return len(pdf), length(pdf["text"]).mean()
 
-    out = publish.map_episodes_resilient(b.frames(s, d), "episode_index", measure, MOST, setup=lambda: lambda texts: texts.str.len())
+    out = attempts.map_episodes_durably(b.frames(s, d), "episode_index", measure, MOST, new_folder(s), setup=lambda: lambda texts: texts.str.len())
     traced = F.coalesce(F.col("traceback").contains("ValueError: bad episode"), F.lit(False)).alias("traced")
     return out.select("episode_index", "status", "attempt", "count", "value", "error_type", "error", traced, (F.col("wall_seconds") >= 0).alias("timed"))
 

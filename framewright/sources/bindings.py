@@ -22,6 +22,49 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames(spark, sf_dir).groupBy("episode_index").agg(F.count("*").alias("length"))
 
 
+def episode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): episode rows as JSON texts, with keys and nested values that nobody asks for."""
+    e = F.col("episode_index").cast("string")
+    note = F.when(F.col("episode_index") % 3 == 0, "null").otherwise(F.concat(F.lit('"ça '), e, F.lit('"')))
+    extra = F.concat(F.lit('{"gains":[0.5,null,{"k":'), e, F.lit("}],\"note\":"), note, F.lit("}"))
+    return episodes(spark, sf_dir).select(F.concat(F.lit('{"episode_index":'), e, F.lit(',"extra":'), extra, F.lit(',"length":'), F.col("length").cast("string"), F.lit(',"tasks":["pick","place"]}')).alias("value"))
+
+
+def subset_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(subset, episode_index, length): episodes dealt over the subsets."""
+    return episodes(spark, sf_dir).select(F.concat(F.lit("src"), (F.col("episode_index") % 20).cast("string")).alias("subset"), "episode_index", "length")
+
+
+def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(subset, document): a descriptor for each source of documents; some are of another version, incomplete or cut off."""
+    n = F.substring_index("source", "src", -1).cast("int")
+    image = lambda k: F.when(n % k == 0, F.lit(f'"observation.images.depth_0{k}":{{"dtype":"image","shape":[36,64]}},')).otherwise("")
+    features = F.concat(F.lit('{'), image(2), image(3), F.lit('"observation.images.rgb_01":{"dtype":"video"},"observation.state":{"dtype":"float32"}}'))
+    version = F.when(n % 9 == 5, "v2.0").otherwise("v2.1")
+    document = F.concat(
+        F.lit('{"codebase_version":"'), version, F.lit('","robot":{"joints":[1,2,null],"name":"'), F.col("source"), F.lit('"},"note":null,"total_frames":0,"chunks_size":'), F.when(n % 11 == 8, 0).otherwise(n + 10).cast("string"),
+        F.lit(',"data_path":"data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet","features":'), F.when(n % 7 == 6, "null").otherwise(features), F.lit(',"fps":15}'))
+    sources = _table(spark, sf_dir, "documents").filter("source is not null").select("source").distinct()
+    return sources.select(F.col("source").alias("subset"), F.when(n % 13 == 1, F.substring(document, 1, 40)).otherwise(document).alias("document"))
+
+
+def statframes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`vecframes` with scalars, a constant and nested values."""
+    i = F.col("frame_index")
+    v = F.col("observation_state")
+    return vecframes(spark, sf_dir).select(
+        "episode_index", "frame_index", "observation_state", (i / 10.0).alias("timestamp"), (i % 7 == 6).alias("next.done"), F.array(F.lit(0.1), F.lit(64.1)).alias("constant"),
+        F.array(F.array(v[0], v[1]), F.array(v[2], v[3])).alias("nested"), F.lit("x").alias("note"))
+
+
+def stats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): statistics of an earlier run as JSON texts; the first episode's row names the features."""
+    e = F.col("episode_index")
+    named = '{"constant":{},"nested":{},"next.done":{},"observation_state":{},"timestamp":{}}'
+    first = _table(spark, sf_dir, "embeddings").filter("label is not null").select(F.col("label").alias("episode_index")).distinct()
+    return first.select(F.concat(F.lit('{"episode_index":'), e.cast("string"), F.lit(',"stats":'), F.when(e == 0, named).otherwise('{"frame_index":{}}'), F.lit("}")).alias("value"))
+
+
 def padding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per episode and depth camera, with the indices of the frames missing at the tail."""
     cameras = F.explode(F.array(*[F.struct(F.lit(c).alias("camera"), F.lit(m).alias("m")) for c, m in CAMERAS])).alias("c")

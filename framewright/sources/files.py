@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.sources.scratch import filesystem, new_folder, ship
+from framewright.sources.scratch import filesystem, ship
+from framewright.sources.versions import Version, VersionedTable
 
 EPISODE = "episode_index long, length long"
 PADDING = "source struct<episode_index: long, frame_count: long, tail_missing_count: long, missing_frame_indices: array<long>>"
@@ -55,34 +52,15 @@ def write_media(rows: DataFrame, root: str) -> int:
     return rows.select("path", F.col("content").cast("binary")).mapInArrow(write, "path string").count()
 
 
-def scan_media(spark: SparkSession, root: str, ending: str = ".mp4") -> DataFrame:
-    """(path, bytes) of the files below `root`, paths relative to it. Contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ending}").load(root)
-    return files.select(_below(root).alias("path"), F.col("length").alias("bytes"))
-
-
-def _below(root: str) -> "F.Column":
-    tail = root.rstrip("/").rpartition("/")[2]
-    return F.substring_index("path", f"/{tail}/", -1)
-
-
-def media_catalog(paths: DataFrame) -> DataFrame:
-    """Media paths (path, bytes) parsed into subset, chunk, camera and episode; others fall out."""
-    rx = r"^(.*)/videos/(chunk-[0-9]+)/([^/]+)/(episode_[0-9]+)\.mp4$"
-    part = lambda i: F.regexp_extract("path", rx, i)
-    return paths.filter(F.col("path").rlike(rx)).select("path", part(1).alias("subset"), part(2).alias("chunk"), part(3).alias("input_camera"), part(4).alias("episode"), "bytes")
+def media_catalog(media: DataFrame) -> DataFrame:
+    """The videos among `media_headers` rows, by subset, chunk, camera and episode; others fall out."""
+    return media.filter("episode is not null").select("path", "subset", "chunk", "input_camera", "episode", "bytes")
 
 
 def has_mp4_signature(content) -> "F.Column":
     return (F.octet_length(content) >= 12) & (F.substring(content, 5, 4) == F.lit(bytearray(b"ftyp")))
 
 
-def scan_signatures(spark: SparkSession, root: str, ending: str = ".mp4") -> DataFrame:
-    """(path, is_mp4) of the files below `root`; every file is read, so catalog filters belong into `root` and `ending`."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ending}").load(root)
-    return files.select(_below(root).alias("path"), has_mp4_signature(F.col("content")).alias("is_mp4"))
-
-
 def write_frames(frames: DataFrame, root: str, codec: str = "zstd") -> None:
     """Frames into chunk directories of a new root."""
     frames.write.option("compression", codec).partitionBy("chunk").parquet(root)
@@ -90,23 +68,29 @@ def write_frames(frames: DataFrame, root: str, codec: str = "zstd") -> None:
 
 def codec_of(spark: SparkSession, root: str) -> str:
     """Compression of the frames below `root`, by the footer of one file."""
+    name = spark.read.option("recursiveFileLookup", True).parquet(root).limit(1).select("_metadata.file_path").first()
+    return "zstd" if name is None else _codec(name[0])
+
+
+def _codec(name: str) -> str:
     from pyarrow import parquet
 
-    name = spark.read.option("recursiveFileLookup", True).parquet(root).limit(1).select("_metadata.file_path").first()
-    if name is None:
-        return "zstd"
-    system, path = filesystem(name[0])
+    system, path = filesystem(name)
     with system.open_input_file(path) as source:
         return parquet.ParquetFile(source).metadata.row_group(0).column(0).compression.lower()
 
 
-def rewrite_frames(frames: DataFrame, changed_chunks: DataFrame, root: str) -> None:
-    """Replaces the chunk directories of `root` that have changes (column chunk); others, and the compression, stay as they are."""
-    spark = frames.sparkSession
-    path = new_folder(spark)
-    frames.join(changed_chunks.select("chunk").distinct(), "chunk", "left_semi").write.parquet(path)  # `frames` reads from `root`
-    rows = spark.read.schema(frames.schema).parquet(path)
-    rows.write.option("compression", codec_of(spark, root)).option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("chunk").parquet(root)
+def rewrite_frames(table: VersionedTable, frames: DataFrame, changed_chunks: DataFrame) -> Version:
+    """A version of `table` (whose folders are chunks) in which `frames` stand for the chunks that have changes (column chunk).
+
+    Folders of other chunks are taken over, and the compression is that of the version before; that version stays as it is. A
+    chunk that other writers changed meanwhile is an error (`Superseded`).
+    """
+    base = table.current()
+    codec = codec_of(table.spark, f"{table.root}/{base.folders[0][1]}") if base.folders else "zstd"
+    chunks = changed_chunks.select("chunk").distinct()
+    keys = [r["chunk"] for r in chunks.collect()]  # as many as chunk folders
+    return table.replace(base, frames.join(chunks, "chunk", "left_semi"), "chunk", keys, codec)
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:
@@ -114,41 +98,6 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
     rows.write.option("ignoreNullFields", False).json(path)
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    events.write.mode("append").json(path)
-
-
-def pack_export(members: DataFrame, shard: list[str], folder: str, overwrite: bool = False) -> DataFrame:
-    """One TAR per shard, members in name order; a report row (status, archive, members, payload_bytes) per shard.
-
-    members: the shard's columns, archive (its path below `folder`), member, payload. An archive that is there is skipped unless
-    `overwrite` is set. It gets its name once it is whole, and holds the run's number, so that a task that is tried again
-    doesn't take its own archive for an earlier run's. A shard holds a bounded number of episodes.
-    """
-    number = uuid.uuid4().hex
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        from pyspark import TaskContext
-
-        system, base = filesystem(folder)
-        archive, size = pdf["archive"].iloc[0], sum(len(p or b"") for p in pdf["payload"])
-        path = f"{base}/{archive}"
-        status = "created"
-        if not overwrite and system.get_file_info(path).is_file:
-            with system.open_input_stream(path, compression=None) as source, tarfile.open(fileobj=source, mode="r|") as tar:
-                status = "created" if tar.pax_headers.get("comment") == number else "skipped"
-        if status == "created":
-            system.create_dir(path.rpartition("/")[0], recursive=True)
-            part = f"{path}.{TaskContext.get().taskAttemptId()}.part"
-            with system.open_output_stream(part, compression=None) as out, tarfile.open(fileobj=out, mode="w|", format=tarfile.PAX_FORMAT, pax_headers={"comment": number}) as tar:
-                for member, payload in sorted(zip(pdf["member"], pdf["payload"]), key=lambda x: x[0]):
-                    info = tarfile.TarInfo(member)
-                    info.size = len(payload or b"")
-                    tar.addfile(info, io.BytesIO(payload or b""))
-            system.move(part, path)
-        return pd.DataFrame([[*(pdf[c].iloc[0] for c in shard), status, archive, len(pdf), size]], columns=[*shard, "status", "archive", "members", "payload_bytes"])
-
-    ship(members.sparkSession)
-    types = dict(members.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in shard) + ", status string, archive string, members long, payload_bytes long"
-    return members.select(*shard, "archive", "member", "payload").groupBy(*shard).applyInPandas(run, schema)
+def append_events(events: DataFrame, path: str, *by: str) -> None:
+    """Adds events to a log, in folders by some columns where they are given."""
+    events.write.mode("append").partitionBy(*by).json(path)

@@ -3,42 +3,137 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+from framewright.sources.scratch import ship
+from framewright.sources.versions import VersionedTable, retried
 
-def quarantine_stream(events: DataFrame, most: int) -> DataFrame:
-    """The crash fold on a live event log: state is (attempts, whether the last event resolved the task).
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    Contract: a task's events arrive in their order, or in the same micro-batch, where they are put in order (a log that one
-    supervisor per task appends to does). An event that comes in a later batch than its successors is folded when it arrives.
-    """
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        attempts, resolved = state.get if state.exists else (0, False)
-        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+def _micros(times: pd.Series) -> list[int]:
+    return times.astype("datetime64[us]").astype("int64").tolist()
+
+
+class CrashFold(StatefulProcessor):
+    """The crash fold in event time. Events wait until the watermark has passed them, and are then folded in their order."""
+
+    def __init__(self, most: int):
+        self.most = most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.fold = handle.getValueState("fold", StructType([StructField("attempts", LongType()), StructField("resolved", BooleanType())]))
+        self.waiting = handle.getListState("waiting", StructType([StructField("ts", LongType()), StructField("event_id", LongType()), StructField("event", StringType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:
+            times = _micros(pdf["ts"])
+            for t, i, e in zip(times, pdf["event_id"].tolist(), pdf["event"].tolist()):
+                self.waiting.appendValue((t, i, e))
+            first = min([*times, *([] if first is None else [first])])
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted(tuple(w) for w in self.waiting.get())
+        ready, later = [w for w in waiting if w[0] <= passed], [w for w in waiting if w[0] > passed]
+        if not ready:
+            return
+        attempts, resolved = self.fold.get() if self.fold.exists() else (0, False)
         out = []
-        for event, event_id in zip(rows["event"], rows["event_id"]):
+        for _, event_id, event in ready:
             if event == "process_crash":
                 attempts = 1 if resolved else attempts + 1
-                status = "quarantined" if attempts >= most else "retrying"
+                status = "quarantined" if attempts >= self.most else "retrying"
             else:
                 status = "resolved" if event == "resolved" else "quarantined"
             resolved = event == "resolved"
             out.append((int(key[0]), int(event_id), event, int(attempts), status))
-        state.update((attempts, resolved))
+        self.fold.update((int(attempts), bool(resolved)))
+        self.waiting.clear()
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(later[0][0] // 1000 + 1)
         yield pd.DataFrame(out, columns=["task", "event_id", "event", "attempts", "status"])
 
-    return events.groupBy("task").applyInPandasWithState(fold, "task long, event_id long, event string, attempts long, status string", "attempts long, resolved boolean", "append", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+
+def quarantine_stream(events: DataFrame, most: int, delay: str = "1 hour") -> DataFrame:
+    """State after every event of a live log, in event time, whatever batch an event comes in and across restarts.
+
+    An event is given out once the watermark (the latest event's time less `delay`) has passed it; one that comes later than that is dropped.
+    What waits for a task are its events of the last `delay`.
+    """
+    ship(events.sparkSession)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    return timed.groupBy("task").transformWithStateInPandas(CrashFold(most), "task long, event_id long, event string, attempts long, status string", "Append", "EventTime")
+
+
+class Leases(StatefulProcessor):
+    """Open leases of a task: (first beat, last beat, beats), each with a timer at its last beat and the time to live."""
+
+    def __init__(self, ttl_micros: int):
+        self.ttl = ttl_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", StructType([StructField(c, LongType()) for c in ("first", "last", "beats")]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        spans = [tuple(s) for s in self.open.get()]
+        spans += [(t, t, 1) for pdf in rows for t in _micros(pdf["ts"])]
+        merged: list[tuple] = []
+        for first, last, beats in sorted(spans):
+            if merged and first - merged[-1][1] <= self.ttl:  # a beat right at the end of its lease renews it
+                a, b, n = merged[-1]
+                merged[-1] = (a, max(b, last), n + beats)
+            else:
+                merged.append((first, last, beats))
+        self.open.put(merged)
+        for _, last, _ in merged:
+            self.handle.registerTimer(self._end(last))
+        return iter(())
+
+    def _end(self, last: int) -> int:
+        """The first millisecond at which the last beat is older than the time to live."""
+        return (last + self.ttl) // 1000 + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        spans = [tuple(s) for s in self.open.get()]
+        out = [s for s in spans if self._end(s[1]) <= now]
+        if out:
+            self.open.clear()
+            left = [s for s in spans if self._end(s[1]) > now]
+            if left:
+                self.open.put(left)
+            yield pd.DataFrame({"task": [int(key[0])] * len(out), "beats": [s[2] for s in out], "last_beat": pd.to_datetime([s[1] for s in out], unit="us")})
+
+    def close(self) -> None:
+        pass
 
 
 def lease_stream(beats: DataFrame, ttl_seconds: int, delay: str = "1 hour") -> DataFrame:
-    """Sessions of heartbeats, given out once the watermark has passed their lease."""
-    timed = beats.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return timed.groupBy("task", F.session_window("ts", f"{ttl_seconds} seconds").alias("lease")).agg(F.count("*").alias("beats"), F.max("ts").alias("last_beat")).select("task", "beats", "last_beat")
+    """(task, beats, last_beat) of every lease that expires: its last beat is strictly older than the time to live. A later beat begins a new
+    lease. A time to live of 0 is none: no lease expires."""
+    ship(beats.sparkSession)
+    timed = beats.withColumn("ts", F.col("ts").cast("timestamp"))
+    if ttl_seconds == 0:
+        timed = timed.filter(F.lit(False))
+    timed = timed.withWatermark("ts", delay)
+    return timed.groupBy("task").transformWithStateInPandas(Leases(ttl_seconds * 1_000_000), "task long, beats long, last_beat timestamp", "Append", "EventTime")
 
 
 def new_outputs_stream(arrivals: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -47,14 +142,59 @@ def new_outputs_stream(arrivals: DataFrame, delay: str = "1 hour") -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["beat_id"]).select("task", "beat_id", "ts")
 
 
-def output_counts_stream(arrivals: DataFrame, delay: str = "1 hour", period: str = "1 day") -> DataFrame:
-    """Outputs of every task and period, repeated arrivals counted once; given out once the watermark has passed the period."""
-    first = new_outputs_stream(arrivals, delay)
-    return first.groupBy(F.window("ts", period).alias("period"), "task").agg(F.count("*").alias("outputs")).select("task", F.col("period.start").alias("period_start"), "outputs")
+BUCKETS = 64
+
+
+def merge_counts(rows: DataFrame, batch: int, table: VersionedTable, keys: list[str], job: str = "counts") -> None:
+    """Adds the numbers of a batch's rows by `keys` to the counts in `table`, once: the version that holds them remembers the batch.
+
+    Counts lie in buckets of keys; only those that the batch has keys in are written again.
+    """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    new = rows.groupBy(*keys).agg(F.count("*").alias("outputs")).withColumn("bucket", bucket).persist()
+    try:
+        touched = [str(r["bucket"]) for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+
+        def attempt() -> None:
+            base = table.current()
+            if base.properties.get(job, -1) >= batch:
+                return
+            before = table.read(base, touched) if base.folders else spark.createDataFrame([], new.schema)
+            merged = before.select(*new.columns).union(new).groupBy(*keys, "bucket").agg(F.sum("outputs").alias("outputs"))
+            table.replace(base, merged, "bucket", touched, properties={job: batch})
+
+        retried(attempt)
+    finally:
+        new.unpersist()
+
+
+def count_outputs(arrivals: DataFrame, table: VersionedTable, checkpoint: str, keys: list[str], delay: str = "1 hour", job: str = "counts") -> None:
+    """Counts what has arrived of a stream into `table`, repeated arrivals once, and ends; the next call goes on where this one ended."""
+    stream = new_outputs_stream(arrivals, delay).withColumn("day", F.date_trunc("day", "ts"))
+    with _rocksdb(arrivals.sparkSession):
+        query = (
+            stream.writeStream.foreachBatch(lambda rows, batch: merge_counts(rows, batch, table, keys, job)).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB for the queries that start inside, as stateful processors need it."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Runs what is available through a stream into a Parquet sink and reads it."""
-    query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
-    query.awaitTermination()
+    with _rocksdb(stream.sparkSession):
+        query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)

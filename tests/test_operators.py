@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import exprs
 from framewright.functions.ranks import grouped_rank, ranked
-from framewright.operators import ledger, selectors, sequences, stats, tasks, trim
+from framewright.operators import ledger, selectors, sequences, tasks, trim
 from framewright.sources import bindings
 
 DIR = "/root/testdata/sf0.001"
@@ -93,14 +93,6 @@ def test_wrong_length_raises(spark):
         trim.tail_trim(frames, specs).collect()
 
 
-def test_nan_and_null_in_statistics(spark):
-    frames = spark.createDataFrame([(1, [1.0, float("nan")]), (1, [3.0, 2.0])], "episode_index long, v array<double>")
-    rows = {r["dim"]: r for r in stats.episode_stats(frames, "v").collect()}
-    assert rows[0]["min"] == 1.0 and rows[1]["min"] != rows[1]["min"]
-    with pytest.raises(Exception, match="null in v"):
-        stats.episode_stats(spark.createDataFrame([(1, [None])], "episode_index long, v array<double>"), "v").collect()
-
-
 def test_ranks_match_a_plain_window(spark):
     df = spark.range(0, 1000).withColumn("g", F.col("id") % 7).withColumn("order", F.col("id") * 977 % 100003 * 50)
     sql = "select *, row_number() over (partition by g order by `order`) - 1 as want from {df}"
@@ -187,16 +179,6 @@ def test_completion_of_every_kind(spark):
     assert got == {**dict(enumerate(want)), n: False}
 
 
-def test_publishing_without_a_conflict(spark):
-    from framewright.operators import publish
-    from framewright.sources.scratch import new_folder
-
-    old, new, path = spark.range(5).withColumnRenamed("id", "k"), spark.range(5, 9).withColumnRenamed("id", "k"), new_folder(spark)
-    assert publish.publish_staged(new, old, ["k"], path).count() == 0 and sorted(r["k"] for r in spark.read.parquet(path).collect()) == [5, 6, 7, 8]
-    report = publish.publish_staged(spark.range(3, 7).withColumnRenamed("id", "k"), old, ["k"], path).collect()
-    assert [(r["k"], r["conflicts"]) for r in report] == [(3, 2), (4, 2)] and spark.read.parquet(path).count() == 4
-
-
 def test_failures_stop_the_job_where_asked(spark):
     from framewright.operators import publish
 
@@ -210,38 +192,39 @@ def test_failures_stop_the_job_where_asked(spark):
         publish.map_episodes_resilient(frames, "episode_index", bad, 2, continue_on_error=False).collect()
 
 
-def test_archives_are_made_once(spark):
-    import tarfile
-
-    from framewright.sources import files
-    from framewright.sources.scratch import filesystem, new_folder
-
-    folder = new_folder(spark)
-    members = spark.createDataFrame([(1, "x/a.tar", n, b) for n, b in (("b", b"22"), ("a", b"1"))], "shard long, archive string, member string, payload binary")
-    assert [files.pack_export(members, ["shard"], folder, overwrite).first()["status"] for overwrite in (False, False, True)] == ["created", "skipped", "created"]
-    with tarfile.open(filesystem(folder)[1] + "/x/a.tar") as tar:
-        assert tar.getnames() == ["a", "b"]
-
-
-def test_streams_in_several_files(spark):
-    """Three micro-batches; the last holds an event that is earlier than those of another task."""
-    from framewright.sources.scratch import new_folder
-    from framewright.streaming import jobs
-
-    events = [(0, 0, 1, "process_crash"), (1, 1, 1, "process_crash"), (2, 50, 1, "resolved"), (3, 60, 1, "process_crash"), (4, 61, 2, "python_failure"), (5, 2, 3, "process_crash")]
-    table = spark.createDataFrame(events, "event_id long, ts long, task long, event string")
-    path = new_folder(spark)
-    for k in range(3):
-        table.filter(f"event_id div 2 = {k}").coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = jobs.drained(jobs.quarantine_stream(stream, 2), new_folder(spark), new_folder(spark))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ledger.crash_quarantine(table, 2).collect()))
-
-
-def test_expired_leases_as_the_stream(spark):
-    from framewright.plans import queries
-
-    beats = bindings.heartbeats(spark, DIR)
-    last = beats.agg(F.max(F.col("ts").cast("timestamp").cast("double"))).first()[0]
-    closed = ledger.expired_leases(beats, queries.TTL).filter(F.col("last_beat").cast("timestamp").cast("double") + queries.TTL <= last - 3600)
-    assert sorted(map(tuple, closed.collect())) == sorted(map(tuple, queries.stream_lease_expiry(spark, DIR).select("task", "beats", "last_beat").collect()))
+def test_limit_of_a_process(spark):
+    base = [(i, "s", "chunk-000", "rgb", f"episode_{i:06d}") for i in range(12)]
+    df = spark.createDataFrame(base, "doc_id long, subset string, chunk string, input_camera string, episode string")
+    pending = df.withColumn("complete", F.col("doc_id") == 2).withColumn("quarantined", F.col("doc_id") == 4)
+    taken = lambda *a, **k: sorted((r["shard"], r["episode"][-2:]) for r in tasks.per_shard_limit(pending, 2, *a, **k).collect())
+    assert taken(4, per_process=2) == [(0, "00"), (0, "06"), (1, "01"), (1, "03")]
+    assert taken(1, per_process=2) == [(0, "00"), (1, "01")]
+    assert len(taken(4, per_process=2, dry_run=True)) == 8 and len(taken(None)) == 10 and len(taken(None, per_process=3)) == 6
+
+
+def test_no_specs_and_conflicts(spark):
+    schema = "episode_index long, camera string, frame_count long, tail_missing_count long, missing_frame_indices array<long>"
+    none = spark.createDataFrame([(1, "a", 5, 0, []), (2, "a", 6, 0, [])], schema)
+    assert [tuple(r) for r in trim.trim_spec_issues(none).collect()] == [(None, "no specs")]
+    with pytest.raises(ValueError, match="no specs"):
+        trim.checked_specs(none)
+    bad = spark.createDataFrame([(1, "a", 5, 1, [4]), (1, "b", 6, 1, [5]), (2, "a", 6, 0, []), (2, "b", 7, 1, [6])], schema)
+    assert [tuple(r) for r in trim.trim_spec_issues(bad).collect()] == [(1, "frame counts differ")]
+    with pytest.raises(ValueError, match="episode 1"):
+        trim.checked_specs(bad)
+    assert trim.checked_specs(bad.filter("camera = 'b'")).count() == 2
+
+
+def test_null_group_keys_have_ranks(spark):
+    rows = [("b", None, i) for i in range(5)] + [("a", "x", i) for i in range(4)] + [(None, "y", i) for i in range(3)]
+    df = spark.createDataFrame(rows, "g string, h string, k int")
+    got = {(r["g"], r["h"], r["k"]): r["n"] for r in grouped_rank(df, ["g", "h"], "k", "n").collect()}
+    want = sorted(rows, key=lambda r: ((r[0] is not None, r[0] or ""), (r[1] is not None, r[1] or ""), r[2]))
+    assert got == {r: i for i, r in enumerate(want)}
+
+
+def test_run_scope(spark):
+    import hashlib
+
+    want = hashlib.sha256("\0".join(["/data", "", "é", "1024"]).encode()).hexdigest()[:16]
+    assert one(spark, ledger.run_scope(F.lit("/data"), F.lit(None), F.lit("é"), F.lit(1024))) == want
