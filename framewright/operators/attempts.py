@@ -48,34 +48,46 @@ def attempt_states(events: DataFrame, most: int) -> DataFrame:
     return states.select("episode_index", status.alias("status"), attempt.alias("attempt"), *[end[c].alias(c) for c in kept], crashes.alias("crashes"))
 
 
+_OPEN: dict[str, object] = {}
+
+
+def task_log(log: str, name: str):
+    """The file that a task attempt writes its events to, open as long as its Python worker has no other; what is in it when the worker dies stays."""
+    if name not in _OPEN:
+        for other in list(_OPEN):
+            _OPEN.pop(other).close()
+        system, base = filesystem(log)
+        _OPEN[name] = system.open_output_stream(f"{base}/{name}.json", compression=None)
+    return _OPEN[name]
+
+
 def _attempts(key: str, fn: Callable, setup: Callable | None, log: str, most: int):
     run_id = uuid.uuid4().hex
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         from pyspark import TaskContext
 
-        system, base = filesystem(log)
+        from framewright.operators.attempts import task_log  # with the worker's own open file
+
         episode, before = int(pdf[key].iloc[0]), int(pdf["_started"].iloc[0])
         pdf = pdf.drop(columns="_started")
-        done = 0
-        # an episode's own file: what is in it when the worker dies stays
-        with system.open_output_stream(f"{base}/{run_id}-{TaskContext.get().taskAttemptId()}-{episode}.json", compression=None) as out:
-
-            def note(event: str, **more) -> None:
-                out.write((json.dumps({"episode_index": episode, "event": event, "time": time.time(), **more}) + "\n").encode())
-                out.flush()
-
-            for _ in range(most - before):
-                begun = time.monotonic()
-                note("started")
-                done += 1
-                try:
-                    state = worker_state(run_id, setup)
-                    count, value = fn(pdf) if setup is None else fn(state, pdf)
-                    note("complete", count=int(count), value=float(value), wall_seconds=time.monotonic() - begun)
-                    break
-                except Exception as e:  # noqa: BLE001  the user's function may raise anything
-                    note("failed", error_type=type(e).__name__, error=str(e), traceback=traceback.format_exc(), wall_seconds=time.monotonic() - begun)
+        out, done = task_log(log, f"{run_id}-{TaskContext.get().taskAttemptId()}"), 0
+
+        def note(event: str, **more) -> None:
+            out.write((json.dumps({"episode_index": episode, "event": event, "time": time.time(), **more}) + "\n").encode())
+            out.flush()
+
+        for _ in range(most - before):
+            begun = time.monotonic()
+            note("started")
+            done += 1
+            try:
+                state = worker_state(run_id, setup)
+                count, value = fn(pdf) if setup is None else fn(state, pdf)
+                note("complete", count=int(count), value=float(value), wall_seconds=time.monotonic() - begun)
+                break
+            except Exception as e:  # noqa: BLE001  the user's function may raise anything
+                note("failed", error_type=type(e).__name__, error=str(e), traceback=traceback.format_exc(), wall_seconds=time.monotonic() - begun)
         return pd.DataFrame({"attempts": [done]})
 
     return run

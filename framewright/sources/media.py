@@ -8,6 +8,7 @@ hold such files aren't opened.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,16 +25,16 @@ BATCH = 1000  # files
 
 
 class Piece(InputPartition):
-    """Directories whose trees a task lists, and files that the driver met above them: (path, bytes), below the root."""
+    """Directories whose trees a task lists, and files that the driver met above them: (path, bytes), below the root. Of the trees' files a task takes one slice."""
 
-    def __init__(self, folders: list[str], files: list[tuple[str, int]]):
-        self.folders, self.files = folders, files
+    def __init__(self, folders: list[str], files: list[tuple[str, int]], part: int = 0):
+        self.folders, self.files, self.part = folders, files, part
 
 
 class MediaReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root, self.ending = options["path"], options.get("ending", ".mp4")
-        self.header, self.splits = int(options.get("bytes", "12")), int(options.get("splits", "8"))
+        self.header, self.splits, self.slices = (int(options.get(k, default)) for k, default in (("bytes", "12"), ("splits", "8"), ("slices", "1")))
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -87,7 +88,7 @@ class MediaReader(DataSourceReader):
             files += [f for _, found in below for f in found]
         folders.sort()
         files.sort()
-        pieces = [Piece(folders[i::self.splits], files[i::self.splits]) for i in range(self.splits)]
+        pieces = [Piece(folders[i::self.splits], files[i::self.splits] if part == 0 else [], part) for i in range(self.splits) for part in range(self.slices)]
         return [p for p in pieces if p.folders or p.files] or [Piece([], [])]
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
@@ -115,6 +116,7 @@ class MediaReader(DataSourceReader):
         while folders:
             more, files = self.listed(system, base, folders.pop())
             folders += more
+            files = [f for f in files if zlib.crc32(f[0].encode()) % self.slices == partition.part]
             for first in range(0, len(files), BATCH):
                 take(files[first:first + BATCH])
                 if len(held) >= BATCH:
@@ -124,7 +126,8 @@ class MediaReader(DataSourceReader):
 
 
 class MediaHeaders(DataSource):
-    """Options: path, ending of the names, bytes to read of each file (0: none is opened, -1: all), splits."""
+    """Options: path, ending of the names, bytes to read of each file (0: none is opened, -1: all), splits, and slices: into how many tasks' shares the
+    files of one directory are cut (each lists it; for trees whose directories hold very many files)."""
 
     @classmethod
     def name(cls) -> str:
@@ -137,10 +140,10 @@ class MediaHeaders(DataSource):
         return MediaReader(self.options)
 
 
-def scan_headers(spark: SparkSession, root: str, ending: str = ".mp4", header: int = 12) -> DataFrame:
+def scan_headers(spark: SparkSession, root: str, ending: str = ".mp4", header: int = 12, slices: int = 1) -> DataFrame:
     """`SCHEMA` of the files below `root`, paths relative to it. subset to episode: of videos at their place in a dataset, else null."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(MediaHeaders)
     splits = 2 * spark.sparkContext.defaultParallelism
-    return spark.read.format("media_headers").option("ending", ending).option("bytes", header).option("splits", splits).load(root)
+    return spark.read.format("media_headers").option("ending", ending).option("bytes", header).option("splits", splits).option("slices", slices).load(root)

@@ -5,69 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from framewright.sources.scratch import ship
 from framewright.sources.versions import VersionedTable, retried
+from framewright.streaming import processors
+from framewright.streaming.processors import CrashFold, Leases
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+register_pickle_by_value(processors)  # the worker that sets a processor up gets no files of the application
 
-def _micros(times: pd.Series) -> list[int]:
-    return times.astype("datetime64[us]").astype("int64").tolist()
-
-
-class CrashFold(StatefulProcessor):
-    """The crash fold in event time. Events wait until the watermark has passed them, and are then folded in their order."""
-
-    def __init__(self, most: int):
-        self.most = most
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.fold = handle.getValueState("fold", StructType([StructField("attempts", LongType()), StructField("resolved", BooleanType())]))
-        self.waiting = handle.getListState("waiting", StructType([StructField("ts", LongType()), StructField("event_id", LongType()), StructField("event", StringType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for pdf in rows:
-            times = _micros(pdf["ts"])
-            for t, i, e in zip(times, pdf["event_id"].tolist(), pdf["event"].tolist()):
-                self.waiting.appendValue((t, i, e))
-            first = min([*times, *([] if first is None else [first])])
-        if first is not None:
-            self.handle.registerTimer(first // 1000 + 1)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(tuple(w) for w in self.waiting.get())
-        ready, later = [w for w in waiting if w[0] <= passed], [w for w in waiting if w[0] > passed]
-        if not ready:
-            return
-        attempts, resolved = self.fold.get() if self.fold.exists() else (0, False)
-        out = []
-        for _, event_id, event in ready:
-            if event == "process_crash":
-                attempts = 1 if resolved else attempts + 1
-                status = "quarantined" if attempts >= self.most else "retrying"
-            else:
-                status = "resolved" if event == "resolved" else "quarantined"
-            resolved = event == "resolved"
-            out.append((int(key[0]), int(event_id), event, int(attempts), status))
-        self.fold.update((int(attempts), bool(resolved)))
-        self.waiting.clear()
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000 + 1)
-        yield pd.DataFrame(out, columns=["task", "event_id", "event", "attempts", "status"])
-
-    def close(self) -> None:
-        pass
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def quarantine_stream(events: DataFrame, most: int, delay: str = "1 hour") -> DataFrame:
@@ -76,59 +24,13 @@ def quarantine_stream(events: DataFrame, most: int, delay: str = "1 hour") -> Da
     An event is given out once the watermark (the latest event's time less `delay`) has passed it; one that comes later than that is dropped.
     What waits for a task are its events of the last `delay`.
     """
-    ship(events.sparkSession)
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     return timed.groupBy("task").transformWithStateInPandas(CrashFold(most), "task long, event_id long, event string, attempts long, status string", "Append", "EventTime")
 
 
-class Leases(StatefulProcessor):
-    """Open leases of a task: (first beat, last beat, beats), each with a timer at its last beat and the time to live."""
-
-    def __init__(self, ttl_micros: int):
-        self.ttl = ttl_micros
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", StructType([StructField(c, LongType()) for c in ("first", "last", "beats")]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        spans = [tuple(s) for s in self.open.get()]
-        spans += [(t, t, 1) for pdf in rows for t in _micros(pdf["ts"])]
-        merged: list[tuple] = []
-        for first, last, beats in sorted(spans):
-            if merged and first - merged[-1][1] <= self.ttl:  # a beat right at the end of its lease renews it
-                a, b, n = merged[-1]
-                merged[-1] = (a, max(b, last), n + beats)
-            else:
-                merged.append((first, last, beats))
-        self.open.put(merged)
-        for _, last, _ in merged:
-            self.handle.registerTimer(self._end(last))
-        return iter(())
-
-    def _end(self, last: int) -> int:
-        """The first millisecond at which the last beat is older than the time to live."""
-        return (last + self.ttl) // 1000 + 1
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        spans = [tuple(s) for s in self.open.get()]
-        out = [s for s in spans if self._end(s[1]) <= now]
-        if out:
-            self.open.clear()
-            left = [s for s in spans if self._end(s[1]) > now]
-            if left:
-                self.open.put(left)
-            yield pd.DataFrame({"task": [int(key[0])] * len(out), "beats": [s[2] for s in out], "last_beat": pd.to_datetime([s[1] for s in out], unit="us")})
-
-    def close(self) -> None:
-        pass
-
-
 def lease_stream(beats: DataFrame, ttl_seconds: int, delay: str = "1 hour") -> DataFrame:
     """(task, beats, last_beat) of every lease that expires: its last beat is strictly older than the time to live. A later beat begins a new
     lease. A time to live of 0 is none: no lease expires."""
-    ship(beats.sparkSession)
     timed = beats.withColumn("ts", F.col("ts").cast("timestamp"))
     if ttl_seconds == 0:
         timed = timed.filter(F.lit(False))

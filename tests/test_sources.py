@@ -71,6 +71,13 @@ def test_a_large_file_costs_one_small_read(spark, tmp_path):
     assert media.scan_headers(spark, f"file://{tmp_path}").filter(files.has_mp4_signature(F.col("header"))).count() == 1
 
 
+def test_directories_in_slices(spark, tree):
+    every = media.MediaReader({"path": f"file://{tree}", "slices": "3", "splits": "2"})
+    pieces = every.partitions()
+    rows = [[p for b in every.read(piece) for p in b.column("path").to_pylist()] for piece in pieces]
+    assert len(pieces) == 6 and sum(bool(r) for r in rows) > 3 and len(sum(rows, [])) == len(set(sum(rows, []))) == 19
+
+
 def test_an_empty_tree(spark, tmp_path):
     assert media.scan_headers(spark, f"file://{tmp_path}").collect() == []
 
