@@ -13,7 +13,7 @@ Nothing is broadcast but the axes (256 x 256 at most). A task holds the zone map
 depends on the data: zones of vectors in random directions overlap, and then an anchor's task reads most blocks, once for all its anchors.
 
 Defined cases: rows with a null id or label, with a vector that is null, empty or has null or non-finite components, or a component
-whose whole number passes 2^62 take no part (a score that no long holds is an error); vectors meet those of their own length only; rows that share an id count as one, the first by label and vector;
+so large that scores of such vectors could pass 2^62 (of 64 dimensions: from 1,048,576 on) take no part; vectors meet those of their own length only; rows that share an id count as one, the first by label and vector;
 ties go to the smaller id; an anchor without positives, and a window without negatives, have no rows; empty tables give empty results; other columns are ignored.
 """
 
@@ -35,7 +35,7 @@ BLOCK, FILE_BLOCKS = 512, 32
 ANCHORS = 1024  # of one task at once
 POSITIVES = NEGATIVES = 5
 LOW, HIGH = 80, 100  # percent of the positive's score
-SCALE, LARGEST = 256, 2.0**62
+SCALE, LARGEST = 256, 2.0**62  # of a vector's product with itself
 EXACT = float(1 << 53)
 FILES = "path string, label long, size int, low array<long>, high array<long>"
 RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
@@ -72,7 +72,8 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 def whole_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, label, size, v): the rows that take part, with their labels changed and components as whole numbers."""
     v = F.col("embedding")
-    fits = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * SCALE) < LARGEST)), F.lit(False)) & (F.size(v) > 0)
+    largest = F.sqrt(F.lit(LARGEST) / F.size(v))  # so that any score fits in a long
+    fits = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * SCALE) < largest)), F.lit(False)) & (F.size(v) > 0)
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = vectors.select("vec_id", F.col("label").cast("long").alias("label"), v.cast("array<double>").alias("embedding"))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).filter(fits)

@@ -10,8 +10,8 @@ so that no rounding adds up). A window belongs to the narrowest class that holds
 is a secret where its entropy reaches the threshold of that class. Plain words, plain numbers and CamelCase have classes that
 no window of theirs reaches. Windows that overlap make one span.
 
-The allow-list suppresses what is known to be none: UUIDs, integrity digests, alphabets written out, placeholders, and paths of short
-segments. It never removes a match of a pattern; a span inside such a match isn't added again.
+The allow-list suppresses what is known to be none: UUIDs, integrity digests, alphabets written out, placeholders, and paths of
+words. It never removes a match of a pattern; a span inside such a match isn't added again.
 
 Defined cases: a null text is empty, without spans; null and repeated ids are carried as they are; ties of starts are ordered by
 kind; a text of any length is scanned whole, in memory that grows with the text and its spans; other columns are ignored.
@@ -45,6 +45,7 @@ ALLOWED = (
     r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # UUID
     r"sha(?:1|256|384|512)-.*",  # integrity digest
     r".*(?:example|placeholder|changeme|xxxxx|00000|12345678).*",
+    r"/?(?:[a-z]++[0-9]{0,3}+(?:[_-][a-z0-9]{1,12}+)*+/)+[a-z]++[0-9]{0,3}+(?:[_-][a-z0-9]{1,12}+)*+/?",  # path of words; possessive, so without backtracking
 )
 _ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
 SCALE = 1 << 32
@@ -122,7 +123,7 @@ def secrets_of(text: str, allowed: re.Pattern) -> tuple[dict[str, list[tuple[int
     at, reach = 0, -1  # the base spans that begin before a span's end, and how far they reach
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if run.isalpha() or run.isdigit() or allowed.fullmatch(run) or ("/" in run and max(map(len, run.split("/"))) < MIN_RUN // 2):
+        if run.isalpha() or run.isdigit() or allowed.fullmatch(run):
             continue
         for start, end, name in entropy_spans(run):
             if _written_out(run[start:end]):

@@ -232,7 +232,7 @@ VECTORS = "vec_id long, embedding array<float>, label int, size int, v string, p
 def plain_negatives(rows, every=100):
     usable = {}
     for i, v, label in rows:
-        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) and abs(256 * x) < math.sqrt(2.0**62 / len(v)) for x in v):
             one = ((label + 1) % 10 if i % 7 == 0 else label, tuple(math.floor(256 * float(np.float32(x))) for x in v))
             usable[i] = min(usable.get(i, one), one)
     out = set()
@@ -262,7 +262,7 @@ def test_negatives_as_brute_force(spark, monkeypatch, seed, every, block):
     rows = vectors_of(seed)
     rows += [(i + 1000, v, label) for i, v, label in rows[:60]]  # ties
     rows += [rows[20], (20, rows[3][1], 1), (2000, None, 1), (2040, [], 1), (2060, [1.0, None] + [0.0] * 4, 2), (2080, [float("nan")] * 6, 2), (2100, [float("inf")] * 6, 2), (2120, [1.0] * 6, None), (None, [1.0] * 6, 1)]
-    rows += [(2200, [0.0] * 6, 1), (2220, [1.0, 2.0], 1), (2221, [1.0, 2.5], 1), (2222, [0.9, 2.0], 2), (2300, [1e7] * 6, 3), (2301, [2e7] * 6, 3), (2302, [1.9e7] * 6, 2)]
+    rows += [(2200, [0.0] * 6, 1), (2220, [1.0, 2.0], 1), (2221, [1.0, 2.5], 1), (2222, [0.9, 2.0], 2), (2300, [2e6] * 6, 3), (2301, [3e6] * 6, 3), (2302, [2.9e6] * 6, 2), (2303, [1e7] * 6, 2)]
     df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], VECTORS).repartition(5)
     got = [tuple(r) for r in negatives.hard_negatives(df, every).collect()]
     assert len(got) == len(set(got)) and set(got) == plain_negatives(rows, every)
