@@ -1,7 +1,7 @@
 """TAR archives as a data source to write to.
 
 `rows.write.format("tar_archives")` takes rows (archive, member, payload), an archive's rows in one partition and in order, and streams
-them: a task holds one payload. Archives get their names when the whole job commits; a task that fails, or a job that
+them: a task holds one payload. Archives get their names when the whole job commits (the driver gets the names, two for each archive, and renames); a task that fails, or a job that
 is given up, leaves none.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import tarfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -21,6 +22,9 @@ from framewright.sources.media import scan_headers
 from framewright.sources.scratch import filesystem, new_folder, ship
 
 
+RENAMES = 32  # at once, when the job commits
+
+
 @dataclass
 class Written(WriterCommitMessage):
     archives: list[tuple[str, str]]  # (part, name), below the folder
@@ -79,8 +83,9 @@ class TarWriter(DataSourceArrowWriter):
         if len({name for _, name in archives}) < len(archives):
             self.abort(messages)
             raise ValueError("an archive's rows lie in several partitions")
-        for part, name in archives:
-            system.move(f"{base}/{part}", f"{base}/{name}")
+        with ThreadPoolExecutor(RENAMES) as pool:
+            for _ in pool.map(lambda a: system.move(f"{base}/{a[0]}", f"{base}/{a[1]}"), archives):
+                pass
 
     def abort(self, messages: list[Written | None]) -> None:
         system, base = filesystem(self.folder)
