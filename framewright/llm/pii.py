@@ -162,8 +162,10 @@ def _hexadecimal(entity: Column, digest: Column) -> Column:
     """Keyed digits of as many blocks as it takes; colons stay, and capitals where there are no others (or where they are)."""
     block = lambda i: F.sha2(F.concat(digest, F.floor(i / 64).cast("string")), 256)
     digit = lambda c, i: F.when(c == ":", c).otherwise(F.substring(block(i), (i % 64 + 1).cast("int"), F.lit(1)))
-    upper = lambda c: F.when(entity.rlike("[a-f]"), c.rlike("[A-F]")).otherwise(entity.rlike("[A-F]"))
-    return F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(upper(c), F.upper(digit(c, i))).otherwise(digit(c, i))), "")
+    once = F.struct(entity.rlike("[a-f]").alias("lower"), entity.rlike("[A-F]").alias("upper"))  # of the whole entity, not for each of its digits
+    is_upper = lambda c, of: F.when(of["lower"], c.rlike("[A-F]")).otherwise(of["upper"])
+    made = lambda of: F.transform(F.split(entity, ""), lambda c, i: F.when(is_upper(c, of), F.upper(digit(c, i))).otherwise(digit(c, i)))
+    return F.array_join(F.transform(F.array(once), made)[0], "")
 
 
 def _word(part: Column, kind: Column, digest: Column, attempt: Column) -> Column:
