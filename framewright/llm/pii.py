@@ -15,7 +15,7 @@ that fail get the next attempt of the hash, until none fails; only their attempt
 are joined back to the documents that hold them. So that this always ends, surrogates of
 names, emails and numbers grow with the attempt (which few entities reach). IPv4 addresses
 can't grow: there are 254^4 surrogates, enough while the texts hold less than about half of all addresses; beyond, an error ends the job.
-A local number keeps its leading 0, a card the digit of its network.
+A local number keeps its leading 0, a card the six digits of its issuer.
 
 Bounds: a domain has 127 labels at most, a name eight initials before a word; what goes on behind them stays.
 
@@ -221,7 +221,7 @@ def _surrogate(entity: Column, kind: Column, digest: Column, attempt: Column) ->
     none, rest = F.lit(""), lambda front: F.substring(entity, F.length(front) + 1, F.length(entity))
     front = (
         F.when(kind == "phone", F.regexp_extract(entity, r"^\+[0-9]{1,3}(?=[ .(-])", 0))
-        .when(kind == "local", F.regexp_extract(entity, r"^\(?0", 0)).when(kind == "card", F.substring(entity, 1, 1))
+        .when(kind == "local", F.regexp_extract(entity, r"^\(?0", 0)).when(kind == "card", F.regexp_extract(entity, r"^(?:[0-9][ -]?){5}[0-9]", 0))
         .when(kind == "key", F.regexp_extract(entity, r"^(?:AKIA|ASIA|gh[pousr]_|(?:sk|pk|rk)[-_](?:live_|test_)?|xox[abprs]-|AIza)", 0)).otherwise(none)
     )
     more = lambda letter, each: F.repeat(F.lit(letter), F.floor(attempt / each).cast("int"))
