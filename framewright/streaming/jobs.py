@@ -72,14 +72,16 @@ def merge_counts(rows: DataFrame, batch: int, table: VersionedTable, keys: list[
 
 
 def count_outputs(arrivals: DataFrame, table: VersionedTable, checkpoint: str, keys: list[str], delay: str = "1 hour", job: str = "counts") -> None:
-    """Counts what has arrived of a stream into `table`, repeated arrivals once, and ends; the next call goes on where this one ended."""
+    """Counts what has arrived of a stream into `table`, repeated arrivals once, and ends; the next call goes on where this one ended.
+
+    Arrivals are remembered in the session's state store: for many within `delay`, set RocksDB.
+    """
     stream = new_outputs_stream(arrivals, delay).withColumn("day", F.date_trunc("day", "ts"))
-    with _rocksdb(arrivals.sparkSession):
-        query = (
-            stream.writeStream.foreachBatch(lambda rows, batch: merge_counts(rows, batch, table, keys, job)).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
+    query = (
+        stream.writeStream.foreachBatch(lambda rows, batch: merge_counts(rows, batch, table, keys, job)).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
 
 
 @contextmanager
