@@ -6,11 +6,11 @@ bins are buckets. Documents with equal shingle sets are one class from the start
 
 Candidates are stars: first each bucket's members with its smallest member; then, once
 the links found so far have made components, each member outside its bucket's largest
-component with the members it isn't connected to, in buckets where at most `FEW` members are outside: so a member of the largest
-component has at most `FEW` pairs, and a bucket `FEW` times its members at most.
-In other buckets (a template gives many documents a similarity below the threshold) members meet only where they share one of their
-rarest shingles: two sets that are similar enough share one of the first few in any order, and in the order of frequency among these members those are not the template's.
-So no link between components is missed, and a group of copies or of a template's documents costs edges in proportion to its size.
+component with the members it isn't connected to, where these pairs are no more than the bucket's members have shingles.
+In other buckets (a template gives many documents a similarity below the threshold) that would grow with the square of the bucket, and
+members meet only where they share one of their rarest shingles: two sets that are similar enough share one of the first few in any order, and
+in the order of frequency among these members (shingles of one component first) those are not the template's.
+So no link between components is missed, and a group of copies or of a template's documents costs pairs in proportion to its shingles.
 A pair becomes a candidate only if its set sizes and
 parity bitmaps allow the similarity: a bitmap holds the parity of the number of shingles in each of 512
 bins, and two bitmaps differ in no more bits than the sets differ in shingles, so this drops no link.
@@ -38,7 +38,6 @@ from framewright.llm import common, graph
 
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
 PARITY_WORDS = 8  # of 64 bins
-FEW = 1000  # members outside a bucket's largest component that still meet all others
 BATCH_BYTES = 2_000_000
 LONG_WORD = 256  # bytes
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -226,41 +225,48 @@ def star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     else:
         known = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     known = common.checkpoint(known)
-    inside = known.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
-    largest = inside.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"), (F.sum("size") - F.max("size")).alias("outside"))
-    open_ = common.checkpoint(known.join(largest.filter("comps > 1"), "bucket"))
-    second = confirm_links(few_pairs(open_, percent), sets, percent).filter("linked").select("a", "b")
-    third = confirm_links(rare_pairs(open_, sets, percent), sets, percent).filter("linked").select("a", "b")
+    inside = known.groupBy("bucket", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    largest = inside.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"), (F.sum("size") - F.max("size")).alias("outside"), F.sum("size").alias("members"), F.sum("shingles").alias("shingles"))
+    cheap = F.col("outside") * F.col("members") <= F.col("shingles")
+    open_ = common.checkpoint(known.join(largest.filter("comps > 1").withColumn("cheap", cheap).drop("comps", "outside", "members", "shingles"), "bucket"))
+    second = confirm_links(outside_pairs(open_.filter("cheap"), percent), sets, percent).filter("linked").select("a", "b")
+    third = confirm_links(rare_pairs(open_.filter("not cheap"), sets, percent), sets, percent).filter("linked").select("a", "b")
     return first.union(second).union(third)
 
 
-def few_pairs(open_: DataFrame, percent: int) -> DataFrame:
-    """In buckets with few members outside the largest component: those with all members of other components."""
-    few = open_.filter(F.col("outside") <= FEW)
-    x, y = few.filter("comp <> largest").alias("x"), few.alias("y")
+def outside_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """In each bucket: the members outside the largest component with all members of other components."""
+    x, y = open_.filter("comp <> largest").alias("x"), open_.alias("y")
     return _pairs("x", "y", x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent)))
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for node, raw in zip(batch.column(0), batch.column(1)):
+        for node, comp, raw in zip(*batch.columns):
             own = np.frombuffer(raw.as_buffer(), "<i8")
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node.as_py())), pa.array(own)], ["node", "token"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node.as_py())), pa.array(np.full(len(own), comp.as_py())), pa.array(own)], ["node", "comp", "token"])
 
 
 def rare_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """In the other buckets: members that share one of their rarest shingles.
+    """In buckets with many pairs: members that share one of their rarest shingles.
 
     Of sets of n >= m shingles and the similarity t, one of the first n - t n + 1 of the larger is one of the first
-    m - 2 t m / (1 + t) + 1 of the smaller, in any order of all shingles.
+    m - 2 t m / (1 + t) + 1 of the smaller, in any order of all shingles. Here those of one component, which give no pair, come first;
+    then the others by frequency. So a set's places behind the first kind follow from its size, and only rows of the second are joined.
     """
-    members = common.checkpoint(open_.filter(F.col("outside") > FEW).select("node", "n", "comp", *PARITY).distinct())
-    tokens = sets.join(members.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_explode, "node long, token long")
-    often = common.checkpoint(tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "token")) - 1
-    ranked = tokens.join(often, "token", "left").withColumn("place", place).filter("often is not null")
+    members = common.checkpoint(open_.select("node", "n", "comp", *PARITY).distinct())
+    if members.isEmpty():
+        return members.selectExpr("node as a", "node as b")
+    tokens = sets.join(members.select("node", "comp"), "node").select("node", "comp", "shingles").mapInArrow(_explode, "node long, comp long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    often = common.checkpoint(often.filter("low <> high").select("token", "often"))
+    of_node = Window.partitionBy("node")
+    ranked = tokens.select("node", "token").join(often, "token").select(
+        "node", "token", F.row_number().over(of_node.orderBy("often", "token")).alias("rank"), F.count("*").over(of_node).alias("ranks")
+    )
     n, place = F.col("n"), F.col("place")
-    first = common.checkpoint(ranked.join(members, "node").filter(place < n - F.ceil(percent * n / 100) + 1))
+    ranked = ranked.join(members, "node").withColumn("place", n - F.col("ranks") + F.col("rank") - 1).drop("rank", "ranks")
+    first = common.checkpoint(ranked.filter(place < n - F.ceil(percent * n / 100) + 1))
     x, y = first.alias("x"), first.filter(place < n - F.ceil(2 * percent * n / (100 + percent)) + 1).alias("y")
     larger = F.struct("x.n", "x.node") > F.struct("y.n", "y.node")
     return _pairs("x", "y", x.join(y, (F.col("x.token") == F.col("y.token")) & larger & (F.col("x.comp") != F.col("y.comp")) & may_link("x", "y", percent)))

@@ -242,10 +242,57 @@ def test_template_family_costs_few_pairs(spark, docs, monkeypatch, apart, linked
         seen.append(pairs.count())
         return plain(pairs, sets, percent)
 
-    monkeypatch.setattr(minhash, "FEW", 16)
     monkeypatch.setattr(minhash, "confirm_links", counted)
     monkeypatch.setattr(minhash, "may_link", lambda x, y, percent: F.lit(True))  # count what meets, not what sizes and parities leave
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows), percent=90).collect()}
     assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
     print("pairs", seen)
     assert sum(seen) < minhash.BANDS * len(rows) and sum(seen[1:]) < len(rows)  # all pairs: 720,000
+
+
+def test_copies_and_outsiders_of_one_bucket_cost_linear_pairs(spark, docs, monkeypatch):
+    """5,000 near copies and 900 documents of their template at a similarity of 0.69 to them, one in ten of which has a near copy."""
+    rng, rows = random.Random(12), []
+    base = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+    for k in range(5000):
+        rows.append((k, " ".join(base[:-1] + [f"y{k}"])))
+    for k in range(900):
+        words = list(base)
+        for at in range(7, 7 + 15 * 4, 15):
+            words[at] = f"x{k}_{at}"
+        rows.append((10000 + k, " ".join(words)))
+        if k % 10 == 0:
+            rows.append((20000 + k, " ".join(words[:-1])))
+    seen, plain = [], minhash.confirm_links
+
+    def counted(pairs, sets, percent):
+        seen.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "confirm_links", counted)
+    monkeypatch.setattr(minhash, "may_link", lambda x, y, percent: F.lit(True))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows), percent=90).collect()}
+    assert got == {i: 0 if i < 5000 else i - 10000 if i >= 20000 else i for i, _ in rows}
+    print("pairs", seen)
+    assert sum(seen[1:]) < 100 * len(rows)  # no more than shingles; all pairs: 4,500,000
+
+
+def test_rare_pairs_find_all_similar_sets(spark):
+    """Every pair of different components at the threshold or above, against all pairs."""
+    rng, sets = random.Random(13), {}
+    for k in range(300):
+        family = random.Random(k % 5)
+        core = [family.randrange(1 << 40) for _ in range(rng.choice([3, 10, 40]))]
+        sets[k] = set(core) | {rng.randrange(1 << 40) for _ in range(rng.randrange(6))}
+        if k > 5 and rng.random() < 0.3:
+            sets[k] = set(rng.sample(sorted(sets[k - 5]), max(1, len(sets[k - 5]) - rng.randrange(3))))
+    comp = {k: k - k % 7 for k in sets}
+    facts = ", ".join(f"{p} long" for p in minhash.PARITY)
+    rows = [(k, len(s), comp[k], *minhash.parities(np.array(sorted(s), np.uint64)).tolist()) for k, s in sets.items()]
+    open_ = spark.createDataFrame(rows, f"node long, n long, comp long, {facts}")
+    held = spark.createDataFrame([(k, np.array(sorted(s), np.uint64).tobytes()) for k, s in sets.items()], "node long, shingles binary")
+    for percent in (80, 85, 100):
+        got = {(r["a"], r["b"]) for r in minhash.rare_pairs(open_, held, percent).collect()}
+        want = {(a, b) for a in sets for b in sets if a < b and comp[a] != comp[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        assert want and want <= got
+    assert minhash.rare_pairs(open_.limit(0), held, 85).count() == 0
