@@ -11,7 +11,9 @@ equal offsets; windows in a row with one anchor form a run, about one for 15 byt
    several blocks have, and tells those blocks. An anchor that many blocks have is called hot.
 3. A block sends the runs of repeated anchors with their bytes, equal runs once;
    what repeats inside the block is settled there. Runs of hot anchors go to parts of a bucket first, which settle
-   equal runs among some blocks each, so that a passage of a third of all documents never meets in one task.
+   equal runs among some blocks each, so that a passage of a third of all documents never meets in one task. What is left
+   goes to buckets of all hot anchors by 36 bytes, the anchor and those that follow or precede it: so one short
+   phrase in different contexts doesn't meet in one task either (one of 36 bytes or more in different contexts does).
 4. A bucket settles equal runs, drops windows whose hash no other document's window has, and sorts the others,
    suffixes cut at 50 bytes, by merge sort; two suffixes are
    compared by their longest common prefix, which binary search finds on prefix
@@ -47,6 +49,7 @@ from framewright.llm import common
 
 WIDTH, GRAM = 50, 22
 REACH = WIDTH - GRAM + 1  # grams in a window
+NEAR = (REACH - 1) // 2  # bytes that every window has behind its anchor, or in front of it
 BLOCK_BYTES = (1_500_000, 16_000_000)  # at least and at most; between them, two blocks for three shuffle partitions
 SLICE_BYTES = 1_500_000  # of a block that are hashed at a time
 ANCHOR_BYTES = 32_000_000  # of text whose anchors one bucket compares
@@ -454,16 +457,36 @@ class SentRuns:
         for i, own in _split(self.source[record]):
             yield {"bucket": -1, "part": self.names[i], "block": self.names[i], "payload": pack_spans(*merged(begin[own], end[own]))}
 
+    def by_context(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Cuts runs in two, by the side of the anchor on which all windows have `NEAR` bytes more: (run, windows before, windows, hash of anchor and these bytes)."""
+        # a window has its anchor `shift` less its number in: the first ones have bytes in front of it
+        first = np.clip(self.shift[own] - NEAR, 0, self.count[own])
+        for skip, count, at in ((np.zeros_like(first), first, self.shift[own] - NEAR), (first, self.count[own] - first, self.shift[own])):
+            some = np.flatnonzero(count)
+            runs, context = own[some], np.zeros(len(some), np.uint64)
+            for i, j in _portions(np.arange(len(runs)), self.length[runs], SLICE_BYTES):
+                base = np.cumsum(self.length[runs[i:j]]) - self.length[runs[i:j]]
+                hashes = PrefixHashes(_gathered(self.data, self.base[runs[i:j]], self.length[runs[i:j]]))
+                context[i:j] = hashes.of(base + at[some[i:j]], GRAM + NEAR)
+            yield runs, skip[some], count[some], context
+
     def settled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Equal runs: all but those of the smallest id are lost whole."""
         lost = np.flatnonzero(self.covered)
         return lost, self.start[lost], self.start[lost] + self.length[lost]
 
 
-def _sort_runs(rows: pa.Table) -> pa.Table:
+def _sort_runs(buckets: int):
+    def run(rows: pa.Table) -> pa.Table:
+        return _sorted_runs(rows, buckets)
+
+    return run
+
+
+def _sorted_runs(rows: pa.Table, buckets: int) -> pa.Table:
     """Of one bucket: for each block, the spans of windows that a document with a smaller id has too.
 
-    Of a part of a bucket of hot anchors: only equal runs are settled, and what is left goes on. Spans pass.
+    Of a part of a bucket of hot anchors: only equal runs are settled, and what is left goes on, dealt by context. Spans pass.
     """
     bucket, part = rows.column("bucket")[0].as_py(), rows.column("part")[0].as_py()
     if bucket < 0:
@@ -471,11 +494,12 @@ def _sort_runs(rows: pa.Table) -> pa.Table:
     runs = SentRuns(rows)
     if part:
         out = list(runs.spans(*runs.settled()))
-        left = np.flatnonzero(~runs.covered)
-        for i, places in _split(runs.source[left]):
-            own = left[places]
-            payload = pack_runs(runs.start[own], runs.count[own], runs.shift[own], runs.owner[own], _gathered(runs.data, runs.base[own], runs.length[own]))
-            out.append({"bucket": bucket, "part": 0, "block": runs.names[i], "payload": payload})
+        for own, skip, count, context in runs.by_context(np.flatnonzero(~runs.covered)):
+            goes = bucket_of(context, buckets)
+            for place, places in _split(runs.source[own] * buckets + goes):
+                i, n, k = own[places], count[places], skip[places]
+                payload = pack_runs(runs.start[i] + k, n, runs.shift[i] - k, runs.owner[i], _gathered(runs.data, runs.base[i] + k, n + WIDTH - 1))
+                out.append({"bucket": buckets + place % buckets, "part": 0, "block": runs.names[place // buckets], "payload": payload})
         return _table(out, SENT)
     spans = [runs.settled()]
     # runs whose anchor belongs to one document only can't match
@@ -596,7 +620,8 @@ def remove_repeats(
     repeated = anchors.groupBy("bucket").applyInArrow(_repeated(hot_blocks), ANCHORS)
     plain = blocks.selectExpr("cast(null as long) as bucket", "block", "cast(null as binary) as keys", "cast(null as binary) as hot")
     sent = plain.unionByName(repeated).repartition(tasks, "block").groupBy("block").applyInArrow(_send_runs(folder, anchor_buckets, buckets, parts), SENT)
-    spans = sent.groupBy("bucket", "part").applyInArrow(_sort_runs, SENT).groupBy("bucket", "part").applyInArrow(_sort_runs, SENT)
+    sort = _sort_runs(buckets)
+    spans = sent.groupBy("bucket", "part").applyInArrow(sort, SENT).groupBy("bucket", "part").applyInArrow(sort, SENT)
     told = blocks.selectExpr("block", "cast(null as binary) as payload").unionByName(spans.select("block", "payload"))
     schema = RESULT + "".join(f", {c} string" for c in ("kept_text", *carry)) if carry is not None else RESULT
     return told.repartition(tasks, "block").groupBy("block").applyInArrow(_apply(folder, carry, schema), schema)

@@ -296,3 +296,33 @@ def test_rare_pairs_find_all_similar_sets(spark):
         want = {(a, b) for a in sets for b in sets if a < b and comp[a] != comp[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
         assert want and want <= got
     assert minhash.rare_pairs(open_.limit(0), held, 85).count() == 0
+
+
+def test_common_phrase_in_different_contexts_is_dealt_out(docs, monkeypatch, tmp_path):
+    """3,000 texts share 22 bytes and, but for a few, nothing else: no task gets the runs of all."""
+    rng = random.Random(14)
+    piece = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    phrase, some = piece(22), [piece(30) for _ in range(5)]
+    rows = [(k, piece(40) + phrase + piece(40)) for k in range(3000)]
+    rows += [(4000 + k, piece(9) + rng.choice(some) + phrase + rng.choice(some) + piece(9)) for k in range(60)]
+    rows += [(5000 + k, piece(9) + rows[7 * k][1][k:k + 55] + piece(9)) for k in range(40)]
+    plain, folder = suffix._sort_runs, str(tmp_path)
+
+    def spied(buckets):
+        sort = plain(buckets)
+
+        def run(rows):
+            bucket, part = rows.column("bucket")[0].as_py(), rows.column("part")[0].as_py()
+            if bucket >= buckets:
+                with open(f"{folder}/{min(part, 1)}-{bucket}-{part}", "w") as out:
+                    out.write(str(sum(len(p) for p in rows.column("payload").to_pylist())))
+            return sort(rows)
+
+        return run
+
+    monkeypatch.setattr(suffix, "_sort_runs", spied)
+    got = sorted(map(tuple, suffix.remove_repeats(docs(rows), block_bytes=20_000, bucket_bytes=20_000, hot_blocks=2).collect()))
+    assert got == sorted(passages(rows))
+    sizes = [[int(f.read_text()) for f in tmp_path.glob(f"{k}-*")] for k in (1, 0)]
+    print("bytes of parts, bytes of contexts", sum(sizes[0]), len(sizes[0]), sum(sizes[1]), max(sizes[1]), len(sizes[1]))
+    assert sum(sizes[0]) > 10_000 and max(sizes[1]) < 0.2 * sum(sizes[1])
