@@ -1,5 +1,6 @@
 """Queries that must do their whole job."""
 
+from framewright.operators import tasks
 from framewright.plans.queries import QUERIES
 from framewright.sources import bindings
 
@@ -10,3 +11,10 @@ def test_signatures_of_all_cameras(spark):
     paths = {r["path"] for r in QUERIES["media_signature"](spark, DIR).collect()}
     assert paths == {r["path"] for r in bindings.tree(spark, DIR).filter("path like '%.mp4'").collect()}
     assert {p.split("/")[-2] for p in paths} >= {f"observation.images.rgb_0{k}" for k in (1, 2, 3, 4)}
+
+
+def test_a_shard_gives_all_tasks_below_its_limit(spark):
+    status = QUERIES["completion_status"](spark, "/root/testdata/sf0.01")
+    waiting = {r["shard"]: r["count"] for r in tasks.stable_shards(status, 4).filter("not complete and not quarantined").groupBy("shard").count().collect()}
+    got = {r["shard"]: r["count"] for r in QUERIES["per_shard_limit"](spark, "/root/testdata/sf0.01").groupBy("shard").count().collect()}
+    assert got == {shard: min(n, 50) for shard, n in waiting.items()} and max(got.values()) == 50
