@@ -18,3 +18,9 @@ def test_a_shard_gives_all_tasks_below_its_limit(spark):
     waiting = {r["shard"]: r["count"] for r in tasks.stable_shards(status, 4).filter("not complete and not quarantined").groupBy("shard").count().collect()}
     got = {r["shard"]: r["count"] for r in QUERIES["per_shard_limit"](spark, "/root/testdata/sf0.01").groupBy("shard").count().collect()}
     assert got == {shard: min(n, 50) for shard, n in waiting.items()} and max(got.values()) == 50
+
+
+def test_a_drained_log_gives_all_its_events(spark):
+    streamed = QUERIES["stream_quarantine"](spark, DIR).collect()
+    assert sorted(map(tuple, streamed)) == sorted(map(tuple, QUERIES["crash_quarantine"](spark, DIR).collect()))
+    assert len(streamed) == bindings.ledger(spark, DIR).count()
