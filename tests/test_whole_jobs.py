@@ -1,8 +1,12 @@
 """Queries that must do their whole job."""
 
-from framewright.operators import tasks
+from pyspark.sql import functions as F
+
+from framewright.operators import ledger, tasks
 from framewright.plans.queries import QUERIES
 from framewright.sources import bindings
+from framewright.sources.scratch import new_folder
+from framewright.streaming import jobs
 
 DIR = "/root/testdata/sf0.001"
 
@@ -24,3 +28,18 @@ def test_a_drained_log_gives_all_its_events(spark):
     streamed = QUERIES["stream_quarantine"](spark, DIR).collect()
     assert sorted(map(tuple, streamed)) == sorted(map(tuple, QUERIES["crash_quarantine"](spark, DIR).collect()))
     assert len(streamed) == bindings.ledger(spark, DIR).count()
+
+
+def test_leases_by_sessions_to_the_microsecond(spark, capfd):
+    """Beats a microsecond within, at and behind the end of a lease, leases that end with the watermark and a millisecond before; no Python worker has a call for each beat."""
+    beats = [(task, at) for task in range(3) for at in (0, 900_000_000 + task - 1)] + [(3, 9_000_000_000), (4, 7_500_000_000), (5, 7_499_999_000)]
+    table = spark.createDataFrame([(t, us, i) for i, (t, us) in enumerate(beats)], "task long, us long, beat_id long").select("task", F.timestamp_micros(F.col("us") + 10**15).alias("ts"), "beat_id")
+    path = new_folder(spark)
+    table.coalesce(1).write.parquet(path)
+    stream = jobs.lease_stream(spark.readStream.schema(table.schema).parquet(path), 900, "10 minutes")
+    got = sorted(tuple(r) for r in jobs.drained(stream, new_folder(spark), new_folder(spark)).collect())
+    assert [(task, n) for task, n, _ in got] == [(0, 2), (1, 2), (2, 1), (2, 1), (5, 1)]
+    assert got == sorted(map(tuple, ledger.expired_leases(table, 900, F.timestamp_micros(F.lit(10**15 + 8_400_000_000))).collect()))
+    capfd.readouterr()
+    stream.explain()
+    assert "TransformWithState" not in capfd.readouterr().out
