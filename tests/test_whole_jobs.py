@@ -1,12 +1,13 @@
 """Queries that must do their whole job."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from framewright.operators import ledger, tasks
 from framewright.plans.queries import QUERIES
 from framewright.sources import bindings
 from framewright.sources.scratch import new_folder
-from framewright.streaming import jobs
+from framewright.streaming import jobs, processors
 
 DIR = "/root/testdata/sf0.001"
 
@@ -43,3 +44,28 @@ def test_leases_by_sessions_to_the_microsecond(spark, capfd):
     capfd.readouterr()
     stream.explain()
     assert "TransformWithState" not in capfd.readouterr().out
+
+
+class Held:
+    """A state variable and a handle in one that count their calls."""
+
+    def __init__(self):
+        self.values, self.timers, self.calls = [], [], 0
+
+    def appendValue(self, value):
+        self.calls += 1
+        self.values.append(value)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    getValueState = getListState = lambda self, *_: self
+
+
+def test_events_that_come_together_wait_as_one_value():
+    fold, held = processors.CrashFold(3), Held()
+    fold.init(held)
+    rows = pd.DataFrame({"ts": pd.to_datetime(range(5_000_000, 5_001_000), unit="us"), "event_id": range(1000), "event": ["process_crash"] * 999 + [None]})
+    assert list(fold.handleInputRows((1,), iter([rows]), None)) == []
+    assert held.calls == 2 and held.timers == [5001]
