@@ -23,6 +23,7 @@ from framewright.sources.scratch import filesystem, new_folder, ship
 
 
 RENAMES = 32  # at once, when the job commits
+MEMBERS, BYTES = 1000, 64 << 20  # about as much a task takes
 
 
 @dataclass
@@ -106,11 +107,17 @@ class TarArchives(DataSource):
         return TarWriter(self.options)
 
 
+def dealt(rows: DataFrame, members: int, payload_bytes: int) -> DataFrame:
+    """Archives dealt over as many tasks as `members` rows of `payload_bytes` in all need, each in one and in order."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-members // MEMBERS), -(-payload_bytes // BYTES))
+    return rows.repartition(tasks, "archive").sortWithinPartitions("archive", "member")
+
+
 def pack_export(members: DataFrame, shard: list[str], folder: str, overwrite: bool = False) -> DataFrame:
     """One TAR per shard, members in name order; a report row (status, archive, members, payload_bytes) per shard.
 
     members: the shard's columns, archive (its path below `folder`), member, payload. An archive that is there is skipped unless `overwrite` is set.
-    A shard is written by one task, sorted by Spark (which spills) and streamed.
+    A shard is written by one task, sorted by Spark (which spills) and streamed; tasks are as many as the members and their bytes ask for.
     """
     from pyarrow import fs
 
@@ -124,10 +131,14 @@ def pack_export(members: DataFrame, shard: list[str], folder: str, overwrite: bo
     kept = new_folder(spark)
     known.write.parquet(kept)
     known = spark.read.schema("archive string").parquet(kept).withColumn("there", F.lit(True))
-    rows = members.select("archive", "member", F.col("payload").cast("binary").alias("payload"))
+    report = members.groupBy(*shard, "archive").agg(F.count("*").alias("members"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("payload_bytes"))
+    counted = new_folder(spark)
+    report.write.parquet(counted)
+    report = spark.read.schema(report.schema).parquet(counted)
+    rows, due = members.select("archive", "member", F.col("payload").cast("binary").alias("payload")), report
     if not overwrite:
-        rows = rows.join(known, "archive", "left_anti")
-    rows.repartition("archive").sortWithinPartitions("archive", "member").write.format("tar_archives").mode("append").save(folder)
+        rows, due = (r.join(known, "archive", "left_anti") for r in (rows, due))
+    size = due.agg(F.coalesce(F.sum("members"), F.lit(0)).alias("members"), F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("payload_bytes")).first()
+    dealt(rows, **size.asDict()).write.format("tar_archives").mode("append").save(folder)
     status = F.when(F.col("there") & (not overwrite), "skipped").otherwise("created")
-    report = members.groupBy(*shard, "archive").agg(F.count("*").alias("members"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("payload_bytes"))
     return report.join(known, "archive", "left").select(*shard, status.alias("status"), "archive", "members", "payload_bytes")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from framewright.operators import ledger, tasks
 from framewright.plans.queries import QUERIES
-from framewright.sources import bindings
+from framewright.sources import archives, bindings
 from framewright.sources.scratch import new_folder
 from framewright.streaming import jobs, processors
 
@@ -69,3 +69,11 @@ def test_events_that_come_together_wait_as_one_value():
     rows = pd.DataFrame({"ts": pd.to_datetime(range(5_000_000, 5_001_000), unit="us"), "event_id": range(1000), "event": ["process_crash"] * 999 + [None]})
     assert list(fold.handleInputRows((1,), iter([rows]), None)) == []
     assert held.calls == 2 and held.timers == [5001]
+
+
+def test_archives_are_dealt_by_members_and_bytes(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("a"), F.col("id") % 500).alias("archive"), F.col("id").cast("string").alias("member"))
+    for members, payload_bytes, tasks_ in ((0, 0, 4), (50_000, 10, 50), (3000, 100 << 26, 100)):
+        parts = archives.dealt(rows, members, payload_bytes).select("archive", F.spark_partition_id().alias("part"))
+        assert parts.rdd.getNumPartitions() == tasks_
+    assert parts.distinct().count() == 500
