@@ -37,7 +37,7 @@ import hashlib
 import math
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,8 @@ WIDTH, GRAM = 50, 22
 REACH = WIDTH - GRAM + 1  # grams in a window
 NEAR = (REACH - 1) // 2  # bytes that every window has behind its anchor, or in front of it
 BLOCK_BYTES = (1_500_000, 16_000_000)  # at least and at most; between them, two blocks for three shuffle partitions
-SLICE_BYTES = 1_500_000  # of a block that are hashed at a time
+SLICE_BYTES = 500_000  # of a block that are hashed at a time
+WORDS_BYTES = 1 << 18  # of texts from which runs borrow strings when they are packed
 ANCHOR_BYTES = 32_000_000  # of text whose anchors one bucket compares
 BUCKET_BYTES = 8_000_000  # of text whose runs one bucket sorts
 SORTED_TOGETHER = 200_000  # windows that a bucket sorts at a time
@@ -217,15 +218,38 @@ def unpack_ints(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(zstandard.decompress(data), "<u4"), dtype=np.uint64)
 
 
+_borrowed = [b""]  # text like that of the runs, whose strings packed runs borrow
+
+
+def _borrow(words: bytes) -> None:
+    _borrowed[0] = words
+
+
+def _borrowing(step, words: bytes):
+    """A step whose runs are packed, and were, with these words."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        _borrow(words)
+        return step(rows)
+
+    return run
+
+
+@lru_cache(maxsize=2)
+def _coders(words: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if words else None
+    return zstandard.ZstdCompressor(level=9, dict_data=known), zstandard.ZstdDecompressor(dict_data=known)
+
+
 def pack_runs(start: np.ndarray, count: np.ndarray, shift: np.ndarray, owner: np.ndarray, data: np.ndarray) -> bytes:
     """Runs in ascending order of start; shift: the anchor's place in the run; data: their bytes one after the other."""
     steps = np.diff(start, prepend=0).astype("<u4")
     parts = (len(start).to_bytes(4, "little"), planes(steps), count.astype("u1").tobytes(), shift.astype("u1").tobytes(), planes(np.diff(owner, prepend=0).astype("<i8")), data.tobytes())
-    return zstandard.compress(b"".join(parts), 9)
+    return _coders(_borrowed[0])[0].compress(b"".join(parts))
 
 
 def unpack_runs(packed: bytes) -> tuple[np.ndarray, ...]:
-    raw = zstandard.decompress(packed)
+    raw = _coders(_borrowed[0])[1].decompress(packed)
     n, at = int.from_bytes(raw[:4], "little"), 4
     start = np.cumsum(from_planes(raw[at:at + 4 * n], "<u4"), dtype=np.int64)
     count, shift = (np.frombuffer(raw, "u1", n, at + k * n).astype(np.int64) for k in (4, 5))
@@ -614,13 +638,14 @@ def remove_repeats(
     blocks = common.checkpoint(docs.mapInArrow(_make_blocks(folder, block_bytes), BLOCKS))
     anchor_buckets, buckets = (max(common.shuffle_partitions(spark), math.ceil(total / each)) for each in (max(ANCHOR_BYTES, bucket_bytes), bucket_bytes))
     parts = max(12, math.ceil(total / (hot_blocks * block_bytes)))
+    words = b"".join(r[0].encode() for r in docs.filter("text <> ''").select(F.substring("text", 1, 2000)).limit(256).collect())[:WORDS_BYTES]
     # a row stands for a block, whatever its size: the number of tasks is given
     tasks = 2 * common.shuffle_partitions(spark)
     anchors = blocks.repartition(tasks).mapInArrow(_send_anchors(folder, anchor_buckets), ANCHORS)
     repeated = anchors.groupBy("bucket").applyInArrow(_repeated(hot_blocks), ANCHORS)
     plain = blocks.selectExpr("cast(null as long) as bucket", "block", "cast(null as binary) as keys", "cast(null as binary) as hot")
-    sent = plain.unionByName(repeated).repartition(tasks, "block").groupBy("block").applyInArrow(_send_runs(folder, anchor_buckets, buckets, parts), SENT)
-    sort = _sort_runs(buckets)
+    sent = plain.unionByName(repeated).repartition(tasks, "block").groupBy("block").applyInArrow(_borrowing(_send_runs(folder, anchor_buckets, buckets, parts), words), SENT)
+    sort = _borrowing(_sort_runs(buckets), words)
     spans = sent.groupBy("bucket", "part").applyInArrow(sort, SENT).groupBy("bucket", "part").applyInArrow(sort, SENT)
     told = blocks.selectExpr("block", "cast(null as binary) as payload").unionByName(spans.select("block", "payload"))
     schema = RESULT + "".join(f", {c} string" for c in ("kept_text", *carry)) if carry is not None else RESULT
