@@ -38,7 +38,7 @@ from framewright.llm import common, graph
 
 SHINGLE, BINS, BANDS, ROWS = 5, 256, 42, 6
 PARITY_WORDS = 8  # of 64 bins
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 400_000  # at some 60 bytes of memory each
 LONG_WORD = 256  # bytes
 _B = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)

@@ -51,11 +51,11 @@ WIDTH, GRAM = 50, 22
 REACH = WIDTH - GRAM + 1  # grams in a window
 NEAR = (REACH - 1) // 2  # bytes that every window has behind its anchor, or in front of it
 BLOCK_BYTES = (1_500_000, 16_000_000)  # at least and at most; between them, two blocks for three shuffle partitions
-SLICE_BYTES = 500_000  # of a block that are hashed at a time
+SLICE_BYTES = 200_000  # of a block that are hashed at a time
 WORDS_BYTES = 1 << 18  # of texts from which runs borrow strings when they are packed
 ANCHOR_BYTES = 32_000_000  # of text whose anchors one bucket compares
 BUCKET_BYTES = 8_000_000  # of text whose runs one bucket sorts
-SORTED_TOGETHER = 200_000  # windows that a bucket sorts at a time
+SORTED_TOGETHER = 100_000  # windows that a bucket sorts at a time
 HOT_BLOCKS = 64  # an anchor of more blocks is hot
 POSITION_BITS = 24  # of a gram's place beside its hash; longer data is taken in slices
 SHORT_BITS = 27  # of an anchor's hash inside its bucket; a chance match only sends a run too many
@@ -235,7 +235,7 @@ def _borrowing(step, words: bytes):
     return run
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)  # a coder keeps its tables
 def _coders(words: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if words else None
     return zstandard.ZstdCompressor(level=9, dict_data=known), zstandard.ZstdDecompressor(dict_data=known)

@@ -14,7 +14,8 @@ import re
 
 import numpy as np
 
-MEMO_CHUNKS, MEMO_PIECES = 900_000, 300_000
+MEMO_CHUNKS, MEMO_PIECES = 200_000, 60_000
+MEMO_LENGTH = 32  # characters of what is remembered at most: a worker outlives its tasks, and what it remembers too
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ſ"
 _PLAIN = re.compile(f"[\\n\\x20-\\x7e{_LATIN}]*")
@@ -53,7 +54,7 @@ class Chunks(dict):
             if not chunk or chunk[0].isspace() or chunk[-1].isspace():
                 raise Irregular
             ids = self.other(" " + chunk)
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(chunk) <= MEMO_LENGTH:
             self[chunk] = ids
         return ids
 
@@ -84,7 +85,7 @@ class TokenIds:
         ids = self.pieces.get(piece)
         if ids is None:
             ids = self._model(piece)
-            if len(self.pieces) < MEMO_PIECES:
+            if len(self.pieces) < MEMO_PIECES and len(piece) <= MEMO_LENGTH:
                 self.pieces[piece] = ids
         return ids
 
