@@ -1,21 +1,28 @@
 """Token ids of whole texts by the tokenizers library, at corpus speed.
 
-The byte-level pre-tokenizer never joins text across a single space that has
-a non-space on both sides, so a text is cut there and each chunk's ids are
-remembered (bounded). Chunks of plain Latin text go piece by piece to the
-library's BPE model; any other chunk goes whole through the library's encode;
-a text with white space next to a space is encoded whole by the library.
+Plain Latin text is cut into the pieces of the byte-level pre-tokenizer, whose
+ids are remembered (bounded). The text's other pieces go to the library's BPE
+model together, with a character between them that none of its merges has.
+
+The pre-tokenizer never joins text across a single space that has a non-space
+on both sides, so any other text is cut there and each chunk's ids are
+remembered (bounded). Its chunks of plain Latin text go piece by piece to the
+model, the others whole through the library's encode; such a text with white
+space next to a space is encoded whole by the library.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
-MEMO_CHUNKS, MEMO_PIECES = 200_000, 60_000
+MEMO_CHUNKS, MEMO_PIECES = 60_000, 200_000
 MEMO_LENGTH = 32  # characters of what is remembered at most: a worker outlives its tasks, and what it remembers too
+PORTION = 64  # pieces that go to the model together
+SEPARATOR = 0  # a byte that plain text hasn't
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ſ"
 _PLAIN = re.compile(f"[\\n\\x20-\\x7e{_LATIN}]*")
@@ -59,6 +66,17 @@ class Chunks(dict):
         return ids
 
 
+class Pieces(dict):
+    """Remembered ids of pieces. What isn't there gets an empty place in `missed`, to be filled in together."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: dict[str, bytearray] = {}
+
+    def __missing__(self, piece: str) -> bytearray:
+        return self.missed.setdefault(piece, bytearray())
+
+
 class TokenIds:
     """text -> ids as little-endian uint32 bytes."""
 
@@ -71,8 +89,18 @@ class TokenIds:
         self.tokenizer.no_padding()
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = {i: c for i, c in enumerate(byte_alphabet())}
-        self.pieces: dict[str, bytes] = {}
-        self.chunks = Chunks(self._model, self._chunk, MEMO_CHUNKS)
+        self.symbols = np.array(list(map(ord, byte_alphabet())), "<u2")
+        self.bare = Tokenizer(self.tokenizer.model)  # the model alone
+        self.end = self._separator_id()
+        self.pieces = Pieces()
+        self.chunks = Chunks(self._piece, self._chunk, MEMO_CHUNKS)
+
+    def _separator_id(self) -> int | None:
+        """The separator's id; None if the model may treat joined pieces otherwise than each alone."""
+        letter, vocab = self.letters[SEPARATOR], self.tokenizer.get_vocab(with_added_tokens=False)
+        if self.tokenizer.model.ignore_merges or any(letter in token for token in vocab if token != letter):
+            return None
+        return vocab.get(letter)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -81,6 +109,31 @@ class TokenIds:
         symbols = piece.encode().decode("latin-1").translate(self.letters)
         return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(symbols)])
 
+    def _models(self, pieces: list[str]) -> Iterator[bytes]:
+        """The ids of each piece of plain text."""
+        if self.end is None:
+            yield from map(self._model, pieces)
+            return
+        for i in range(0, len(pieces), PORTION):
+            joined = chr(SEPARATOR).join(pieces[i:i + PORTION]).encode()
+            symbols = self.symbols[np.frombuffer(joined, "u1")].tobytes().decode("utf-16-le")
+            ids = np.array(self.bare.encode_batch_fast([symbols], add_special_tokens=False)[0].ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for end in (4 * np.flatnonzero(ids == self.end)).tolist():
+                yield data[at:end]
+                at = end + 4
+            yield data[at:]
+
+    def _plain(self, text: str) -> bytes:
+        known = self.pieces
+        found = list(map(known.__getitem__, _PIECES.findall(text)))
+        new, known.missed = known.missed, {}
+        for (piece, place), ids in zip(new.items(), self._models(list(new))):
+            place += ids
+            if len(known) < MEMO_PIECES and len(piece) <= MEMO_LENGTH:
+                known[piece] = ids
+        return b"".join(found)
+
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
@@ -97,6 +150,8 @@ class TokenIds:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if "<|" not in text and _PLAIN.fullmatch(text):
+            return self._plain(text)
         first, *rest = text.split(" ")
         try:
             if not first or first[-1].isspace():

@@ -10,8 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from framewright.llm import bpe, common, packing, records
-from framewright.llm.tokens import token_ids
+from framewright.llm import bpe, common, packing, records, tokens
+from framewright.llm.tokens import TokenIds, token_ids
 
 ALPHABET = list(" \n\t  aàZ9é'sß,.!\x1c\x1f\x85ª²中 ЖĀſ　🙂_-Ⅷ٣") + ["<|endoftext|>", " the", "'re", "\r\n", "  ", " <|", "|>"]
 
@@ -42,6 +42,30 @@ def test_ids_and_decoding_as_the_library(text):
     assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_new_pieces_of_a_text_go_to_the_model_together(library, vocabulary, sample):
+    encode, alone = TokenIds(vocabulary), []
+    tokenize, encode.tokenize = encode.tokenize, lambda piece: alone.append(piece) or tokenize(piece)
+    texts = [t for _, t in sample[:80] if t] + [" ".join(f"Wörd{i}y's {i},\n  x-{i}" for i in range(500)), "'s it's 're\n\n  \n", "  " * 50 + "'"]
+    for text in texts + texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected(library, text)
+    assert not alone
+
+
+def test_pieces_alone_where_joined_ones_could_differ(library, vocabulary, sample):
+    encode = TokenIds(vocabulary)
+    encode.end = None  # as for a vocabulary whose tokens hold the separator
+    for _, text in sample[:20]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected(library, text)
+
+
+def test_pieces_that_are_not_remembered(library, vocabulary, sample, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 3)
+    encode = TokenIds(vocabulary)
+    for _, text in sample[:20] * 2:
+        assert np.frombuffer(encode(text), "<u4").tolist() == expected(library, text)
+    assert len(encode.pieces) == 3 and not encode.pieces.missed
+
+
 def test_decoding_of_broken_bytes(library, vocabulary):
     own, rng = bpe.encoder(vocabulary), random.Random(3)
     for _ in range(2000):
